@@ -66,39 +66,53 @@ def ranks(v: Column, s: Column) -> Column:
 
 
 def entropy(bins: Column) -> Column:
-    """Shannon entropy in bits of a vector whose equal elements form one bin."""
+    """Shannon entropy in bits of a vector whose equal elements form one bin.
+
+    Over the sorted vector: an element starts a bin where its predecessor differs, and the
+    bin ends at the next start, so one linear pass adds -p log2 p of every bin.
+    """
     n = F.size(bins).cast("double")
+    zero = F.struct(F.lit(None).cast("double").alias("value"), F.lit(0.0).alias("run"),
+                    F.lit(0.0).alias("sum"))
+
+    def close(acc):
+        # sum of c log2 c; a run of length 0 or 1 adds nothing
+        return acc["sum"] + F.when(acc["run"] > 1, acc["run"] * F.log2(acc["run"])).otherwise(0.0)
 
-    def term(acc, x):
-        p = F.size(F.filter(bins, lambda y: y == x)) / n
-        return acc - p * F.log2(p)
+    def add(acc, x):
+        same = acc["value"].eqNullSafe(x)
+        return F.struct(x.alias("value"), F.when(same, acc["run"] + 1).otherwise(1.0).alias("run"),
+                        F.when(same, acc["sum"]).otherwise(close(acc)).alias("sum"))
 
-    return F.when(F.size(bins) > 0,
-                  F.aggregate(F.array_distinct(bins), F.lit(0.0), term))
+    return F.when(n > 0, F.aggregate(F.array_sort(bins), zero, add,
+                                     lambda acc: F.log2(n) - close(acc) / n))
 
 
-def waveform(d: Column) -> dict[str, Column]:
-    """Waveform statistics of a deviation vector (see ``deviations``)."""
+def waveform(d: Column, mu: Column) -> dict[str, Column]:
+    """Waveform statistics of a deviation vector (see ``deviations``) with mean ``mu``.
+
+    ``mu`` must be a column of the frame: an expression would be worked out per element.
+    """
     n = F.nullif(F.size(d).cast("double"), F.lit(0.0))
-    mu = total(d) / n
-
-    def moment(k):
-        def add(acc, x):
-            c = x - mu
-            return acc + (c * c if k == 2 else c * c * c if k == 3 else c * c * c * c)
-        return F.aggregate(d, F.lit(0.0), add) / n
-
-    rms = F.sqrt(F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x * x) / n)
-    arv = F.aggregate(d, F.lit(0.0), lambda acc, x: acc + F.abs(x)) / n
-    m2 = moment(2)
-    return {
-        "rms": rms,
-        "arv": arv,
-        "stddev": F.sqrt(m2),
-        "margin": rms / F.nullif(arv, F.lit(0.0)),
-        "skewness": moment(3) / F.nullif(m2 * F.sqrt(m2), F.lit(0.0)),
-        "kurtosis": moment(4) / F.nullif(m2 * m2, F.lit(0.0)),
-    }
+
+    # One pass gathers every sum.
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("sq", "ab", "c2", "c3", "c4")])
+
+    def add(acc, x):
+        c = x - mu
+        return F.struct((acc["sq"] + x * x).alias("sq"), (acc["ab"] + F.abs(x)).alias("ab"),
+                        (acc["c2"] + c * c).alias("c2"), (acc["c3"] + c * c * c).alias("c3"),
+                        (acc["c4"] + c * c * c * c).alias("c4"))
+
+    def finish(s):
+        rms, arv, m2 = F.sqrt(s["sq"] / n), s["ab"] / n, s["c2"] / n
+        return F.struct(
+            rms.alias("rms"), arv.alias("arv"), F.sqrt(m2).alias("stddev"),
+            (rms / F.nullif(arv, F.lit(0.0))).alias("margin"),
+            (s["c3"] / n / F.nullif(m2 * F.sqrt(m2), F.lit(0.0))).alias("skewness"),
+            (s["c4"] / n / F.nullif(m2 * m2, F.lit(0.0))).alias("kurtosis"))
+
+    return F.aggregate(d, zero, add, finish)
 
 
 def deviations(v: Column, centre: Column) -> Column:

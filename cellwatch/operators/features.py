@@ -179,7 +179,10 @@ def unpack(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     c = F.col
     mv = c("_at_vd.mv")
     bins = F.transform(mv, lambda x: F.rint(x))
-    waves = vectors.waveform(vectors.deviations(c("_at_vd.cell_voltage"), c("_at_vd.median_mv") / 1e3))
+    df = df.withColumns({
+        "_dev": vectors.deviations(c("_at_vd.cell_voltage"), c("_at_vd.median_mv") / 1e3),
+        "_mu": c("_at_vd.volt_mean") - c("_at_vd.median_mv") / 1e3})
+    df = df.withColumn("_wave", vectors.waveform(c("_dev"), c("_mu")))
     ordered_hi = F.array_sort("_at_hi")
     points = F.array(*[F.lit(float(q)) for q in p.quantiles])
     out = {
@@ -189,14 +192,15 @@ def unpack(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
             "time", "soc", "current", "max_cell_voltage", "max_cell_voltage_sn",
             "min_cell_voltage", "min_cell_voltage_sn", "volt_mean", "cell_voltage")},
         "max_volt_diff_volt_entropy": vectors.entropy(bins),
-        **{f"max_volt_diff_volt_{n}": v for n, v in waves.items()},
+        **{f"max_volt_diff_volt_{n}": c(f"_wave.{n}")
+           for n in ("rms", "arv", "stddev", "margin", "skewness", "kurtosis")},
         **{f"max_temp_diff_{n}": c(f"_at_td.{n}") for n in (
             "time", "soc", "current", "max_probe_temp", "max_probe_temp_sn",
             "min_probe_temp", "min_probe_temp_sn", "probe_temp")},
         "max_temp_diff_temp_entropy": vectors.entropy(
             F.transform(c("_at_td.probe_temp"), lambda x: F.rint(x))),
     }
-    return df.withColumns(out).drop("_at_hi", "_at_vd", "_at_td")
+    return df.withColumns(out).drop("_at_hi", "_at_vd", "_at_td", "_dev", "_mu", "_wave")
 
 
 def block_features(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:

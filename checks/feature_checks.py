@@ -207,7 +207,7 @@ def _(spark, sf):
 
 
 @check("fea_sn_hist", with_ctes(" UNION ALL ".join(
-    (("" if i else "") + f"SELECT {KEY_SQL}, '{h}' AS histogram, {c} AS sn, CAST(count(*) AS INT) AS frames "
+    (f"SELECT {KEY_SQL}, '{h}' AS histogram, {c} AS sn, CAST(count(*) AS INT) AS frames "
      f"FROM g GROUP BY ALL") for i, (h, c) in enumerate((
          ("max_volt_sn_count", "hi_sn"), ("min_volt_sn_count", "lo_sn"),
          ("max_temp_sn_count", "hot_sn"), ("min_temp_sn_count", "cold_sn"))))))
@@ -225,7 +225,7 @@ def _(spark, sf):
         SELECT {KEY_SQL}, 'temp', unnest(range(1, 7)),
           unnest(list_transform(temps, lambda x: list_position(list_sort(temps), x))) FROM g)
 SELECT {KEY_SQL}, kind, position, avg(rank) AS rank_mean,
-  CASE WHEN kind = 'volt' THEN stddev_pop(rank) END AS rank_stddev FROM r GROUP BY ALL"""),
+  CASE WHEN kind = 'volt' THEN stddev_pop(rank) END AS rank_stddev FROM r GROUP BY {KEY_SQL}, kind, position"""),
        rounds=["rank_mean", "rank_stddev"])
 def _(spark, sf):
     ranks = features.rank_features(prepared(spark, sf))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellwatch.schemas import STATION_FRAME_DDL, VEHICLE_FRAME_DDL
 
-from .telemetry import base, table
+from .telemetry import base, events
 
 VEHICLE = {
     "alarmCommon": "map(k % 8, k % 4)", "batteryId": "concat('B', b)",
@@ -94,10 +94,10 @@ def _shape(df: DataFrame, ddl: str, values: dict[str, str], extra: tuple[str, ..
 
 def vehicle(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Raw vehicle messages; ``extra`` keeps columns of the base, such as ``e``."""
-    events = base(table(spark, sf_dir, "events")).filter("not station")
-    return _shape(events, VEHICLE_FRAME_DDL, VEHICLE, extra)
+    rows = base(events(spark, sf_dir)).filter("not station")
+    return _shape(rows, VEHICLE_FRAME_DDL, VEHICLE, extra)
 
 
 def station(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    events = base(table(spark, sf_dir, "events")).filter("station")
-    return _shape(events, STATION_FRAME_DDL, STATION, extra)
+    rows = base(events(spark, sf_dir)).filter("station")
+    return _shape(rows, STATION_FRAME_DDL, STATION, extra)

@@ -11,7 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def check(name: str, sql: str | None = None, rounds: Sequence[str] = (), digits: int = 6):
+def check(name: str, sql: str | None = None, rounds: Sequence[str] = (), digits: int = 9):
     """Registers a query. ``rounds``: floating columns, rounded alike on both sides."""
 
     def register(fn):

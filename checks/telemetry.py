@@ -25,6 +25,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The reading at position i; written out per position, so that it is compiled code.
+_CELL = """cast(CASE WHEN e % 97 = 0 THEN if({i} >= 4, 3600 + {i}, 0)
+    ELSE 3600 + (e * 7 + {i} * 13) % 15 + if(e % 29 = 0 AND {i} = 3, 20, 0)
+      + if(e % 53 = 0 AND {i} = 5, 250, 0)
+      + if((e % 199 = 0 OR e % 173 = 0) AND {i} = 7, 1000, 0)
+      - if(e % 211 = 0 AND {i} = 2, 2400, 0) END AS double)"""
+_PROBE = """cast(25 + (e + {i}) % 4 + if(e % 61 = 0 AND {i} = 2, 20, 0)
+      + if((e % 113 = 0 OR e % 173 = 0) AND {i} = 1, 40, 0)
+      - if(e % 127 = 0 AND {i} = 4, 65 + (e + {i}) % 4, 0) AS double)"""
+
+
+def _vector(reading: str, size: int) -> str:
+    return "array(" + ", ".join(reading.format(i=i) for i in range(size)) + ")"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Uses all cores on a file too small to be split; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def base(events: DataFrame) -> DataFrame:
     """One row per event with the integers everything else is computed from."""
     return (events.selectExpr(
@@ -36,16 +57,7 @@ def base(events: DataFrame) -> DataFrame:
         .selectExpr("*", """CASE WHEN station THEN if((slot + b) % 3 = 0, 'charging', 'parking')
             ELSE element_at(array('driving', 'parking', 'charging'), (slot + b) % 3 + 1) END
             AS event_type""")
-        .selectExpr("*", """transform(sequence(0, 11), i -> cast(CASE
-            WHEN e % 97 = 0 THEN if(i >= 4, 3600 + i, 0)
-            ELSE 3600 + (e * 7 + i * 13) % 15 + if(e % 29 = 0 AND i = 3, 20, 0)
-              + if(e % 53 = 0 AND i = 5, 250, 0)
-              + if((e % 199 = 0 OR e % 173 = 0) AND i = 7, 1000, 0)
-              - if(e % 211 = 0 AND i = 2, 2400, 0) END AS double)) AS mv""",
-                    """transform(sequence(0, 5), i -> cast(25 + (e + i) % 4
-              + if(e % 61 = 0 AND i = 2, 20, 0)
-              + if((e % 113 = 0 OR e % 173 = 0) AND i = 1, 40, 0)
-              - if(e % 127 = 0 AND i = 4, 65 + (e + i) % 4, 0) AS double)) AS temps""",
+        .selectExpr("*", _vector(_CELL, 12) + " AS mv", _vector(_PROBE, 6) + " AS temps",
                     """CASE WHEN (e div 40) % 23 = 0 THEN 60 + k % 30 WHEN e % 131 = 0 THEN 5000
             ELSE 2000 + 10 * k END AS iso"""))
 
@@ -82,8 +94,12 @@ def frames_of(events: DataFrame) -> DataFrame:
     ).selectExpr("*", "user_soc - 1 AS real_soc", "95.0D AS soh", "user_soc * 0.7D AS real_energy")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props"))
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames_of(table(spark, sf_dir, "events"))
+    return frames_of(events(spark, sf_dir))
 
 
 def with_copies(df: DataFrame) -> DataFrame:
