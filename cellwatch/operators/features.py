@@ -22,7 +22,9 @@ from ..params import DEFAULTS, Params
 from . import normalize, quality, segment
 from .segment import BLOCK_KEY
 
-_ORDER = F.struct("sample_ts", "frame_no")
+
+def _order() -> Column:
+    return F.struct("sample_ts", "frame_no")
 
 
 def prepare(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False,
@@ -93,7 +95,7 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
     dev = e(c("deviation_mv") / 1e3)
     amp = e("current_a")
     discharge, charge = _if(amp > 0, amp), _if(amp < 0, -amp)
-    order = F.when(ok, _ORDER)
+    order = F.when(ok, _order())
 
     def first(v):
         return F.min_by(v, order)
@@ -283,8 +285,8 @@ def rest_pairs(prepared: DataFrame, p: Params = DEFAULTS, after_charge: bool = T
     late = F.unix_micros("sample_ts") >= F.unix_micros("t0") + p.rest_seconds * 1_000_000
     pairs = (frames.join(rests, ["battery_id", "process_id"])
              .groupBy("battery_id", "process_id")
-             .agg(F.min_by(shot, _ORDER).alias("at0"),
-                  F.min_by(shot, F.when(late, _ORDER)).alias("at1")))
+             .agg(F.min_by(shot, _order()).alias("at0"),
+                  F.min_by(shot, F.when(late, _order())).alias("at1")))
     low = F.array_sort("at1.cell_mv")
     v1, v4, top = F.get(low, 0), F.get(low, 3), F.array_max("at1.cell_mv")
     minutes = (F.unix_micros("at1.sample_ts") - F.unix_micros("at0.sample_ts")) / 60e6

@@ -61,13 +61,17 @@ def upper_fence(df: DataFrame, keys: Sequence[str], value: str, factor: float,
 
 
 def z_scores(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Adds ``z_<column>``: distance from the group mean in standard deviations (0 if flat)."""
+    """Adds ``z_<column>``: distance from the group mean in standard deviations.
+
+    0 where the group is flat; a deviation that is rounding noise of the mean counts as flat.
+    """
     stats = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in columns],
                                   *[F.stddev_pop(c).alias(f"_s_{c}") for c in columns])
 
     def z(c) -> Column:
-        return F.when(F.col(c).isNotNull(), F.coalesce(
-            (F.col(c) - F.col(f"_m_{c}")) / F.nullif(F.col(f"_s_{c}"), F.lit(0.0)), F.lit(0.0)))
+        mean, sd = F.col(f"_m_{c}"), F.col(f"_s_{c}")
+        alive = F.when(sd > F.abs(mean) * 1e-9, sd)
+        return F.when(F.col(c).isNotNull(), F.coalesce((F.col(c) - mean) / alive, F.lit(0.0)))
 
     return (df.join(stats, list(keys)).withColumns({f"z_{c}": z(c) for c in columns})
             .drop(*[f"_m_{c}" for c in columns], *[f"_s_{c}" for c in columns]))

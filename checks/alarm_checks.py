@@ -93,7 +93,7 @@ def typed_blocks(spark, sf, *cols):
 
 # One row per block with what the warning layer looks at.
 BLK_CTES = AT_CTES + f"""
-, ent AS (SELECT {KEY_SQL}, entropy(x) AS bits FROM cells GROUP BY {KEY_SQL}),
+, ent AS (SELECT {KEY_SQL}, round(entropy(x), 12) AS bits FROM cells GROUP BY {KEY_SQL}),
 blk AS (SELECT {KEY_SQL}, any_value(device_type) AS device_type, any_value(cell_type) AS cell_type,
           max(volt_diff_mv) AS vd_mv, max(deviation_mv) AS dev_mv, avg(temp_diff_c) AS avg_td
         FROM g GROUP BY {KEY_SQL})

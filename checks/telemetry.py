@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # The reading at position i; written out per position, so that it is compiled code.
 _CELL = """cast(CASE WHEN e % 97 = 0 THEN if({i} >= 4, 3600 + {i}, 0)
-    ELSE 3600 + (e * 7 + {i} * 13) % 15 + if(e % 29 = 0 AND {i} = 3, 20, 0)
+    ELSE 3600 + (e * 7 + {i} * 13) % (9 + e % 7) + if(e % 29 = 0 AND {i} = 3, 20, 0)
       + if(e % 53 = 0 AND {i} = 5, 250, 0)
       + if((e % 199 = 0 OR e % 173 = 0) AND {i} = 7, 1000, 0)
       - if(e % 211 = 0 AND {i} = 2, 2400, 0) END AS double)"""
@@ -134,7 +134,7 @@ b1 AS (
                    ELSE 'charging' END END AS event_type,
          list_transform(range(0, 12), lambda i: CAST(CASE
            WHEN e % 97 = 0 THEN CASE WHEN i >= 4 THEN 3600 + i ELSE 0 END
-           ELSE 3600 + (e * 7 + i * 13) % 15 + CASE WHEN e % 29 = 0 AND i = 3 THEN 20 ELSE 0 END
+           ELSE 3600 + (e * 7 + i * 13) % (9 + e % 7) + CASE WHEN e % 29 = 0 AND i = 3 THEN 20 ELSE 0 END
              + CASE WHEN e % 53 = 0 AND i = 5 THEN 250 ELSE 0 END
              + CASE WHEN (e % 199 = 0 OR e % 173 = 0) AND i = 7 THEN 1000 ELSE 0 END
              - CASE WHEN e % 211 = 0 AND i = 2 THEN 2400 ELSE 0 END END AS DOUBLE)) AS mv,
