@@ -23,7 +23,7 @@ AS_OF, ETL_AT = datetime(2024, 1, 31), datetime(2024, 1, 31, 3)
 
 def _written(spark, df, name):
     path = scratch_path(spark, name)
-    df.hint("rebalance", "date").write.partitionBy("date", "hour").parquet(path)
+    df.hint("rebalance", "date", "hour").sortWithinPartitions("date", "hour").write.partitionBy("date", "hour").parquet(path)
     return path
 
 
