@@ -85,7 +85,7 @@ def entropy(bins: Column) -> Column:
         return F.struct(x.alias("value"), F.when(same, acc["run"] + 1).otherwise(1.0).alias("run"),
                         F.when(same, acc["sum"]).otherwise(close(acc)).alias("sum"))
 
-    return F.when(n > 0, F.aggregate(F.array_sort(bins), zero, add,
+    return F.when(n > 0, F.aggregate(F.sort_array(bins), zero, add,
                                      lambda acc: F.rint((F.log2(n) - close(acc) / n) * 1e12) / 1e12))
 
 

@@ -52,10 +52,9 @@ def parking_growth(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 def statistical(blocks: DataFrame, p: Params = DEFAULTS,
                 group: Sequence[str] = ("cell_type", "date_tag")) -> DataFrame:
     """Blocks whose spread and whose entropy both lie above their group's fence."""
-    volt = population.upper_fence(blocks, group, "max_volt_diff", p.iqr_factor, "volt_fence")
-    bits = population.upper_fence(blocks, group, "max_volt_diff_volt_entropy", p.iqr_factor,
-                                  "entropy_fence")
-    return (blocks.join(volt, list(group), "left").join(bits, list(group), "left")
+    fences = population.upper_fences(blocks, group, {
+        "max_volt_diff": "volt_fence", "max_volt_diff_volt_entropy": "entropy_fence"}, p.iqr_factor)
+    return (blocks.join(fences, list(group), "left")
             .withColumns({
                 "volt_outlier": F.coalesce(F.col("max_volt_diff") > F.col("volt_fence"), F.lit(False)),
                 "entropy_outlier": F.coalesce(

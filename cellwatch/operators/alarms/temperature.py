@@ -37,7 +37,7 @@ def expert(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 def statistical(blocks: DataFrame, p: Params = DEFAULTS,
                 group: Sequence[str] = ("device_type", "date_tag")) -> DataFrame:
     """``ap10``: a battery's mean temperature spread of the day above its group's fence."""
-    fence = population.upper_fence(blocks, group, "avg_temp_diff", p.iqr_factor)
+    fence = population.upper_fences(blocks, group, {"avg_temp_diff": "fence"}, p.iqr_factor)
     daily = blocks.groupBy(*{*group, "battery_id", "date_tag"}).agg(
         F.avg("avg_temp_diff").alias("daily_temp_diff"), F.min("device_id").alias("device_id"))
     return daily.join(fence, list(group), "left").withColumn(

@@ -1,11 +1,13 @@
 """The per-block feature table.
 
-``prepare`` turns canonical frames into tagged, flagged frames in one wide shuffle
-(process numbering by battery and slot; none when processes are already numbered).
-``block_features`` is then a single grouped aggregate: every feature that looks at the
-neighbouring frame gets its gap from a window inside the block, and a block lies inside one
-(battery, 2-hour slot). After ``collapse_repeats`` the clock bounds a slot's frames (1,440
-at 5 s), whatever share of the data its battery has, so those windows need no slicing.
+``prepare`` turns canonical frames into tagged, flagged frames. Wide frames are shuffled
+there only to number processes, and not at all where the source numbers them.
+
+``block_features`` is one grouped aggregate without any window: partial aggregates are
+built where the frames lie, so cell vectors travel only as the few a block keeps.
+``gap_features`` needs the neighbouring frame, and orders five thin columns for it. A block
+lies inside one (battery, 2-hour slot); after ``collapse_repeats`` the clock bounds a slot's
+frames (1,440 at 5 s), whatever share of the data its battery has.
 
 Features use effective frames only, messages are counted over all.
 """
@@ -46,11 +48,11 @@ def effective(df: DataFrame) -> DataFrame:
 
 
 def with_gaps(df: DataFrame) -> DataFrame:
-    """Adds ``gap_s`` and ``was_balancing`` from the previous effective frame of the block.
+    """Adds ``gap_s`` and ``was_balancing`` from the previous frame of the block.
 
     The first frame of a block has gap 0, so time across a block border is not counted.
     """
-    near = Window.partitionBy(*BLOCK_KEY, "is_effective").orderBy("sample_ts", "frame_no")
+    near = Window.partitionBy(*BLOCK_KEY).orderBy("sample_ts", "frame_no")
     gap = (F.unix_micros("sample_ts") - F.unix_micros(F.lag("sample_ts").over(near))) / 1e6
     return df.withColumns({
         "gap_s": F.coalesce(gap, F.lit(0.0)),
@@ -85,7 +87,7 @@ def _quantile_map(value: Column, points: Sequence[float]) -> Column:
 
 
 def aggregates(p: Params = DEFAULTS) -> list[Column]:
-    """Every grouped feature over frames of ``prepare`` + ``with_gaps``."""
+    """Every grouped feature that needs no neighbouring frame, over frames of ``prepare``."""
     c, ok = F.col, F.col("is_effective")
 
     def e(name):
@@ -124,9 +126,6 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
                  c("cold_sn").alias("min_probe_temp_sn"), c("probe_temp_c").alias("probe_temp")),
         F.when(ok & td.isNotNull(), F.struct(c("temp_diff_c"), *earliest)))
     at_hi = F.max_by(c("cell_v"), F.when(ok & c("hi_mv").isNotNull(), F.struct(c("hi_mv"), *earliest)))
-    amp_s = amp * c("gap_s")
-    watt_h = amp_s * c("pack_voltage_v") / 3600
-    balancing = e(F.coalesce(c("is_balancing"), F.lit(False)))
     cold = F.sum(F.when(c("cold_init"), c("n_msgs")).otherwise(0)).cast("int")
     # Insulation 0 means "no reading" and is left to the rules; here it is a value.
     iso = e("iso_kohm")
@@ -144,7 +143,9 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
         last(c("cell_v")).alias("last_pack_cell_voltage"),
         last(c("probe_temp_c")).alias("last_pack_probe_temp"),
         F.min(e("sample_ts")).alias("start_time"), F.max(e("sample_ts")).alias("end_time"),
-        F.coalesce(F.sum(e("gap_s")), F.lit(0.0)).cast("long").alias("block_duration"),
+        # the gaps between adjacent frames add up to last minus first
+        F.coalesce(F.floor((F.max(e(F.unix_micros("sample_ts"))) - F.min(e(F.unix_micros("sample_ts"))))
+                           / 1e6), F.lit(0)).cast("long").alias("block_duration"),
         *ends,
         *_spread(discharge, "discharge_current"), *_spread(charge, "charge_current"),
         *_spread(e("pack_voltage_v"), "pack_voltage"),
@@ -158,14 +159,8 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
         F.count_if(e(c("volt_diff_mv") > p.high_spread_mv)).cast("int").alias("high_volt_diff_count"),
         _quantile_map(vd, p.quantiles).alias("volt_diff_quartiles"),
         *_spread(td, "temp_diff"),
-        F.coalesce(F.sum(_if(amp < 0, -amp_s)), F.lit(0.0)).alias("charge_cap"),
-        F.coalesce(F.sum(_if(amp < 0, -watt_h)), F.lit(0.0)).alias("charge_energy"),
-        F.coalesce(F.sum(_if(amp > 0, amp_s)), F.lit(0.0)).alias("discharge_cap"),
-        F.coalesce(F.sum(_if(amp > 0, watt_h)), F.lit(0.0)).alias("discharge_energy"),
         *_spread(iso, "insu_resis"),
         _quantile_map(iso, p.quantiles).alias("insu_resis_quartiles"),
-        F.count_if(balancing & ~c("was_balancing")).cast("int").alias("balance_count"),
-        F.coalesce(F.sum(_if(balancing, "gap_s")), F.lit(0.0)).cast("long").alias("balance_duration"),
         pearson(vd, e(F.unix_micros("sample_ts") / 1e6)).alias("volt_diff_time_corr"),
         pearson(vd, e("user_soc")).alias("volt_diff_soc_corr"),
         pearson(vd, amp).alias("volt_diff_current_corr"),
@@ -185,7 +180,7 @@ def unpack(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
         "_dev": vectors.deviations(c("_at_vd.cell_voltage"), c("_at_vd.median_mv") / 1e3),
         "_mu": c("_at_vd.volt_mean") - c("_at_vd.median_mv") / 1e3})
     df = df.withColumn("_wave", vectors.waveform(c("_dev"), c("_mu")))
-    ordered_hi = F.array_sort("_at_hi")
+    ordered_hi = F.sort_array("_at_hi")
     points = F.array(*[F.lit(float(q)) for q in p.quantiles])
     out = {
         "max_cell_volt_quartiles": F.when(c("_at_hi").isNotNull(), F.map_from_arrays(
@@ -208,15 +203,33 @@ def unpack(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 def block_features(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Scalar, map and vector features of every block; one row per ``BLOCK_KEY``.
 
-    Select what is needed: Catalyst drops the aggregates and windows nobody asks for.
+    Select what is needed: Catalyst drops the aggregates nobody asks for.
     """
-    grouped = with_gaps(prepared).groupBy(*BLOCK_KEY).agg(*aggregates(p))
+    grouped = prepared.groupBy(*BLOCK_KEY).agg(*aggregates(p))
     return segment.with_event_id(unpack(grouped, p))
 
 
+def gap_features(prepared: DataFrame) -> DataFrame:
+    """Capacities, energies and balancing of every block that has effective frames."""
+    thin = effective(prepared).select(*BLOCK_KEY, "sample_ts", "frame_no", "current_a", "pack_voltage_v",
+                                      F.coalesce("is_balancing", F.lit(False)).alias("is_balancing"))
+    amp, balancing = F.col("current_a"), F.col("is_balancing")
+    amp_s = amp * F.col("gap_s")
+    watt_h = amp_s * F.col("pack_voltage_v") / 3600
+
+    def total(condition, value):
+        return F.coalesce(F.sum(_if(condition, value)), F.lit(0.0))
+
+    return with_gaps(thin).groupBy(*BLOCK_KEY).agg(
+        total(amp < 0, -amp_s).alias("charge_cap"), total(amp < 0, -watt_h).alias("charge_energy"),
+        total(amp > 0, amp_s).alias("discharge_cap"), total(amp > 0, watt_h).alias("discharge_energy"),
+        F.count_if(balancing & ~F.col("was_balancing")).cast("int").alias("balance_count"),
+        total(balancing, "gap_s").cast("long").alias("balance_duration"))
+
+
 def rank_rows(prepared: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
     """Mean and spread of the rank each position of ``vector`` has within its frame."""
-    sorted_ = F.array_sort(vector)
+    sorted_ = F.sort_array(vector)
     ranked = (effective(prepared).select(*keys, F.col(vector).alias("_v"), sorted_.alias("_s"))
               .select(*keys, F.posexplode(vectors.ranks(F.col("_v"), F.col("_s")))
                       .alias("_at", "_rank")))
@@ -230,17 +243,17 @@ def rank_features(prepared: DataFrame) -> DataFrame:
     The exploded rows are aggregated per position before they are gathered, so a block
     gathers no more than one row per cell.
     """
-    def gathered(vector, columns):
-        rows = rank_rows(prepared, BLOCK_KEY, vector)
-        packed = F.sort_array(F.collect_list(F.struct("position", *columns)))
-        return rows.groupBy(*BLOCK_KEY).agg(packed.alias("_r"))
+    volts = rank_rows(prepared, BLOCK_KEY, "cell_mv").withColumn("_of", F.lit("volt"))
+    temps = rank_rows(prepared, BLOCK_KEY, "probe_temp_c").withColumn("_of", F.lit("temp"))
+
+    def gathered(of, column):
+        rows = F.collect_list(F.when(F.col("_of") == of, F.struct("position", column)))
+        return F.sort_array(rows)[column]
 
-    volts = gathered("cell_mv", ["rank_mean", "rank_stddev"]).select(
-        *BLOCK_KEY, F.col("_r.rank_mean").alias("volt_rank_mean"),
-        F.col("_r.rank_stddev").alias("volt_rank_stddev"))
-    temps = gathered("probe_temp_c", ["rank_mean"]).select(
-        *BLOCK_KEY, F.col("_r.rank_mean").alias("temp_rank_mean"))
-    return volts.join(temps, list(BLOCK_KEY), "full")
+    return volts.unionByName(temps).groupBy(*BLOCK_KEY).agg(
+        gathered("volt", "rank_mean").alias("volt_rank_mean"),
+        gathered("volt", "rank_stddev").alias("volt_rank_stddev"),
+        gathered("temp", "rank_mean").alias("temp_rank_mean"))
 
 
 _EXTREMES = {"max_volt_sn_count": "max_cell_sn", "min_volt_sn_count": "min_cell_sn",
@@ -287,7 +300,7 @@ def rest_pairs(prepared: DataFrame, p: Params = DEFAULTS, after_charge: bool = T
              .groupBy("battery_id", "process_id")
              .agg(F.min_by(shot, _order()).alias("at0"),
                   F.min_by(shot, F.when(late, _order())).alias("at1")))
-    low = F.array_sort("at1.cell_mv")
+    low = F.sort_array("at1.cell_mv")
     v1, v4, top = F.get(low, 0), F.get(low, 3), F.array_max("at1.cell_mv")
     minutes = (F.unix_micros("at1.sample_ts") - F.unix_micros("at0.sample_ts")) / 60e6
     return pairs.select(

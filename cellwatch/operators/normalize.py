@@ -252,7 +252,7 @@ def frame_derived(df: DataFrame) -> DataFrame:
     """
     c = F.col
     df = df.withColumns({"cell_mv": vectors.vector_mv(c("cell_v"))})
-    df = df.withColumns({"_sorted": F.array_sort("cell_mv")})
+    df = df.withColumns({"_sorted": F.sort_array("cell_mv")})
     df = df.withColumns({
         "hi_mv": F.array_max("cell_mv"), "lo_mv": F.array_min("cell_mv"),
         "mean_mv": vectors.mean(c("cell_mv")), "median_mv": vectors.median(c("_sorted")),

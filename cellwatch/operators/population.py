@@ -52,12 +52,17 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequ
         .alias("quantiles"))
 
 
-def upper_fence(df: DataFrame, keys: Sequence[str], value: str, factor: float,
-                out: str = "fence") -> DataFrame:
-    """keys and Q3 + factor * IQR of ``value``."""
-    q = exact_quantiles(df, keys, value, (0.25, 0.75))
+def upper_fences(df: DataFrame, keys: Sequence[str], fences: dict[str, str], factor: float) -> DataFrame:
+    """keys and, for each ``column: name`` of ``fences``, Q3 + factor * IQR of the column.
+
+    The columns go through one quantile pass together, as rows of (column, value).
+    """
+    long = df.unpivot(list(keys), [F.col(c).cast("double").alias(c) for c in fences], "_of", "_value")
+    q = exact_quantiles(long, [*keys, "_of"], "_value", (0.25, 0.75))
     q1, q3 = F.get("quantiles", 0), F.get("quantiles", 1)
-    return q.select(*keys, (q3 + factor * (q3 - q1)).alias(out))
+    fence = q3 + factor * (q3 - q1)
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("_of") == c, fence)).alias(n)
+                                  for c, n in fences.items()])
 
 
 def z_scores(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -17,6 +17,14 @@ BLOCK_KEY = ("battery_id", "device_id", "process_id", "event_type",
 SLOT = ("date_tag", "hour_tag")
 
 
+def join_blocks(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join of two tables keyed by block; blocks with an unknown tag match too."""
+    other = right.select(*[F.col(k).alias(f"_{k}") for k in BLOCK_KEY],
+                         *[c for c in right.columns if c not in BLOCK_KEY])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in BLOCK_KEY]
+    return left.join(other, same, "left").drop(*[f"_{k}" for k in BLOCK_KEY])
+
+
 def with_tags(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     return df.withColumns({
         "date_tag": tags.date_tag(F.col("sample_ts")),
@@ -29,11 +37,11 @@ def with_tags(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 def number_processes(df: DataFrame, out: str = "process_id") -> DataFrame:
     """Numbers the runs of equal event type of each battery in time order.
 
-    Needs the tags: (battery, date, slot) is the one exchange of the wide frames, and the
-    block key contains it.
+    Needs the tags: runs are numbered per (battery, date, slot), and the block key contains
+    that, so where the frames are shuffled for it the blocks need no further exchange.
     """
     df = df.drop(out) if out in df.columns else df
-    return ordered.number_runs(df, ["battery_id"], "event_type", SLOT, out=out)
+    return ordered.number_long_runs(df, ["battery_id"], "event_type", SLOT, out=out)
 
 
 def with_event_id(df: DataFrame) -> DataFrame:

@@ -26,8 +26,8 @@ _NEEDED = (*segment.BLOCK_KEY, "device_name", "device_type", "source", "brand",
 def prepare_day(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False) -> DataFrame:
     """Prepared frames, written once to the shared scratch folder.
 
-    Four aggregates read them (features, ranks, histograms, rests); writing costs less than
-    four times the wide shuffle, and a lost executor costs a re-read, not a recomputation.
+    Five aggregates read them (features, gaps, ranks, histograms, rests); writing costs less
+    than shuffling and deriving five times, and a lost executor costs a re-read, not a recomputation.
     """
     ready = features.prepare(frames, p, numbered).select(*_NEEDED)
     return materialize(ready, "prepared", ("date_tag",))
@@ -36,11 +36,10 @@ def prepare_day(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False)
 def block_table(prepared: DataFrame, static: DataFrame, as_of: datetime, etl_at: datetime,
                 p: Params = DEFAULTS) -> DataFrame:
     """All columns of the block table, in its order and types."""
-    key = list(segment.BLOCK_KEY)
     blocks = features.block_features(prepared, p)
-    for part in (features.rank_features(prepared), features.sn_histograms(prepared),
-                 features.rest_features(prepared, p)):
-        blocks = blocks.join(part, key, "left")
+    for part in (features.gap_features(prepared), features.rank_features(prepared),
+                 features.sn_histograms(prepared), features.rest_features(prepared, p)):
+        blocks = segment.join_blocks(blocks, part)
     blocks = normalize.enrich_static(blocks, static)
     blocks = segment.with_bookkeeping(blocks, as_of, etl_at)
     schema = blocks.sparkSession.createDataFrame([], BLOCK_FEATURES_DDL).schema

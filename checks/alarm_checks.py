@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cellwatch.operators import features, normalize, quality
 from cellwatch.operators.alarms import diagnosis, realtime, sampling, spread, temperature
 from cellwatch.params import DEFAULTS
+from cellwatch.sources.scratch import materialize
 
 from .case_checks import signalled
 from .feature_checks import AT_CTES, REST_CTES
@@ -85,10 +86,13 @@ def _(spark, sf):
 
 
 def typed_blocks(spark, sf, *cols):
-    """Blocks with at least one effective frame, with the facts of their battery type."""
+    """Blocks with at least one effective frame, with the facts of their battery type.
+
+    Written once and read back, as the warning layer reads the daily block table.
+    """
     blocks = features.block_features(prepared(spark, sf)).filter("effect_msg_count > 0").select(
         *KEY, "device_type", "device_id", "battery_type", *cols)
-    return normalize.enrich_static(blocks, static_dim(spark))
+    return materialize(normalize.enrich_static(blocks, static_dim(spark)), "blocks")
 
 
 # One row per block with what the warning layer looks at.

@@ -9,7 +9,7 @@ from cellwatch.plans import dispatch
 from cellwatch.sources.registry import BUILT_IN, registry_df, signal_rows
 
 from .registry import check
-from .telemetry import frames, table, with_ctes
+from .telemetry import frames, spread, table, with_ctes
 
 DAY = ["battery_id", "date_tag"]
 
@@ -172,7 +172,7 @@ def cases(spark, sf):
     def word(step):
         return F.get(words, (c * step % len(_WORDS)).cast("int"))
 
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         c.alias("case_id"),
         F.concat("text", F.when(c % 7 == 0, F.concat(F.lit(" "), F.upper(word(1)))).otherwise(""),
                  F.when(c % 7 == 1, F.concat(F.lit(" "), word(3), F.lit(" "), word(11))).otherwise(""),

@@ -8,7 +8,7 @@ from cellwatch.operators import evaluate, signals
 
 from .case_checks import DAY, SIG_CTES, signalled
 from .registry import check
-from .telemetry import table, with_ctes
+from .telemetry import spread, table, with_ctes
 
 STEPS = (evaluate.Step("hot", "max_temp", "gt", 55), evaluate.Step("wide", "volt_diff", "gt", 300),
          evaluate.Step("low_iso", "iso_resistance", "lt", 100))
@@ -16,7 +16,7 @@ _RATES = ["precision", "recall"]
 
 
 def _labelled(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("case_id"), "n_chars", "lang")
+    docs = spread(table(spark, sf, "documents")).select(F.col("doc_id").alias("case_id"), "n_chars", "lang")
     truth = table(spark, sf, "labels").select(F.col("doc_id").alias("case_id"),
                                               (F.col("quality") == 1).alias("is_fault"))
     return docs, truth

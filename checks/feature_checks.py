@@ -268,8 +268,7 @@ _ENERGY = {"charge_cap": "coalesce(sum(-current_a * gap_s) FILTER (current_a < 0
     f"{v} AS {n}" for n, v in _ENERGY.items()) + f" FROM g GROUP BY {KEY_SQL}"), rounds=list(_ENERGY),
        digits=3)
 def _(spark, sf):
-    return blocks(spark, sf, "effect_msg_count", *_ENERGY).filter("effect_msg_count > 0").drop(
-        "effect_msg_count")
+    return features.gap_features(prepared(spark, sf)).select(*KEY, *_ENERGY)
 
 
 @check("fea_insulation", _on_effective(_stats_sql("iso_kohm", "insu_resis")), rounds=["avg_insu_resis"])
@@ -282,8 +281,7 @@ SELECT {KEY_SQL}, CAST(count_if(is_balancing AND NOT was_balancing) AS INT) AS b
   CAST(floor(coalesce(sum(gap_s) FILTER (is_balancing), 0) + 0.0000005) AS BIGINT) AS balance_duration
 FROM g GROUP BY {KEY_SQL}"""))
 def _(spark, sf):
-    return blocks(spark, sf, "effect_msg_count", "balance_count", "balance_duration").filter(
-        "effect_msg_count > 0").drop("effect_msg_count")
+    return features.gap_features(prepared(spark, sf)).select(*KEY, "balance_count", "balance_duration")
 
 
 def _corr_sql(x, y):

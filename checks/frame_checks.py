@@ -13,7 +13,10 @@ from . import raw
 from .registry import check
 from .telemetry import KEY, KEY_SQL, frames, messages, prepared, static_dim, table, with_ctes
 
-US = F.unix_micros("sample_ts").alias("us")
+
+
+def us():
+    return F.unix_micros("sample_ts").alias("us")
 
 
 def _at(vector: str, name: str):
@@ -33,7 +36,7 @@ _CANONICAL_ROUNDS = ["user_soc", "real_soc", "real_energy", "current_a", "pack_v
 
 
 def _canonical_view(df):
-    return df.select(*_CANONICAL, US, *_at("cell_v", "cell"), *_at("probe_temp_c", "probe"))
+    return df.select(*_CANONICAL, us(), *_at("cell_v", "cell"), *_at("probe_temp_c", "probe"))
 
 
 _COMMON_SQL = """
@@ -110,7 +113,7 @@ def _(spark, sf):
                     "slice(mv, part * 4 + 1, 4) AS cells", "12 AS declared"))
     packs = normalize.assemble_pack(parts, ("battery_id", "sample_ts", "pack_sn"), "start_sn",
                                     "cells", "declared")
-    return packs.select("battery_id", US, F.size("cells").alias("n_cells"),
+    return packs.select("battery_id", us(), F.size("cells").alias("n_cells"),
                         F.get("cells", 0).alias("cell_1"), F.get("cells", 5).alias("cell_6"),
                         F.get("cells", 11).alias("cell_12"), "is_complete")
 
@@ -268,7 +271,7 @@ def _(spark, sf):
        rounds=["pack_voltage_v"])
 def _(spark, sf):
     return quality.dedup_frames(messages(spark, sf)).select(
-        "frame_no", "battery_id", US, "pack_voltage_v")
+        "frame_no", "battery_id", us(), "pack_voltage_v")
 
 
 @check("qlt_aligned", with_ctes("SELECT frame_no, battery_id, n_cells FROM t WHERE n_cells = 12"))

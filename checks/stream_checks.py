@@ -17,7 +17,10 @@ from .registry import check
 from .telemetry import frames_of, table, with_copies, with_ctes
 
 PARTS = 3
-US = F.unix_micros("sample_ts").alias("us")
+
+
+def us():
+    return F.unix_micros("sample_ts").alias("us")
 
 
 def _arrivals(spark: SparkSession, sf_dir: str, late_every: int | None = None):
@@ -117,14 +120,14 @@ def _(spark, sf):
     ends = source.filter("event_type = 'charging' and device_type = 'swap_station' and frame_no % 11 = 0")
     rests = source.filter("event_type = 'parking'").select("battery_id", "sample_ts", "frame_no")
     pairs = live.rest_pairs(ends.select("battery_id", F.col("sample_ts").alias("t0")), rests)
-    return _to_table(pairs, "rests").select("battery_id", F.unix_micros("t0").alias("t0_us"), US, "frame_no")
+    return _to_table(pairs, "rests").select("battery_id", F.unix_micros("t0").alias("t0_us"), us(), "frame_no")
 
 
 @check("str_dedup", with_ctes("SELECT battery_id, us, frame_no % 1000000000000 AS event FROM u"))
 def _(spark, sf):
     copies = with_copies(frames_of(_arrivals(spark, sf)).select("battery_id", "sample_ts", "frame_no"))
     return _to_table(live.dedup(copies), "once").select(
-        "battery_id", US, (F.col("frame_no") % 10**12).alias("event"))
+        "battery_id", us(), (F.col("frame_no") % 10**12).alias("event"))
 
 
 @check("str_late", with_ctes(_SLOTS), rounds=["avg_current_a"])

@@ -25,19 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# The reading at position i; written out per position, so that it is compiled code.
-_CELL = """cast(CASE WHEN e % 97 = 0 THEN if({i} >= 4, 3600 + {i}, 0)
-    ELSE 3600 + (e * 7 + {i} * 13) % (9 + e % 7) + if(e % 29 = 0 AND {i} = 3, 20, 0)
-      + if(e % 53 = 0 AND {i} = 5, 250, 0)
-      + if((e % 199 = 0 OR e % 173 = 0) AND {i} = 7, 1000, 0)
-      - if(e % 211 = 0 AND {i} = 2, 2400, 0) END AS double)"""
-_PROBE = """cast(25 + (e + {i}) % 4 + if(e % 61 = 0 AND {i} = 2, 20, 0)
-      + if((e % 113 = 0 OR e % 173 = 0) AND {i} = 1, 40, 0)
-      - if(e % 127 = 0 AND {i} = 4, 65 + (e + {i}) % 4, 0) AS double)"""
-
-
-def _vector(reading: str, size: int) -> str:
-    return "array(" + ", ".join(reading.format(i=i) for i in range(size)) + ")"
+# The vectors are written out per position, with the injected faults as columns of their
+# own: short compiled code, where one long expression per position would not be compiled.
+_FAULTS = {
+    "flat": "e % 97 = 0", "width": "9 + e % 7", "x2": "if(e % 211 = 0, -2400, 0)",
+    "x3": "if(e % 29 = 0, 20, 0)", "x5": "if(e % 53 = 0, 250, 0)",
+    "x7": "if(e % 199 = 0 OR e % 173 = 0, 1000, 0)", "y2": "if(e % 61 = 0, 20, 0)",
+    "y1": "if(e % 113 = 0 OR e % 173 = 0, 40, 0)", "y4": "if(e % 127 = 0, -65 - (e + 4) % 4, 0)",
+}
+_FLAT = ", ".join(f"{3600 + i if i >= 4 else 0}.0D" for i in range(12))
+_CELLS = ", ".join(f"cast(3600 + (e * 7 + {i * 13}) % width{f' + x{i}' if i in (2, 3, 5, 7) else ''} AS double)"
+                   for i in range(12))
+_PROBES = ", ".join(f"cast(25 + (e + {i}) % 4{f' + y{i}' if i in (1, 2, 4) else ''} AS double)"
+                    for i in range(6))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -57,7 +57,9 @@ def base(events: DataFrame) -> DataFrame:
         .selectExpr("*", """CASE WHEN station THEN if((slot + b) % 3 = 0, 'charging', 'parking')
             ELSE element_at(array('driving', 'parking', 'charging'), (slot + b) % 3 + 1) END
             AS event_type""")
-        .selectExpr("*", _vector(_CELL, 12) + " AS mv", _vector(_PROBE, 6) + " AS temps",
+        .selectExpr("*", *[f"{v} AS {n}" for n, v in _FAULTS.items()])
+        .selectExpr("e", "sample_ts", "k", "b", "slot", "m2", "station", "event_type",
+                    f"if(flat, array({_FLAT}), array({_CELLS})) AS mv", f"array({_PROBES}) AS temps",
                     """CASE WHEN (e div 40) % 23 = 0 THEN 60 + k % 30 WHEN e % 131 = 0 THEN 5000
             ELSE 2000 + 10 * k END AS iso"""))
 
