@@ -17,8 +17,9 @@ def hour_tag(ts: Column, p: Params = DEFAULTS) -> Column:
 
 
 def soc_tag(soc: Column, p: Params = DEFAULTS) -> Column:
-    """User-SOC bin from 0; a full battery falls into the last bin."""
-    return F.least(F.floor(soc / p.soc_bin), F.lit(p.soc_bins - 1)).cast("int")
+    """User-SOC bin from 0; a full battery falls into the last bin, an unknown SOC into none."""
+    last = F.lit(p.soc_bins - 1)
+    return F.when(soc.isNotNull(), F.least(F.floor(soc / p.soc_bin), last)).cast("int")
 
 
 def curr_tag(current: Column, edges: Sequence[float] = DEFAULTS.curr_edges) -> Column:

@@ -12,7 +12,7 @@ from ..params import DEFAULTS, Params
 from ..schemas import BLOCK_FEATURES_DDL
 from ..sources.scratch import materialize
 
-# What the block features read; everything else of the frames is left behind.
+# What the block features and the warning layer read; the rest of the frames is left behind.
 _NEEDED = (*segment.BLOCK_KEY, "device_name", "device_type", "source", "brand", "battery_type",
            "sample_ts", "frame_no", "user_soc", "real_soc", "soh", "real_energy", "current_a",
            "pack_voltage_v", "cell_v", "cell_mv", "probe_temp_c", "hi_mv", "lo_mv", "mean_mv",
@@ -20,7 +20,7 @@ _NEEDED = (*segment.BLOCK_KEY, "device_name", "device_type", "source", "brand",
            "temp_diff_c", "deviation_mv", "max_cell_v", "max_cell_sn", "min_cell_v", "min_cell_sn",
            "avg_cell_v", "max_temp_c", "max_temp_sn", "min_temp_c", "min_temp_sn", "iso_kohm",
            "is_balancing", "mileage", "speed", "bms_version", "device_version", "is_test",
-           "cold_init", "is_effective", "n_msgs")
+           "cell_init", "probe_init", "cold_init", "iso_init", "is_missing", "is_effective", "n_msgs")
 
 
 def prepare_day(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False) -> DataFrame:

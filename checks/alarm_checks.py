@@ -6,15 +6,16 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from cellwatch.operators import features, normalize, quality
+from cellwatch.operators import features, normalize, ordered
 from cellwatch.operators.alarms import diagnosis, realtime, sampling, spread, temperature
 from cellwatch.params import DEFAULTS
+from cellwatch.plans import daily
 from cellwatch.sources.scratch import materialize
 
 from .case_checks import signalled
 from .feature_checks import AT_CTES, REST_CTES
 from .registry import check
-from .telemetry import KEY, KEY_SQL, frames, prepared, static_dim, with_ctes
+from .telemetry import KEY, KEY_SQL, frames, messages, prepared, static_dim, with_ctes
 
 # Frames come about every quarter of an hour here, so limits counted in frames are smaller.
 SPARSE = replace(DEFAULTS, cold_init_frames=1, init_share=0.02, sigma=1.0, rank_shift=3.0,
@@ -85,12 +86,18 @@ def _(spark, sf):
         "spafchg_outlier_rate", "fired")
 
 
-def typed_blocks(spark, sf, *cols):
+def prepared_table(spark, sf):
+    """Prepared frames written once, for queries that run several algorithms over them."""
+    return daily.prepare_day(messages(spark, sf))
+
+
+def typed_blocks(spark, sf, *cols, ready=None):
     """Blocks with at least one effective frame, with the facts of their battery type.
 
     Written once and read back, as the warning layer reads the daily block table.
     """
-    blocks = features.block_features(prepared(spark, sf)).filter("effect_msg_count > 0").select(
+    ready = prepared(spark, sf) if ready is None else ready
+    blocks = features.block_features(ready).filter("effect_msg_count > 0").select(
         *KEY, "device_type", "device_id", "battery_type", *cols)
     return materialize(normalize.enrich_static(blocks, static_dim(spark)), "blocks")
 
@@ -270,6 +277,21 @@ def _(spark, sf):
     return sampling.symmetry(prepared(spark, sf)).withColumn("position", F.col("position").cast("long"))
 
 
+@check("win_hot_battery", with_ctes("""
+, c AS (SELECT us, frame_no, CASE WHEN e % 3 = 0 THEN 'HOT' ELSE battery_id END AS bid,
+          (iso_kohm > 0 AND iso_kohm < 100)::INT AS p FROM t)
+SELECT frame_no, bid AS battery_id, sum(p) OVER (PARTITION BY bid ORDER BY us, frame_no
+  ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)::DOUBLE AS factor FROM c"""))
+def _(spark, sf):
+    """The row window with a third of all frames on one battery, in chunks far below its length."""
+    df = frames(spark, sf).select(
+        F.when(F.col("frame_no") % 3 == 0, "HOT").otherwise(F.col("battery_id")).alias("battery_id"),
+        "sample_ts", "frame_no",
+        F.when((F.col("iso_kohm") > 0) & (F.col("iso_kohm") < 100), 1.0).otherwise(0.0).alias("points"))
+    return ordered.rolling(df, ["battery_id"], 100, {"factor": F.sum("points")}, ordered.time_slice(7200),
+                           chunk_rows=500).select("frame_no", "battery_id", "factor")
+
+
 # --- diagnosis ---------------------------------------------------------------------------
 
 
@@ -301,8 +323,8 @@ SELECT battery_id, date_tag, code, n_fired, lfp_group, ncm_group, common_group F
   UNION ALL SELECT *, 'P0202' FROM r WHERE list_has_any(algorithms, ['ap8', 'ap_vdiff_stat', 'ap_vdiff_math'])
   UNION ALL SELECT *, 'P0203' FROM r WHERE list_contains(algorithms, 'ap_alphaq'))"""))
 def _(spark, sf):
-    ready, static = prepared(spark, sf), static_dim(spark)
-    blocks = typed_blocks(spark, sf, *_FACTORS)
+    ready, static = prepared_table(spark, sf), static_dim(spark)
+    blocks = typed_blocks(spark, sf, *_FACTORS, ready=ready)
     alarms = diagnosis.merge([
         diagnosis.fired_days(df, name) for name, df in (
             ("ap2", spread.outlier_lfp(blocks)), ("ap3", spread.outlier_ncm(blocks)),
@@ -325,8 +347,8 @@ SELECT battery_id, date_tag, code, n_fired, longest_s, recovered FROM (
   SELECT *, 'P0302' AS code FROM r WHERE longest_s >= 1 AND NOT recovered
   UNION ALL SELECT *, 'P0308' FROM r WHERE recovered)"""), rounds=["longest_s"])
 def _(spark, sf):
-    ready = prepared(spark, sf)
-    blocks = typed_blocks(spark, sf, "avg_temp_diff")
+    ready = prepared_table(spark, sf)
+    blocks = typed_blocks(spark, sf, "avg_temp_diff", ready=ready)
     alarms = diagnosis.merge([diagnosis.fired_days(temperature.expert(ready), "ap9"),
                               diagnosis.fired_days(temperature.statistical(blocks), "ap10")])
     return diagnosis.temperature(alarms, ready, SPARSE).drop("algorithms")
@@ -343,7 +365,7 @@ SELECT battery_id, date_tag, code, n_fired, sigma_outlier FROM (
   UNION ALL SELECT *, 'P0303' FROM r WHERE list_contains(algorithms, 'ap_sampling_temp')
   UNION ALL SELECT *, 'P0308' FROM r WHERE list_contains(algorithms, 'ap13'))"""))
 def _(spark, sf):
-    ready = prepared(spark, sf)
+    ready = prepared_table(spark, sf)
     mirrored = (sampling.symmetry(ready).groupBy("battery_id").agg(F.bool_or("fired").alias("fired")))
     days = ready.select("battery_id", "date_tag").distinct()
     alarms = diagnosis.merge([diagnosis.fired_days(df, name) for name, df in (

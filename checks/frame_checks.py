@@ -310,7 +310,7 @@ FROM t WINDOW w AS (PARTITION BY battery_id ORDER BY ts, frame_no),
               s AS (PARTITION BY device_id, k % 3 ORDER BY ts, frame_no)"""))
 def _(spark, sf):
     df = frames(spark, sf).select("frame_no", "sample_ts", "battery_id", "device_id", "user_soc",
-                                  "pack_voltage_v", (F.abs("current_a") % 3).alias("_c"))
+                                  "pack_voltage_v")
     events = table(spark, sf, "events").selectExpr(
         "event_id AS frame_no", "cast(get_json_object(props, '$.k') AS int) % 3 AS slot_id")
     df = quality.jump_flags(df.join(events, "frame_no"))

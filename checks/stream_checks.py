@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.operators import ordered
 from cellwatch.params import DEFAULTS
 from cellwatch.sources import sinks
 from cellwatch.sources.frames import stream_frames
@@ -146,18 +145,3 @@ def _(spark, sf):
     recomputed = dated(live.block_windows(everything)).filter("date <= '2024-01-10' or date >= '2024-01-30'")
     sinks.write_blocks(recomputed, path)
     return _slot_view(spark.read.parquet(path))
-
-
-@check("win_hot_battery", with_ctes("""
-, c AS (SELECT us, frame_no, CASE WHEN e % 3 = 0 THEN 'HOT' ELSE battery_id END AS bid,
-          (iso_kohm > 0 AND iso_kohm < 100)::INT AS p FROM t)
-SELECT frame_no, bid AS battery_id, sum(p) OVER (PARTITION BY bid ORDER BY us, frame_no
-  ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)::DOUBLE AS factor FROM c"""))
-def _(spark, sf):
-    """The row window with a third of all frames on one battery, in chunks far below its length."""
-    df = frames_of(table(spark, sf, "events")).select(
-        F.when(F.col("frame_no") % 3 == 0, "HOT").otherwise(F.col("battery_id")).alias("battery_id"),
-        "sample_ts", "frame_no",
-        F.when((F.col("iso_kohm") > 0) & (F.col("iso_kohm") < 100), 1.0).otherwise(0.0).alias("points"))
-    return ordered.rolling(df, ["battery_id"], 100, {"factor": F.sum("points")}, ordered.time_slice(7200),
-                           chunk_rows=500).select("frame_no", "battery_id", "factor")

@@ -56,17 +56,19 @@ def test_running_total(df, local):
     assert got.total.tolist() == want.t.tolist()
 
 
-def test_number_runs_counts_nulls_as_a_kind(df, local):
-    got = collected(ordered.number_runs(df, ["k"], "kind", SLICES(60)), "run")
+@pytest.mark.parametrize("number", [ordered.number_runs, ordered.number_long_runs])
+def test_number_runs_counts_nulls_as_a_kind(df, local, number):
+    got = collected(number(df, ["k"], "kind", SLICES(60)), "run")
     kind = local.kind.fillna("-")
     change = (kind != kind.groupby(local.k).shift(1)).astype(int)
     want = local.assign(r=change.groupby(local.k).cumsum()).sort_values("frame_no")
     assert got.run.tolist() == want.r.tolist()
 
 
-def test_number_runs_with_kept_slice_columns(df, local):
+@pytest.mark.parametrize("number", [ordered.number_runs, ordered.number_long_runs])
+def test_number_runs_with_kept_slice_columns(df, local, number):
     tagged = df.withColumn("hour", F.hour("sample_ts")).withColumn("minute", F.minute("sample_ts"))
-    got = collected(ordered.number_runs(tagged, ["k"], "kind", ["hour", "minute"]), "run")
+    got = collected(number(tagged, ["k"], "kind", ["hour", "minute"]), "run")
     kind = local.kind.fillna("-")
     change = (kind != kind.groupby(local.k).shift(1)).astype(int)
     want = local.assign(r=change.groupby(local.k).cumsum()).sort_values("frame_no")
