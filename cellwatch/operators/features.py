@@ -287,11 +287,12 @@ def rest_pairs(prepared: DataFrame, p: Params = DEFAULTS, after_charge: bool = T
     combined map-side and no range join is planned.
     """
     frames = effective(prepared)
+    if device_type is not None:
+        frames = frames.filter(F.col("device_type") == device_type)
     rests = segment.processes(frames).filter("event_type = 'parking'")
     if after_charge:
         rests = rests.filter("prev_event_type = 'charging'")
-    if device_type is not None:
-        rests = rests.filter(F.col("device_type") == device_type)
+    frames = frames.filter("event_type = 'parking'")
     rests = rests.select("battery_id", "process_id", F.col("start_ts").alias("t0"))
     shot = F.struct("sample_ts", "volt_diff_mv", "mean_mv", "cell_mv",
                     *[k for k in BLOCK_KEY if k not in ("battery_id", "process_id")])

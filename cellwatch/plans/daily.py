@@ -23,6 +23,12 @@ _NEEDED = (*segment.BLOCK_KEY, "device_name", "device_type", "source", "brand",
            "cell_init", "probe_init", "cold_init", "iso_init", "is_missing", "is_effective", "n_msgs")
 
 
+def prepare_sources(vehicle: DataFrame, station: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Prepared frames of both sources. Vehicles number their processes themselves, so only
+    station frames, the smaller part, are shuffled to be numbered."""
+    return features.prepare(vehicle, p, numbered=True).unionByName(features.prepare(station, p))
+
+
 def prepare_day(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False) -> DataFrame:
     """Prepared frames, written once to the shared scratch folder.
 

@@ -37,16 +37,20 @@ def infer_types(cases: DataFrame, signalled: DataFrame, p: Params = DEFAULTS) ->
 
 def resolve_cases(cases: DataFrame, signalled: DataFrame,
                   registry: Sequence[FailureType] = BUILT_IN, p: Params = DEFAULTS) -> DataFrame:
-    """Adds the declared and inferred types and settles on one, with its origin."""
+    """Adds the declared and inferred types and settles on one, with its origin.
+
+    Keywords are found where the texts lie; the texts then stay behind, so that the joins
+    move identifiers only.
+    """
     verdicts = infer_types(cases, signalled, p).select(
         "case_id", "verdict", "signals",
         classify.family_type(F.col("inferred_family")).alias("inferred_type"))
-    declared = classify.declare_type(cases, registry)
+    declared = classify.declare_type(cases, registry).drop("text")
     return classify.resolve_type(declared.join(verdicts, "case_id", "left"))
 
 
 def dispatch(cases: DataFrame, signalled: DataFrame, registry: DataFrame,
              types: Sequence[FailureType] = BUILT_IN, p: Params = DEFAULTS) -> DataFrame:
     """Resolved cases with their registry fields, path, task and what is still missing."""
-    routed = classify.route(resolve_cases(cases, signalled, types, p), registry)
-    return classify.task_type(classify.split_route(routed))
+    resolved = resolve_cases(classify.task_type(cases), signalled, types, p)
+    return classify.split_route(classify.route(resolved, registry))
