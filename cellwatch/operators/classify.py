@@ -6,6 +6,7 @@ array: matching is a narrow projection over whole texts, with no join and no pai
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,16 +28,32 @@ FAMILY_TYPES = {"thermal_runaway": "thermal_runaway", "insulation": "insulation_
                 "sampling": "sampling_comprehensive"}
 
 
+_IDEOGRAPH = "[\u4e00-\u9fff]"
+
+
 def _hits(text: str, registry: Sequence[FailureType]) -> Column:
-    """Keywords found in the folded text. The text goes in as a lambda variable, so that it
-    is folded once and not once per keyword.
+    """Keywords found in the folded text.
+
+    The text goes in as a lambda variable, so that it is folded once and not once per
+    keyword. Keywords with ideographs, the most, are tried only where the text has any.
     """
-    words = F.array(*[
-        F.struct(F.lit(t.failure_type).alias("failure_type"), F.lit(k).alias("keyword"),
-                 F.lit(k.lower()).alias("folded"), F.lit(i).alias("position"))
-        for i, t in enumerate(registry) for k in t.keywords])
-    return F.get(F.transform(F.array(F.lower(text)), lambda t: F.filter(
-        words, lambda w: F.contains(t, w["folded"]))), 0)
+    words = [(t.failure_type, k, i) for i, t in enumerate(registry) for k in t.keywords]
+
+    def array(chosen):
+        return F.array(*[F.struct(F.lit(kind).alias("failure_type"), F.lit(k).alias("keyword"),
+                                  F.lit(k.lower()).alias("folded"), F.lit(i).alias("position"))
+                         for kind, k, i in chosen])
+
+    def found(t, chosen):
+        return F.filter(array(chosen), lambda w: F.contains(t, w["folded"]))
+
+    ideographic = [w for w in words if re.search(_IDEOGRAPH, w[1])]
+    plain = [w for w in words if not re.search(_IDEOGRAPH, w[1])]
+    if not ideographic or not plain:
+        return F.get(F.transform(F.array(F.lower(text)), lambda t: found(t, words)), 0)
+    return F.get(F.transform(F.array(F.lower(text)), lambda t: F.concat(
+        found(t, plain), F.when(t.rlike(_IDEOGRAPH), found(t, ideographic))
+        .otherwise(F.slice(array(plain), 1, 0)))), 0)
 
 
 def match_keywords(cases: DataFrame, registry: Sequence[FailureType] = BUILT_IN,
