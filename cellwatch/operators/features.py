@@ -227,30 +227,38 @@ def gap_features(prepared: DataFrame) -> DataFrame:
         total(balancing, "gap_s").cast("long").alias("balance_duration"))
 
 
+def _ranked(prepared: DataFrame, keys: Sequence[str], vectors_: dict[str, str]) -> DataFrame:
+    """Rank statistics per position of each vector (name -> column), in one pass."""
+    frames = effective(prepared).select(
+        *keys, *[F.col(v).alias(f"_v_{n}") for n, v in vectors_.items()],
+        *[F.sort_array(v).alias(f"_s_{n}") for n, v in vectors_.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("_of"),
+                               vectors.ranks(F.col(f"_v_{n}"), F.col(f"_s_{n}")).alias("_ranks"))
+                      for n in vectors_])
+    rows = (frames.select(*keys, F.inline(pairs))
+            .select(*keys, "_of", F.posexplode("_ranks").alias("_at", "_rank")))
+    return (rows.groupBy(*keys, "_of", (F.col("_at") + 1).alias("position"))
+            .agg(F.avg("_rank").alias("rank_mean"), F.stddev_pop("_rank").alias("rank_stddev")))
+
+
 def rank_rows(prepared: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
     """Mean and spread of the rank each position of ``vector`` has within its frame."""
-    sorted_ = F.sort_array(vector)
-    ranked = (effective(prepared).select(*keys, F.col(vector).alias("_v"), sorted_.alias("_s"))
-              .select(*keys, F.posexplode(vectors.ranks(F.col("_v"), F.col("_s")))
-                      .alias("_at", "_rank")))
-    return (ranked.groupBy(*keys, (F.col("_at") + 1).alias("position"))
-            .agg(F.avg("_rank").alias("rank_mean"), F.stddev_pop("_rank").alias("rank_stddev")))
+    return _ranked(prepared, keys, {"v": vector}).drop("_of")
 
 
 def rank_features(prepared: DataFrame) -> DataFrame:
     """``volt_rank_mean``, ``volt_rank_stddev``, ``temp_rank_mean`` per block.
 
     The exploded rows are aggregated per position before they are gathered, so a block
-    gathers no more than one row per cell.
+    gathers no more than one row per cell and probe.
     """
-    volts = rank_rows(prepared, BLOCK_KEY, "cell_mv").withColumn("_of", F.lit("volt"))
-    temps = rank_rows(prepared, BLOCK_KEY, "probe_temp_c").withColumn("_of", F.lit("temp"))
+    rows = _ranked(prepared, BLOCK_KEY, {"volt": "cell_mv", "temp": "probe_temp_c"})
 
     def gathered(of, column):
-        rows = F.collect_list(F.when(F.col("_of") == of, F.struct("position", column)))
-        return F.sort_array(rows)[column]
+        picked = F.collect_list(F.when(F.col("_of") == of, F.struct("position", column)))
+        return F.sort_array(picked)[column]
 
-    return volts.unionByName(temps).groupBy(*BLOCK_KEY).agg(
+    return rows.groupBy(*BLOCK_KEY).agg(
         gathered("volt", "rank_mean").alias("volt_rank_mean"),
         gathered("volt", "rank_stddev").alias("volt_rank_stddev"),
         gathered("temp", "rank_mean").alias("temp_rank_mean"))

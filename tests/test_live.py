@@ -46,3 +46,13 @@ def test_insulation_runs_over_batches(spark, tmp_path):
     want = sorted((r.battery_id, r.start_ts, r.end_ts, r.n_frames, r.min_iso)
                   for r in signals.insulation_runs(frames(spark, rows)).collect())
     assert got == want
+
+
+def test_alarm_batches_are_replaced_not_doubled(spark, tmp_path):
+    from cellwatch.sources.sinks import alarm_batch_writer
+
+    write = alarm_batch_writer(str(tmp_path / "alarms"))
+    first, second, _ = batches(spark, telemetry())
+    for batch, number in ((first, 0), (second, 1), (second, 1)):
+        write(batch.select("battery_id", "frame_no"), number)
+    assert spark.read.parquet(str(tmp_path / "alarms")).count() == 25
