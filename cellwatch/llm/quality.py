@@ -80,19 +80,16 @@ def repeated(words: Column) -> Column:
 def measured(df: DataFrame, text: str = "text", into: str = "measured") -> DataFrame:
     """Adds one struct of all measurements."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    lines = let(F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), lambda x: F.struct(
-        F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
-    words = let(words_of(t), lambda w: F.struct(F.size(w).cast("long").alias("n"),
-                                                repeated(w).cast("long").alias("again")))
-    df = df.withColumn(into, F.struct(
-        words.alias("w"), lines.alias("l"),
+    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+    # one value, bound once: a struct of its own would be taken apart and computed per field
+    return df.withColumn(into, let(words_of(t), lambda w: let(lines, lambda x: F.struct(
+        F.size(w).cast("long").alias("n_words"),
         (F.length(t) - count_of(t, " \t\n\x0b\x0c\r")).cast("long").alias("word_chars"),
-        count_of(t, "#*$%&|<>").alias("n_symbols"), count_of(t, "!").alias("n_bangs")))
-    m = F.col(into)
-    return df.withColumn(into, F.struct(
-        m["w"]["n"].alias("n_words"), m["word_chars"].alias("word_chars"), m["n_symbols"].alias("n_symbols"),
-        m["l"]["dup"].alias("n_dup_lines"), m["w"]["again"].alias("n_repeat_words"),
-        m["l"]["n"].alias("n_lines"), m["n_bangs"].alias("n_bangs")))
+        count_of(t, "#*$%&|<>").alias("n_symbols"),
+        (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        repeated(w).cast("long").alias("n_repeat_words"),
+        F.size(x).cast("long").alias("n_lines"), count_of(t, "!").alias("n_bangs")))))
 
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
