@@ -38,8 +38,8 @@ def words_of(text: Column) -> Column:
 
 def minima(words: Column) -> Column:
     """The fingerprint of each window of 13 words, by its start."""
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - (GRAM - 1)),
-                        lambda i: F.xxhash64(F.slice(words, i, GRAM)))
+    grams = let(words, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (GRAM - 1)),
+                                             lambda i: F.xxhash64(F.slice(w, i, GRAM))))
     return let(grams, lambda g: F.transform(F.sequence(F.lit(1), F.size(g) - (WINDOW - GRAM)),
                                             lambda i: F.array_min(F.slice(g, i, WINDOW - GRAM + 1))))
 
@@ -90,6 +90,9 @@ class Benchmark:
 
     def candidates(self, words: Column) -> Column:
         """(start, length) of the windows of a row that the benchmark may have."""
+        return let(words, self._candidates)
+
+    def _candidates(self, words: Column) -> Column:
         none = F.array().cast("array<struct<s:int,n:int>>")
         long_ = none if self.bits.empty else F.when(F.size(words) >= WINDOW, let(
             minima(words), lambda m: F.when(

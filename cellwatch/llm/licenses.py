@@ -187,10 +187,11 @@ def scan(docs: DataFrame) -> DataFrame:
     joined = base.select(
         "doc_id", "words", F.size("words").cast("long").alias("n_words"),
         F.when(F.col("gate"), F.array_join("words", " ")).otherwise("").alias("words_text"))
-    keywords = F.filter(F.array(*[F.lit(k) for k in KEYWORDS]), lambda k: F.contains(F.col("words_text"), k))
+    keywords = let(F.col("words_text"), lambda x: F.filter(
+        F.array(*[F.lit(k) for k in KEYWORDS]), lambda k: F.contains(x, k)))
     scanned = joined.select(
         "doc_id", "n_words", "words_text", F.xxhash64("words_text", "n_words").alias("h"),
-        _places(F.col("words"), F.col("words_text")).alias("places"),
+        let(F.col("words"), lambda w: _places(w, F.col("words_text"))).alias("places"),
         F.when(F.col("words_text") != "", keywords).otherwise(F.array().cast("array<string>")).alias("keywords"))
     # rows alike in id and words have the same matches, so a copy of a row needs none of its own
     texts = scanned.where(F.size("keywords") > 0).select(

@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, sharding
+from . import bpe, decontaminate, licenses, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"))
 
@@ -22,14 +26,23 @@ def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placement(_table(spark, sf_dir, "documents"))
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"),
                        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_signatures": op2_license_signatures,
     "op3_quality_ledger": op3_quality_ledger,
     "op6_histogram_sort": op6_histogram_sort,
+    "op8_winnowing": op8_winnowing,
     "op9_byte_bpe": op9_byte_bpe,
 }
-ORACLES: dict[str, str] = {"op3_quality_ledger": quality.SQL}
+ORACLES: dict[str, str] = {
+    "op3_quality_ledger": quality.SQL,
+    "op8_winnowing": decontaminate.SQL,
+}
