@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, quality, sharding
+from . import bpe, decontaminate, licenses, neardup, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placement(_table(spark, sf_dir, "documents"))
 
 
+def op7_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -39,10 +43,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_signatures": op2_license_signatures,
     "op3_quality_ledger": op3_quality_ledger,
     "op6_histogram_sort": op6_histogram_sort,
+    "op7_tensored_minhash": op7_tensored_minhash,
     "op8_winnowing": op8_winnowing,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op3_quality_ledger": quality.SQL,
+    "op7_tensored_minhash": neardup.SQL,
     "op8_winnowing": decontaminate.SQL,
 }
