@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, neardup, quality, sharding
+from . import bpe, decontaminate, licenses, neardup, quality, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placement(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_signatures": op2_license_signatures,
     "op3_quality_ledger": op3_quality_ledger,
+    "op5_warc_index_merge": op5_warc_index_merge,
     "op6_histogram_sort": op6_histogram_sort,
     "op7_tensored_minhash": op7_tensored_minhash,
     "op8_winnowing": op8_winnowing,
