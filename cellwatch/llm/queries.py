@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, neardup, quality, sharding, warc
+from . import bpe, decontaminate, html, licenses, neardup, quality, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_signatures": op2_license_signatures,
     "op3_quality_ledger": op3_quality_ledger,
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_tensored_minhash": op7_tensored_minhash,
     "op8_winnowing": op8_winnowing,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_host_suffix_array": op10_host_suffix_array,
 }
 ORACLES: dict[str, str] = {
     "op3_quality_ledger": quality.SQL,
