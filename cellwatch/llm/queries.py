@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, licenses, neardup, quality, sharding, warc
+from . import bpe, decontaminate, html, licenses, neardup, quality, sharding, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op4_string_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -50,6 +54,7 @@ def op10_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_signatures": op2_license_signatures,
     "op3_quality_ledger": op3_quality_ledger,
+    "op4_string_kernel_svm": op4_string_kernel_svm,
     "op5_warc_index_merge": op5_warc_index_merge,
     "op6_histogram_sort": op6_histogram_sort,
     "op7_tensored_minhash": op7_tensored_minhash,
