@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, licenses, neardup, quality, sharding, toxicity, warc
+from . import bpe, decontaminate, html, licenses, neardup, quality, sharding, toxicity, treeweight, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treeweight.score(_table(spark, sf_dir, "documents"))
+
+
 def op2_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_context_tree_weighting": op1_context_tree_weighting,
     "op2_license_signatures": op2_license_signatures,
     "op3_quality_ledger": op3_quality_ledger,
     "op4_string_kernel_svm": op4_string_kernel_svm,
