@@ -38,7 +38,7 @@ from .common import crc_rest, long_array, lowered, slices, utf8, word_hashes
 
 DEPTH, SPLIT = 5, 3
 FOLDS, HELD = 7, 2
-BLOCK_BYTES, SLICE, SHARE_RUNS = 16 << 20, 1 << 21, 300_000
+BLOCK_BYTES, SLICE, SHARE_RUNS = 64 << 20, 1 << 21, 300_000
 END, BEFORE = 0xFF, 0xFE  # bytes that UTF-8 never has
 WORD_KEY = np.uint64(1 << 63)
 
