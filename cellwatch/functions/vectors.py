@@ -20,6 +20,12 @@ def vector_mv(v: Column) -> Column:
     return F.transform(v, to_mv)
 
 
+def readings(v: Column) -> Column:
+    """The vector without nulls and NaN, which Spark would order above every number. A zero stays:
+    it is a reading (and counts as missing only by its share)."""
+    return F.filter(v, lambda x: x.isNotNull() & ~F.isnan(x))
+
+
 def total(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
 
@@ -29,11 +35,11 @@ def mean(v: Column) -> Column:
 
 
 def argmax(v: Column) -> Column:
-    return F.nullif(F.array_position(v, F.array_max(v)).cast("int"), F.lit(0))
+    return F.nullif(F.array_position(v, F.array_max(readings(v))).cast("int"), F.lit(0))
 
 
 def argmin(v: Column) -> Column:
-    return F.nullif(F.array_position(v, F.array_min(v)).cast("int"), F.lit(0))
+    return F.nullif(F.array_position(v, F.array_min(readings(v))).cast("int"), F.lit(0))
 
 
 def sorted_quantile(s: Column, q: float) -> Column:

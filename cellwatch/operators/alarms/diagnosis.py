@@ -95,8 +95,8 @@ def temperature(alarms: DataFrame, prepared: DataFrame, p: Params = DEFAULTS,
                 rules: Sequence[CodeRule] = TEMP_RULES) -> DataFrame:
     """``ap27``: alarms with how long the spread lasted and whether it came back to normal.
 
-    A suspect run is one of effective frames with a wide temperature spread, counted on the
-    day it starts; it has recovered when a later effective frame of the battery is normal,
+    A suspect run is one of effective frames with a wide temperature spread, counted with its
+    whole length on every day it touches; it has recovered when a later effective frame of the battery is normal,
     that is, when the run does not reach the battery's last frame.
     """
     thin = prepared.filter("is_effective and temp_diff_c is not null").select(
@@ -104,7 +104,8 @@ def temperature(alarms: DataFrame, prepared: DataFrame, p: Params = DEFAULTS,
     suspect = signals.runs(thin, F.col("temp_diff_c") > p.tdiff_c, p=p)
     last = thin.groupBy("battery_id").agg(F.max("sample_ts").alias("_last"))
     spans = (suspect.join(last, "battery_id")
-             .withColumn("date_tag", F.date_format("start_ts", "yyyy-MM-dd"))
+             .withColumn("_day", F.explode(F.sequence(F.to_date("start_ts"), F.to_date("end_ts"))))
+             .withColumn("date_tag", F.date_format("_day", "yyyy-MM-dd"))
              .groupBy("battery_id", "date_tag")
              .agg(F.max("duration_s").alias("longest_s"),
                   F.bool_and(F.col("end_ts") < F.col("_last")).alias("recovered")))

@@ -39,22 +39,23 @@ def symmetry(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Neighbouring cells that jitter in mirror image.
 
     Between two frames a pair scores the smaller of its two steps when they go opposite
-    ways. Scores add up per battery and pair; a pair above the battery's fence fires. A
-    pack has at most a few hundred pairs, so the fence's group is bounded by the pack.
+    ways. Scores add up per battery, day and pair; a pair above its battery-day's fence fires. A
+    step over midnight counts on the day it ends. A pack has at most a few hundred pairs, so the fence's group is bounded by the pack.
     """
-    thin = prepared.select("battery_id", "sample_ts", "frame_no", "cell_mv")
+    day = ["battery_id", "date_tag"]
+    thin = prepared.select(*day, "sample_ts", "frame_no", "cell_mv")
     df = ordered.previous(thin, ["battery_id"], ["cell_mv"], ordered.time_slice(p.slot_seconds))
     steps = F.zip_with("cell_mv", "prev.cell_mv", lambda a, b: a - b)
-    df = df.filter(F.col("prev").isNotNull()).select("battery_id", steps.alias("_d"))
+    df = df.filter(F.col("prev").isNotNull()).select(*day, steps.alias("_d"))
     left = F.slice("_d", 1, F.greatest(F.size("_d") - 1, F.lit(0)))
     right = F.slice("_d", 2, F.greatest(F.size("_d") - 1, F.lit(0)))
     score = F.zip_with(left, right, lambda a, b: F.when(
         a * b < 0, F.least(F.abs(a), F.abs(b))).otherwise(0.0))
-    pairs = (df.select("battery_id", F.posexplode(score).alias("_at", "_s"))
-             .groupBy("battery_id", (F.col("_at") + 1).alias("position"))
+    pairs = (df.select(*day, F.posexplode(score).alias("_at", "_s"))
+             .groupBy(*day, (F.col("_at") + 1).alias("position"))
              .agg(F.sum("_s").alias("score")))
     q = F.percentile("score", F.array(F.lit(0.25), F.lit(0.75)))
-    fences = pairs.groupBy("battery_id").agg(q.alias("_q")).select(
-        "battery_id", (F.get("_q", 1) + p.iqr_factor * (F.get("_q", 1) - F.get("_q", 0))).alias("fence"))
-    return (pairs.join(fences, "battery_id")
+    fences = pairs.groupBy(*day).agg(q.alias("_q")).select(
+        *day, (F.get("_q", 1) + p.iqr_factor * (F.get("_q", 1) - F.get("_q", 0))).alias("fence"))
+    return (pairs.join(fences, day)
             .withColumn("fired", F.col("score") > F.col("fence")))

@@ -8,21 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...params import DEFAULTS, Params
-from .. import features, population
+from .. import features, population, segment
 
 
 def expert(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """``ap9`` per process of any type: wide spread, very wide spread, wide in a charge and
     again in the rest right after it.
 
-    The process after a charge is found by its number, so no window runs over a battery.
+    The process after a charge is the one that starts next, whatever its number.
     """
-    runs = features.effective(prepared).groupBy("battery_id", "process_id").agg(
+    runs = segment.in_order(features.effective(prepared).groupBy("battery_id", "process_id").agg(
         F.min("event_type").alias("event_type"), F.min("device_id").alias("device_id"),
-        F.min("date_tag").alias("date_tag"), F.max("temp_diff_c").alias("max_temp_diff"))
-    after = runs.select("battery_id", (F.col("process_id") - 1).alias("process_id"),
-                        F.col("event_type").alias("_next_type"),
-                        F.col("max_temp_diff").alias("_next_diff"))
+        F.min("date_tag").alias("date_tag"), F.max("temp_diff_c").alias("max_temp_diff"),
+        F.min("sample_ts").alias("start_ts")), ["process_id"])
+    after = runs.select("battery_id", F.col("before.process_id").alias("process_id"),
+                        F.col("event_type").alias("_next_type"), F.col("max_temp_diff").alias("_next_diff"))
     wide = F.col("max_temp_diff") > p.tdiff_c
     pair = ((F.col("event_type") == "charging") & (F.col("_next_type") == "parking") & wide
             & (F.col("_next_diff") > p.tdiff_c))
@@ -31,14 +31,17 @@ def expert(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
                           "very_wide": F.coalesce(F.col("max_temp_diff") > p.temp_spread_c, F.lit(False)),
                           "charge_and_rest": F.coalesce(pair, F.lit(False))})
             .withColumn("fired", F.col("wide") | F.col("very_wide") | F.col("charge_and_rest"))
-            .drop("_next_type", "_next_diff"))
+            .drop("_next_type", "_next_diff", "before", "start_ts"))
 
 
 def statistical(blocks: DataFrame, p: Params = DEFAULTS,
                 group: Sequence[str] = ("device_type", "date_tag")) -> DataFrame:
-    """``ap10``: a battery's mean temperature spread of the day above its group's fence."""
-    fence = population.upper_fences(blocks, group, {"avg_temp_diff": "fence"}, p.iqr_factor)
-    daily = blocks.groupBy(*{*group, "battery_id", "date_tag"}).agg(
-        F.avg("avg_temp_diff").alias("daily_temp_diff"), F.min("device_id").alias("device_id"))
+    """``ap10``: a battery's mean temperature spread of the day above the fence of its group's
+    battery-days. A block counts with its effective frames, so the mean is that of the frames."""
+    known = F.when(F.col("avg_temp_diff").isNotNull(), F.col("effect_msg_count"))
+    daily = blocks.groupBy(*dict.fromkeys([*group, "battery_id", "date_tag"])).agg(
+        (F.sum(F.col("avg_temp_diff") * known) / F.nullif(F.sum(known), F.lit(0))).alias("daily_temp_diff"),
+        F.min("device_id").alias("device_id"))
+    fence = population.upper_fences(daily, group, {"daily_temp_diff": "fence"}, p.iqr_factor)
     return daily.join(fence, list(group), "left").withColumn(
-        "fired", F.coalesce(F.col("daily_temp_diff") > F.col("fence"), F.lit(False)))
+        "fired", F.coalesce(F.round("daily_temp_diff", 9) > F.round("fence", 9), F.lit(False)))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors
 from ..params import DEFAULTS, Params
-from . import normalize, quality, segment
+from . import normalize, ordered, quality, segment
 from .segment import BLOCK_KEY
 
 
@@ -30,17 +30,19 @@ def _order() -> Column:
 
 
 def prepare(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False,
-            collapse: bool = True, unique_numbers: bool = True) -> DataFrame:
+            collapse: bool = True, unique_numbers: bool | None = None,
+            carry: DataFrame | None = None) -> DataFrame:
     """Canonical frames to frames ready for blocks: derived signals, flags, process, tags.
 
     ``numbered``: the frames already carry process numbers. ``collapse``: repeats are still
-    in; leave it off when the input holds one row per (battery, sample time).
+    in; leave it off when the input holds one row per (battery, sample time). ``carry``: see
+    ``segment.number_processes``.
     """
     df = quality.with_quality(normalize.frame_derived(frames), p)
     df = (quality.collapse_repeats(df, unique_numbers) if collapse
           else df.withColumn("n_msgs", F.lit(1)))
     df = segment.with_tags(df, p)
-    return df if numbered else segment.number_processes(df)
+    return df if numbered else segment.number_processes(df, carry=carry)
 
 
 def effective(df: DataFrame) -> DataFrame:
@@ -48,15 +50,17 @@ def effective(df: DataFrame) -> DataFrame:
 
 
 def with_gaps(df: DataFrame) -> DataFrame:
-    """Adds ``gap_s`` and ``was_balancing`` from the previous frame of the block.
+    """Adds ``gap_s`` and ``was_balancing`` from the previous frame of the process.
 
-    The first frame of a block has gap 0, so time across a block border is not counted.
+    The frame before may lie in another block; its step counts where it ends. So the blocks of a
+    process add up to the process, however often its current moves between bins. The first
+    frame of a process has gap 0.
     """
-    near = Window.partitionBy(*BLOCK_KEY).orderBy("sample_ts", "frame_no")
-    gap = (F.unix_micros("sample_ts") - F.unix_micros(F.lag("sample_ts").over(near))) / 1e6
+    df = ordered.previous(df, ["battery_id", "process_id"], ["sample_ts", "is_balancing"], segment.SLOT, out="_before")
+    gap = (F.unix_micros("sample_ts") - F.unix_micros("_before.sample_ts")) / 1e6
     return df.withColumns({
         "gap_s": F.coalesce(gap, F.lit(0.0)),
-        "was_balancing": F.coalesce(F.lag("is_balancing").over(near), F.lit(False))})
+        "was_balancing": F.coalesce("_before.is_balancing", F.lit(False))}).drop("_before")
 
 
 def _if(condition: Column, value) -> Column:

@@ -46,7 +46,8 @@ INVALID_CODES: dict[str, tuple[int, ...]] = {
 def _canonical(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Projects to the canonical columns in order; what a source lacks becomes null."""
     schema = df.sparkSession.createDataFrame([], CANONICAL_FRAME_DDL).schema
-    return df.select([columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+    kept = {"frame_no": {"unique": True}} if "row_no" in df.columns else {}
+    return df.select([columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name, metadata=kept.get(f.name, {}))
                       for f in schema])
 
 
@@ -72,7 +73,7 @@ def vehicle_to_frame(df: DataFrame, is_test: Column | None = None,
     return _canonical(df, {
         "battery_id": c("batteryId"), "device_id": c("vehicleId"), "device_name": c("vin"),
         "device_type": F.lit("vehicle"), "source": F.lit("vehicle"),
-        "event_type": c("msgType"), "process_id": c("processId").try_cast("long"),
+        "event_type": c("msgType"), "process_id": c("processId"),
         "sample_ts": c("sampleTs"),
         "frame_no": _frame_number(df, "socSinBtryVoltLst", "socPrbTempLst", "vehicleSoc",
                                   "vehicleVehlTotlCurnt", "vehicleVehlTotlVolt",
@@ -247,18 +248,19 @@ def current_class(df: DataFrame) -> DataFrame:
 def frame_derived(df: DataFrame) -> DataFrame:
     """Per-frame signals of the cell and probe vectors, in mV and degC.
 
+    A cell or probe that reads NaN or null takes no part in extremes, means and medians.
     ``deviation_mv`` is the largest distance of a cell from the frame's median. A bus value
     (``max_cell_v`` and peers) is completed from the vector where the message lacks it.
     """
     c = F.col
     df = df.withColumns({"cell_mv": vectors.vector_mv(c("cell_v"))})
-    df = df.withColumns({"_sorted": F.sort_array("cell_mv")})
+    df = df.withColumns({"_sorted": F.sort_array(vectors.readings(c("cell_mv"))),
+                         "_probes": vectors.readings(c("probe_temp_c"))})
     df = df.withColumns({
-        "hi_mv": F.array_max("cell_mv"), "lo_mv": F.array_min("cell_mv"),
-        "mean_mv": vectors.mean(c("cell_mv")), "median_mv": vectors.median(c("_sorted")),
+        "hi_mv": F.array_max("_sorted"), "lo_mv": F.array_min("_sorted"),
+        "mean_mv": vectors.mean(vectors.readings(c("cell_mv"))), "median_mv": vectors.median(c("_sorted")),
         "hi_sn": vectors.argmax(c("cell_mv")), "lo_sn": vectors.argmin(c("cell_mv")),
-        "hot_c": F.array_max("probe_temp_c"), "cold_c": F.array_min("probe_temp_c"),
-        "mean_c": vectors.mean(c("probe_temp_c")),
+        "hot_c": F.array_max("_probes"), "cold_c": F.array_min("_probes"), "mean_c": vectors.mean(c("_probes")),
         "hot_sn": vectors.argmax(c("probe_temp_c")), "cold_sn": vectors.argmin(c("probe_temp_c")),
     })
     return df.withColumns({
@@ -275,4 +277,4 @@ def frame_derived(df: DataFrame) -> DataFrame:
         "min_temp_c": F.coalesce("min_temp_c", "cold_c"),
         "min_temp_sn": F.coalesce("min_temp_sn", "cold_sn"),
         "avg_temp_c": F.coalesce("avg_temp_c", "mean_c"),
-    }).drop("_sorted")
+    }).drop("_sorted", "_probes")

@@ -108,21 +108,27 @@ def number_runs(df: DataFrame, keys: Sequence[str], kind: str, slice_by: SliceBy
 
 
 def number_long_runs(df: DataFrame, keys: Sequence[str], kind: str, slice_by: SliceBy,
-                     order: Sequence[str] = TIME_ORDER, out: str = "run") -> DataFrame:
+                     order: Sequence[str] = TIME_ORDER, out: str = "run",
+                     carry: DataFrame | None = None) -> DataFrame:
     """``number_runs`` for kinds that change seldom: wide rows pass no window and no sort.
 
     Only the order and kind columns are put in order. Each slice then has a short list of
     the places where the kind changes, and a row's number is the slice's base plus the
     changes up to the row. The list never exceeds the slice's rows, but the cost of a row
     grows with it: for kinds that change every few rows use ``number_runs``.
+
+    ``carry`` is one earlier row per key: its slice, order columns, kind and number, ``run``.
     """
     df, cut, extra = _sliced(df, slice_by)
     group, at = [*keys, *cut], F.struct(*order)
     local = Window.partitionBy(*group).orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(*cut)
     changed = (F.row_number().over(local) > 1) & ~F.lag(kind).over(local).eqNullSafe(F.col(kind))
-    edges = (df.select(*group, *order, kind).withColumn("_change", changed).groupBy(*group)
-             .agg(F.collect_list(F.when(F.col("_change"), at)).alias("_cuts"),
+    thin = df.select(*group, *order, kind, F.lit(0).cast("long").alias("_add"))
+    if carry is not None:
+        thin = thin.union(carry.select(*group, *order, kind, F.col("run") - 1))
+    edges = (thin.withColumn("_change", changed).groupBy(*group)
+             .agg(F.max("_add").alias("_add"), F.collect_list(F.when(F.col("_change"), at)).alias("_cuts"),
                   F.min_by(F.struct(kind), at).alias("_first"),
                   F.max_by(F.struct(kind), at).alias("_last")))
     last = F.lag("_last").over(across)
@@ -131,7 +137,8 @@ def number_long_runs(df: DataFrame, keys: Sequence[str], kind: str, slice_by: Sl
               .withColumn("_base", F.sum("_border").over(
                   across.rowsBetween(Window.unboundedPreceding, 0))
                   + F.coalesce(F.sum(F.size("_cuts")).over(
-                      across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                      across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                  + F.max("_add").over(Window.partitionBy(*keys)))
               .select(*group, "_base", "_cuts"))
     passed = F.when(F.size("_cuts") > 0, F.size(F.filter("_cuts", lambda c: c <= at))).otherwise(0)
     return (df.join(starts, group, "left")

@@ -16,8 +16,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequ
     merged from partial aggregates, first brackets each point; its rank error is at most
     n / accuracy, so a bracket four times that wide surely holds the point. A second pass
     counts what lies below a bracket and the values inside it, combined map-side. Only the
-    bracket's values, at most 8 / accuracy of the group, are then put in order. Groups of up
-    to ``accuracy`` rows need no bracket.
+    bracket's values, at most 8 / accuracy of the group, are then put in order. The bracket of a
+    group of up to ``accuracy`` rows, in which the margin is less than a rank, is the whole group. A
+    rank outside its bracket is an error.
     """
     keys = list(keys)
     df = df.select(*keys, F.col(value).cast("double").alias("_x")).filter("_x is not null")
@@ -43,10 +44,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequ
     at = (F.col("n") - 1) * F.get(F.array(*[F.lit(float(q)) for q in points]), F.col("_i"))
     picked = (counts.withColumns({"_upto": upto, "_at": at})
               .groupBy(*keys, "n", "_i", "_at")
-              .agg(F.min(F.when(F.col("_upto") > F.floor("_at"), F.col("_v"))).alias("_lo"),
+              .agg(F.max(F.when(F.col("_v").isNull(), F.col("_upto")).otherwise(0)).alias("_below"),
+                   F.max("_upto").alias("_inside"),
+                   F.min(F.when(F.col("_upto") > F.floor("_at"), F.col("_v"))).alias("_lo"),
                    F.min(F.when(F.col("_upto") > F.ceil("_at"), F.col("_v"))).alias("_hi"))
-              .withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo"))
-                          * (F.col("_at") - F.floor("_at"))))
+              .withColumn("_q", F.when(
+                  (F.col("_below") > F.floor("_at")) | (F.col("_inside") <= F.ceil("_at")),
+                  F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).otherwise(
+                      F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at")))))
     return picked.groupBy(*keys, "n").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"])
         .alias("quantiles"))

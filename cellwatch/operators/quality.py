@@ -69,9 +69,15 @@ def aligned_frames(df: DataFrame) -> DataFrame:
     return df.filter(is_aligned())
 
 
-def collapse_repeats(df: DataFrame, unique_numbers: bool = True) -> DataFrame:
+def has_unique_numbers(df: DataFrame) -> bool:
+    """Whether the frame numbers tell equal copies apart, as those of frames read from files do."""
+    return bool(df.schema["frame_no"].metadata.get("unique"))
+
+
+def collapse_repeats(df: DataFrame, unique_numbers: bool | None = None) -> DataFrame:
     """Keeps the first frame per (battery, sample time) and adds ``n_msgs``, its copies.
 
+    ``unique_numbers`` is taken from the frames themselves unless the caller knows better.
     With frame numbers unique within a battery (what the readers of ``sources.frames`` give)
     the wide frames are not shuffled: a thin aggregate, combined map-side so that a group of
     any size becomes one row, lists the repeated samples only, and the frames are filtered
@@ -82,7 +88,7 @@ def collapse_repeats(df: DataFrame, unique_numbers: bool = True) -> DataFrame:
     aggregated, again map-side first.
     """
     key = ["battery_id", "sample_ts"]
-    if not unique_numbers:
+    if not (has_unique_numbers(df) if unique_numbers is None else unique_numbers):
         rest = [c for c in df.columns if c not in key]
         return (df.groupBy(*key)
                 .agg(F.min_by(F.struct(*rest), "frame_no").alias("_f"),
@@ -97,7 +103,7 @@ def collapse_repeats(df: DataFrame, unique_numbers: bool = True) -> DataFrame:
             .drop("_copies", "_first"))
 
 
-def dedup_frames(df: DataFrame, unique_numbers: bool = True) -> DataFrame:
+def dedup_frames(df: DataFrame, unique_numbers: bool | None = None) -> DataFrame:
     return collapse_repeats(df, unique_numbers).drop("n_msgs")
 
 
@@ -147,6 +153,7 @@ def jump_flags(df: DataFrame, p: Params = DEFAULTS, keys: Sequence[str] = ("batt
 
 
 def pack_sum_gap(df: DataFrame) -> DataFrame:
-    """Adds ``pack_gap_v``: distance of the pack voltage from the sum of its cells."""
-    return df.withColumn("pack_gap_v", F.abs(F.col("pack_voltage_v")
-                                             - vectors.total(vectors.vector_mv(F.col("cell_v"))) / 1e3))
+    """Adds ``pack_gap_v``: distance of the pack voltage from the sum of its cells; null where a
+    cell has no reading."""
+    gap = F.abs(F.col("pack_voltage_v") - vectors.total(vectors.vector_mv(F.col("cell_v"))) / 1e3)
+    return df.withColumn("pack_gap_v", F.when(~F.isnan(gap), gap))

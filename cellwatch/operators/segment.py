@@ -34,14 +34,18 @@ def with_tags(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     })
 
 
-def number_processes(df: DataFrame, out: str = "process_id") -> DataFrame:
+def number_processes(df: DataFrame, out: str = "process_id", carry: DataFrame | None = None) -> DataFrame:
     """Numbers the runs of equal event type of each battery in time order.
 
     Needs the tags: runs are numbered per (battery, date, slot), and the block key contains
     that, so where the frames are shuffled for it the blocks need no further exchange.
+
+    ``carry`` (``last_processes`` of what was numbered before): numbers go on from there, so
+    a process that lasts over the border keeps its number and no number is given twice.
     """
     df = df.drop(out) if out in df.columns else df
-    return ordered.number_long_runs(df, ["battery_id"], "event_type", SLOT, out=out)
+    return ordered.number_long_runs(df, ["battery_id"], "event_type", SLOT, out=out,
+                                    carry=None if carry is None else carry.withColumnRenamed("process_id", "run"))
 
 
 def with_event_id(df: DataFrame) -> DataFrame:
@@ -57,15 +61,26 @@ def with_bookkeeping(df: DataFrame, as_of: datetime, etl_at: datetime) -> DataFr
 
 
 def processes(frames: DataFrame) -> DataFrame:
-    """One row per process, with the type of the process before it.
-
-    Process numbers of a battery are dense, so the neighbour is an equi-join on
-    number - 1 and needs no window over the battery's history.
-    """
+    """One row per process, with the type of the process that started before it."""
     runs = frames.groupBy("battery_id", "process_id").agg(
         F.min("event_type").alias("event_type"), F.min("device_id").alias("device_id"),
         F.min("device_type").alias("device_type"),
         F.min("sample_ts").alias("start_ts"), F.max("sample_ts").alias("end_ts"))
-    before = runs.select("battery_id", (F.col("process_id") + 1).alias("process_id"),
-                         F.col("event_type").alias("prev_event_type"))
-    return runs.join(before, ["battery_id", "process_id"], "left")
+    return in_order(runs, ["event_type"]).withColumn("prev_event_type", F.col("before.event_type")).drop("before")
+
+
+def in_order(runs: DataFrame, cols: list[str]) -> DataFrame:
+    """Adds ``before``: ``cols`` of the battery's process that started last before this one.
+
+    By time and not by number: sources give their processes ids of any form.
+    """
+    return ordered.previous(runs, ["battery_id"], cols, ordered.time_slice(86_400, "start_ts"),
+                            order=("start_ts", "process_id"), out="before")
+
+
+def last_processes(prepared: DataFrame) -> DataFrame:
+    """The carry of numbered frames: of each battery its last frame's place, type and process."""
+    at = F.struct("sample_ts", "frame_no")
+    last = prepared.groupBy("battery_id").agg(F.max_by(F.struct(
+        *SLOT, "sample_ts", "frame_no", "event_type", F.col("process_id").cast("long").alias("process_id")), at).alias("x"))
+    return last.select("battery_id", "x.*")

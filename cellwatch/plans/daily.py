@@ -23,19 +23,25 @@ _NEEDED = (*segment.BLOCK_KEY, "device_name", "device_type", "source", "brand",
            "cell_init", "probe_init", "cold_init", "iso_init", "is_missing", "is_effective", "n_msgs")
 
 
-def prepare_sources(vehicle: DataFrame, station: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+def prepare_sources(vehicle: DataFrame, station: DataFrame, p: Params = DEFAULTS,
+                    carry: DataFrame | None = None) -> DataFrame:
     """Prepared frames of both sources. Vehicles number their processes themselves, so only
-    station frames, the smaller part, are shuffled to be numbered."""
-    return features.prepare(vehicle, p, numbered=True).unionByName(features.prepare(station, p))
+    station frames, the smaller part, are shuffled to be numbered, on from ``carry``. Ids are text."""
+    numbered = features.prepare(station, p, carry=carry)
+    return features.prepare(vehicle, p, numbered=True).unionByName(
+        numbered.withColumn("process_id", F.col("process_id").cast("string")))
 
 
-def prepare_day(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False) -> DataFrame:
+def prepare_day(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False,
+                unique_numbers: bool | None = None, carry: DataFrame | None = None) -> DataFrame:
     """Prepared frames, written once to the shared scratch folder.
 
+    ``carry`` is ``segment.last_processes`` of the day before: the same event has one id on both.
+
     Five aggregates read them (features, gaps, ranks, histograms, rests); writing costs less
     than shuffling and deriving five times, and a lost executor costs a re-read, not a recomputation.
     """
-    ready = features.prepare(frames, p, numbered).select(*_NEEDED)
+    ready = features.prepare(frames, p, numbered, True, unique_numbers, carry).select(*_NEEDED)
     return materialize(ready, "prepared", ("date_tag",))
 
 

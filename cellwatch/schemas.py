@@ -144,7 +144,7 @@ string, source string, brand string
 # Voltages in V, temperatures in degC, insulation in kOhm, current in A (charge < 0).
 CANONICAL_FRAME_DDL = """
 battery_id string, device_id string, device_name string, device_type string, source string,
-event_type string, process_id bigint, sample_ts timestamp, frame_no bigint,
+event_type string, process_id string, sample_ts timestamp, frame_no bigint,
 user_soc double, real_soc double, soh double, real_energy double,
 current_a double, pack_voltage_v double, cell_v array<double>, probe_temp_c array<double>,
 n_cells int, n_probes int,

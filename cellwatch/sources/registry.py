@@ -1,13 +1,13 @@
 """The failure-type registry: configuration of a few dozen rows, read on the driver.
 
-A deployment keeps its own registry file (skills, model and document paths live there);
-``load_registry`` reads it. ``BUILT_IN`` carries what classification needs.
+``BUILT_IN`` carries what classification and routing need; ``load_registry`` reads a
+deployment's own file. Notes are free text for readers and only come from such a file.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +36,7 @@ class FailureType:
 
 
 # Types, algorithm ids, versions, keywords and limits, in registry order.
-BUILT_IN: tuple[FailureType, ...] = (
+_TYPES: tuple[FailureType, ...] = (
     FailureType("thermal_runaway", "realtime", "热失控", "ap16", "V1.0", "ready",
                 ("热失控", "过温", "温升异常", "起火", "冒烟", "高温", "温度突变", "thermal runaway"),
                 {"max_temp_gt": 55, "temp_diff_gt": 30, "min_volt_lt": 1300, "max_volt_gt": 4500,
@@ -93,6 +93,42 @@ BUILT_IN: tuple[FailureType, ...] = (
                 ("采样诊断", "CSC电压采样", "P0301", "P0303", "P0308")),
 )
 
+# Where a type's case is routed. Types without a model of their own share a skill.
+SHARED_SKILL = "alarm-miss-analysis"
+OWN_SKILLS = {"thermal_runaway": "ap16_热失控实时"}
+MODEL_PATHS = {"thermal_runaway": "ap16_热失控实时/thermal_runaway_realtime.py"}
+DESIGN_DOCS = {
+    "thermal_runaway": "ap16_热失控实时/热失控实时算法设计文档.md",
+    "insulation_lv2": "ap19_绝缘异常_lv2/README.md",
+    "insulation_lv3": "ap20_绝缘异常_lv3/README.md",
+    "realtime_hazard": "ap21_实时隐患告警/README.md",
+    "low_soc_lv1": "otr_低电量_lv1/README.md",
+    "low_soc_lv2": "otr_低电量_lv2/README.md",
+    "low_soc_lv3": "otr_低电量_lv3/README.md",
+    "station_self_discharge": "otr_换电站实时自放电/README.md",
+    "vdiff_outlier_lfp": "ap2_压差离群_lfp/README.md",
+    "vdiff_outlier_ncm": "ap3_压差离群_ncm/README.md",
+    "vdiff_high": "ap8_压差偏高/README.md",
+    "vdiff_parking_selfdch": "vdiff_parking自放电/README.md",
+    "vdiff_stat": "vdiff_统计模型/README.md",
+    "vdiff_alphaq": "vdiff_AlphaQ/README.md",
+    "vdiff_math": "vdiff_数学模型/README.md",
+    "tempdiff_expert": "ap9_温差离群_专家/README.md",
+    "tempdiff_stat": "ap10_温差离群_统计/README.md",
+    "tempdiff_math": "ap11_温差离群_数理/README.md",
+    "sampling_comprehensive": "ap12_采样异常_综合/README.md",
+    "sampling_pack_volt": "ap13_采样异常_总压/README.md",
+    "sampling_temp": "sampling_采样异常_温度/README.md",
+    "sampling_volt_symmetry": "sampling_采样异常_电压对称性/README.md",
+    "diagnosis_volt": "ap28_诊断_电压类/README.md",
+    "diagnosis_temp": "ap27_诊断_温度类/README.md",
+    "diagnosis_sampling": "ap29_诊断_采样类/README.md",
+}
+
+BUILT_IN: tuple[FailureType, ...] = tuple(
+    replace(t, skill=OWN_SKILLS.get(t.failure_type, SHARED_SKILL), model_path=MODEL_PATHS.get(t.failure_type),
+            design_doc=DESIGN_DOCS[t.failure_type]) for t in _TYPES)
+
 
 def load_registry(spark: SparkSession, path: str) -> tuple[FailureType, ...]:
     """Reads a registry file (YAML where the yaml module is there, or JSON).

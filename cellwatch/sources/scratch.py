@@ -11,13 +11,17 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a temporary folder used,
-    and set as the session's checkpoint folder.
+    Only on one machine (a ``local`` master, as in tests) may the session name none; then a
+    temporary folder is used and set as its checkpoint folder. Elsewhere executors would not
+    see each other's files, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         held = spark.sparkContext.getCheckpointDir()
         if held is None:
+            master = spark.sparkContext.master
+            if not (master == "local" or master.startswith("local[")):
+                raise ValueError(f"set spark.checkpoint.dir to a shared folder; the master is {master}")
             held = tempfile.mkdtemp(prefix="cellwatch-")
             spark.sparkContext.setCheckpointDir(held)
         base = held

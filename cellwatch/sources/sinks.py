@@ -22,10 +22,11 @@ def write_blocks(df: DataFrame, path: str) -> None:
 
 
 def write_alarms(df: DataFrame, path: str) -> None:
-    """Appends alarm rows, partitioned by day and algorithm."""
+    """Writes alarm rows; the (day, algorithm) partitions in ``df`` are replaced, so a run that is
+    repeated does not double them."""
     daily = df.withColumn("date", F.date_format("at", "yyyy-MM-dd"))
-    _balanced(daily, ["date", "algorithm"], ["battery_id"]).write.mode("append").partitionBy(
-        "date", "algorithm").parquet(path)
+    _balanced(daily, ["date", "algorithm"], ["battery_id"]).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("date", "algorithm").parquet(path)
 
 
 def alarm_batch_writer(path: str):

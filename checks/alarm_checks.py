@@ -88,7 +88,7 @@ def _(spark, sf):
 
 def prepared_table(spark, sf):
     """Prepared frames written once, for queries that run several algorithms over them."""
-    return daily.prepare_day(messages(spark, sf))
+    return daily.prepare_day(messages(spark, sf), unique_numbers=True)
 
 
 def typed_blocks(spark, sf, *cols, ready=None):
@@ -147,13 +147,15 @@ a9 AS (SELECT r.battery_id, r.process_id, r.event_type, r.date_tag, r.td, r.td >
            AS charge_and_rest, r.td > 15 AS fired
        FROM (SELECT battery_id, process_id, min(event_type) AS event_type, min(date_tag) AS date_tag,
                max(temp_diff_c) AS td FROM g GROUP BY 1, 2) r
-       LEFT JOIN (SELECT battery_id, process_id, min(event_type) AS event_type, max(temp_diff_c) AS td
-                  FROM g GROUP BY 1, 2) n ON n.battery_id = r.battery_id AND n.process_id = r.process_id + 1),
-a10 AS (SELECT battery_id, device_type, date_tag, avg(avg_td) AS daily, any_value(fence) AS fence,
-          avg(avg_td) > any_value(fence) AS fired
-        FROM blk JOIN (SELECT device_type, date_tag, {_FENCE.format(v='avg_td')} AS fence FROM blk
-                       GROUP BY device_type, date_tag) USING (device_type, date_tag)
-        GROUP BY battery_id, device_type, date_tag),
+       LEFT JOIN (SELECT battery_id, min(event_type) AS event_type, max(temp_diff_c) AS td,
+                    lag(process_id) OVER (PARTITION BY battery_id ORDER BY min(us)) AS before
+                  FROM g GROUP BY battery_id, process_id) n
+         ON n.battery_id = r.battery_id AND n.before = r.process_id),
+bd AS (SELECT battery_id, device_type, date_tag, avg(temp_diff_c) AS daily FROM g
+       GROUP BY battery_id, device_type, date_tag),
+a10 AS (SELECT battery_id, device_type, date_tag, daily, fence, round(daily, 9) > round(fence, 9) AS fired
+        FROM bd JOIN (SELECT device_type, date_tag, {_FENCE.format(v='daily')} AS fence FROM bd
+                      GROUP BY device_type, date_tag) USING (device_type, date_tag)),
 a12 AS (SELECT *, greatest(cell_share, probe_share, iso_share) > 0.02 AS fired FROM (
           SELECT battery_id, date_tag, CAST(sum(n_msgs) AS BIGINT) AS n_msgs,
             coalesce(sum(n_msgs) FILTER (cell_init), 0) / sum(n_msgs) AS cell_share,
@@ -237,7 +239,7 @@ def _(spark, sf):
 @check("alg_ap10", _alarm_sql("SELECT battery_id, device_type, date_tag, daily AS daily_temp_diff, fence, fired "
                               "FROM a10"), rounds=["daily_temp_diff", "fence"])
 def _(spark, sf):
-    return temperature.statistical(typed_blocks(spark, sf, "avg_temp_diff")).select(
+    return temperature.statistical(typed_blocks(spark, sf, "avg_temp_diff", "effect_msg_count")).select(
         "battery_id", "device_type", "date_tag", "daily_temp_diff", "fence", "fired")
 
 
@@ -260,15 +262,15 @@ def _(spark, sf):
 
 
 SYM_CTES = """
-, pv AS (SELECT battery_id, mv, lag(mv) OVER (PARTITION BY battery_id ORDER BY us, frame_no) AS pmv FROM u),
-st AS (SELECT battery_id, list_transform(range(1, 13), lambda i: mv[i] - pmv[i]) AS dv FROM pv WHERE pmv IS NOT NULL),
-sp AS (SELECT battery_id, unnest(range(1, 12)) AS position,
+, pv AS (SELECT battery_id, strftime(ts, '%Y-%m-%d') AS date_tag, mv, lag(mv) OVER (PARTITION BY battery_id ORDER BY us, frame_no) AS pmv FROM u),
+st AS (SELECT battery_id, date_tag, list_transform(range(1, 13), lambda i: mv[i] - pmv[i]) AS dv FROM pv WHERE pmv IS NOT NULL),
+sp AS (SELECT battery_id, date_tag, unnest(range(1, 12)) AS position,
          unnest(list_transform(range(1, 12), lambda i: CASE WHEN dv[i] * dv[i + 1] < 0
            THEN least(abs(dv[i]), abs(dv[i + 1])) ELSE 0 END)) AS x FROM st),
-ss AS (SELECT battery_id, position, sum(x) AS score FROM sp GROUP BY ALL),
-sy AS (SELECT battery_id, position, score, fence, score > fence AS fired FROM ss JOIN (
-         SELECT battery_id, quantile_cont(score, 0.75) + 1.5 * (quantile_cont(score, 0.75) - quantile_cont(score, 0.25))
-           AS fence FROM ss GROUP BY battery_id) USING (battery_id))
+ss AS (SELECT battery_id, date_tag, position, sum(x) AS score FROM sp GROUP BY ALL),
+sy AS (SELECT battery_id, date_tag, position, score, fence, score > fence AS fired FROM ss JOIN (
+         SELECT battery_id, date_tag, quantile_cont(score, 0.75) + 1.5 * (quantile_cont(score, 0.75) - quantile_cont(score, 0.25))
+           AS fence FROM ss GROUP BY ALL) USING (battery_id, date_tag))
 """
 
 
@@ -340,23 +342,24 @@ def _(spark, sf):
            max(us) OVER (PARTITION BY battery_id) AS last_us FROM g),
 sr AS (SELECT battery_id, min(us) AS s, max(us) AS z, any_value(last_us) AS last_us FROM n0
        WHERE temp_diff_c > 15 GROUP BY battery_id, island),
-sd AS (SELECT battery_id, strftime(make_timestamp(s), '%Y-%m-%d') AS date_tag, max((z - s) / 1000000.0) AS longest_s,
-         bool_and(z < last_us) AS recovered FROM sr GROUP BY ALL),
+sd AS (SELECT battery_id, strftime(day, '%Y-%m-%d') AS date_tag, max((z - s) / 1000000.0) AS longest_s,
+         bool_and(z < last_us) AS recovered FROM (SELECT *, unnest(generate_series(
+           date_trunc('day', make_timestamp(s)), date_trunc('day', make_timestamp(z)), INTERVAL 1 DAY)) AS day FROM sr)
+       GROUP BY ALL),
 r AS (SELECT * FROM dy LEFT JOIN sd USING (battery_id, date_tag))
 SELECT battery_id, date_tag, code, n_fired, longest_s, recovered FROM (
   SELECT *, 'P0302' AS code FROM r WHERE longest_s >= 1 AND NOT recovered
   UNION ALL SELECT *, 'P0308' FROM r WHERE recovered)"""), rounds=["longest_s"])
 def _(spark, sf):
     ready = prepared_table(spark, sf)
-    blocks = typed_blocks(spark, sf, "avg_temp_diff", ready=ready)
+    blocks = typed_blocks(spark, sf, "avg_temp_diff", "effect_msg_count", ready=ready)
     alarms = diagnosis.merge([diagnosis.fired_days(temperature.expert(ready), "ap9"),
                               diagnosis.fired_days(temperature.statistical(blocks), "ap10")])
     return diagnosis.temperature(alarms, ready, SPARSE).drop("algorithms")
 
 
 @check("alg_ap29", _alarm_sql(SYM_CTES + """
-, syd AS (SELECT DISTINCT battery_id, date_tag, fired FROM f JOIN
-            (SELECT battery_id, bool_or(fired) AS fired FROM sy GROUP BY battery_id) USING (battery_id))
+, syd AS (SELECT battery_id, date_tag, bool_or(fired) AS fired FROM sy GROUP BY ALL)
 """ + _fused((("ap12", "a12"), ("ap13", "a13"), ("ap_sampling_temp", "acf"), ("ap_sampling_symmetry", "syd"))) + """
 , r AS (SELECT *, n_fired > avg(n_fired) OVER w + 1.0 * stddev_pop(n_fired) OVER w AS sigma_outlier FROM dy
         WINDOW w AS (PARTITION BY date_tag))
@@ -366,10 +369,9 @@ SELECT battery_id, date_tag, code, n_fired, sigma_outlier FROM (
   UNION ALL SELECT *, 'P0308' FROM r WHERE list_contains(algorithms, 'ap13'))"""))
 def _(spark, sf):
     ready = prepared_table(spark, sf)
-    mirrored = (sampling.symmetry(ready).groupBy("battery_id").agg(F.bool_or("fired").alias("fired")))
-    days = ready.select("battery_id", "date_tag").distinct()
+    mirrored = sampling.symmetry(ready).groupBy("battery_id", "date_tag").agg(F.bool_or("fired").alias("fired"))
     alarms = diagnosis.merge([diagnosis.fired_days(df, name) for name, df in (
         ("ap12", sampling.initial_values(ready, SPARSE)), ("ap13", sampling.pack_voltage(ready)),
         ("ap_sampling_temp", sampling.cold_frames(ready, SPARSE)),
-        ("ap_sampling_symmetry", days.join(mirrored, "battery_id")))])
+        ("ap_sampling_symmetry", mirrored))])
     return diagnosis.sampling(alarms, SPARSE).drop("algorithms")

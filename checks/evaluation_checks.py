@@ -16,7 +16,7 @@ _RATES = ["precision", "recall"]
 
 
 def _labelled(spark, sf):
-    docs = spread(table(spark, sf, "documents")).select(F.col("doc_id").alias("case_id"), "n_chars", "lang")
+    docs = spread(table(spark, sf, "documents"), "doc_id").select(F.col("doc_id").alias("case_id"), "n_chars", "lang")
     truth = table(spark, sf, "labels").select(F.col("doc_id").alias("case_id"),
                                               (F.col("quality") == 1).alias("is_fault"))
     return docs, truth

@@ -179,8 +179,7 @@ def _(spark, sf):
 REST_CTES = """
 , runs AS (SELECT battery_id, process_id, min(event_type) AS event_type, min(device_type) AS device_type,
              min(us) AS t0, max(us) AS t_end FROM g GROUP BY battery_id, process_id),
-edge AS (SELECT r.*, q.event_type AS prev_event_type FROM runs r LEFT JOIN runs q
-           ON q.battery_id = r.battery_id AND q.process_id = r.process_id - 1),
+edge AS (SELECT *, lag(event_type) OVER (PARTITION BY battery_id ORDER BY t0) AS prev_event_type FROM runs),
 shots AS (SELECT g.battery_id, g.process_id, e.device_type, e.prev_event_type, g.cell_type,
             arg_min({'us': us, 'vd': volt_diff_mv, 'mean': mean_mv, 'mv': mv, 'date_tag': date_tag,
                      'hour_tag': hour_tag, 'soc_tag': soc_tag, 'curr_tag': curr_tag},

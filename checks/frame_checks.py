@@ -270,7 +270,7 @@ def _(spark, sf):
 @check("qlt_dedup", with_ctes("SELECT frame_no, battery_id, us, pack_voltage_v FROM u"),
        rounds=["pack_voltage_v"])
 def _(spark, sf):
-    return quality.dedup_frames(messages(spark, sf)).select(
+    return quality.dedup_frames(messages(spark, sf), unique_numbers=True).select(
         "frame_no", "battery_id", us(), "pack_voltage_v")
 
 
@@ -376,6 +376,19 @@ def _(spark, sf):
         "battery_id", "process_id", "event_id").distinct()
 
 
+@check("blk_event_id_two_days", with_ctes("""
+SELECT DISTINCT battery_id, process_id, sha256(concat_ws('#', CAST(process_id AS VARCHAR), device_name,
+  battery_id, event_type)) AS event_id FROM f"""))
+def _(spark, sf):
+    """Two runs, cut in the middle of a slot: the second goes on from the first one's carry."""
+    cut = F.lit("2024-01-15 13:00:00").cast("timestamp")
+    both = messages(spark, sf)
+    one = features.prepare(both.filter(F.col("sample_ts") < cut), unique_numbers=True)
+    two = features.prepare(both.filter(F.col("sample_ts") >= cut), unique_numbers=True,
+                           carry=segment.last_processes(one))
+    return segment.with_event_id(one.unionByName(two)).select("battery_id", "process_id", "event_id").distinct()
+
+
 @check("blk_features_core", with_ctes(f"""
 SELECT {KEY_SQL}, any_value(event_type) AS event_type, any_value(device_id) AS device_id,
   CAST(sum(n_msgs) AS INT) AS block_msg_count, CAST(count_if(is_effective) AS INT) AS effect_msg_count,

@@ -15,7 +15,7 @@ from .alarm_checks import _COND
 from .registry import check
 from .telemetry import frames_of, table, with_copies, with_ctes
 
-PARTS = 3
+PARTS, FILES = 3, 4
 
 
 def us():
@@ -29,12 +29,17 @@ def _arrivals(spark: SparkSession, sf_dir: str, late_every: int | None = None):
     """
     path = scratch_path(spark, "arrivals")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
-    part = F.floor((F.dayofmonth("ts") - 1) * PARTS / 30).cast("int")
+    first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    days = (last - first).days + 1
+    part = F.floor(F.date_diff("ts", F.lit(first)) * PARTS / days).cast("int")
     if late_every:
         part = F.when((part == 0) & (F.col("event_id") % late_every == 0), PARTS - 1).otherwise(part)
     for i in range(PARTS):
-        events.filter(part == i).coalesce(1).write.mode("append").parquet(path)
-    return stream_frames(spark, path, events.schema, files_per_batch=1)
+        events.filter(part == i).repartition(FILES).write.mode("append").parquet(path)
+    written, read = spark.read.schema(events.schema).parquet(path).count(), events.count()
+    if written != read:
+        raise ValueError(f"{written} of {read} events arrived")
+    return stream_frames(spark, path, events.schema, files_per_batch=FILES)
 
 
 def _to_table(df: DataFrame, name: str) -> DataFrame:

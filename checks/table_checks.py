@@ -82,7 +82,7 @@ def _(spark, sf):
 
 
 def _block_table(spark, sf):
-    ready = daily.prepare_day(messages(spark, sf))
+    ready = daily.prepare_day(messages(spark, sf), unique_numbers=True)
     return daily.block_table(ready, static_dim(spark), AS_OF, ETL_AT)
 
 

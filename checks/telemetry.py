@@ -40,10 +40,9 @@ _PROBES = ", ".join(f"cast(25 + (e + {i}) % 4{f' + y{i}' if i in (1, 2, 4) else
                     for i in range(6))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Uses all cores on a file too small to be split; larger scans stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deals rows by their id: the test tables are single files that scans cannot split."""
+    return df.repartition(F.col(key))
 
 
 def base(events: DataFrame) -> DataFrame:
@@ -97,7 +96,7 @@ def frames_of(events: DataFrame) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props"))
+    return spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props"), "event_id")
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,12 +115,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession, sf_dir: str, p: Params = DEFAULTS) -> DataFrame:
-    return features.prepare(messages(spark, sf_dir), p)
+    return features.prepare(messages(spark, sf_dir), p, unique_numbers=True)
 
 
 # The same in SQL, as a chain of common table expressions:
 #   t frames, m frames with copies, d derived signals and quality flags,
-#   u one frame per sample, f with process and tags, g with in-block gaps.
+#   u one frame per sample, f with process and tags, g with gaps inside the process.
 CTES = """
 WITH b0 AS (
   SELECT event_id AS e, ts, CAST(json_extract_string(props, '$.k') AS INT) AS k,
@@ -217,8 +216,7 @@ g AS (
   SELECT *, coalesce((us - lag(us) OVER w) / 1000000.0, 0) AS gap_s,
          coalesce(lag(is_balancing) OVER w, false) AS was_balancing
   FROM f WHERE is_effective
-  WINDOW w AS (PARTITION BY battery_id, process_id, date_tag, hour_tag, soc_tag, curr_tag
-               ORDER BY ts, frame_no))
+  WINDOW w AS (PARTITION BY battery_id, process_id ORDER BY ts, frame_no))
 """
 
 # The block key as the checks show it.
