@@ -39,7 +39,7 @@ from cellwatch.sources.scratch import materialize
 from .common import ALNUM, LOWER, UPPER, crc_rest, slices, utf8
 from .neardup import shingle_sets
 
-DECAY, SPAN, LANDMARKS = 0.7, 7, 192
+DECAY, SPAN, LANDMARKS = 0.7, 7, 768
 MOST_TOXIC, MOST_CLEAN, MOST_SEEDS, MOST_OTHERS, HARD = 8_000, 16_000, 256, 2_000, 500
 FOLDS, HELD = 5, 0
 REMEMBER = 500_000
@@ -243,12 +243,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
 
 
 def _curve(machine: Machine, margin: np.ndarray, toxic: np.ndarray) -> None:
-    """The logistic curve by Newton steps, a little ridge on the slope."""
+    """The logistic curve by Newton steps, a little ridge on the slope. Toxic rows, the fewer, count
+    by the root of the ratio: between the curve of the sample and that of even classes."""
     x, w = np.stack([margin, np.ones(len(margin))], 1), np.array([1.0, 0.0])
+    cost = np.where(toxic > 0, np.sqrt(max(1.0, (toxic == 0).sum() / max(1, (toxic > 0).sum()))), 1.0)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-2, 1e-6]),
-                               x.T @ (toxic - p) - np.array([1e-2, 1e-6]) * w)
+        step = np.linalg.solve((x * (cost * p * (1 - p))[:, None]).T @ x + np.diag([1e-2, 1e-6]),
+                               x.T @ (cost * (toxic - p)) - np.array([1e-2, 1e-6]) * w)
         w = w + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break

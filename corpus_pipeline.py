@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cellwatch.llm import bpe, decontaminate, neardup, quality, toxicity
+from cellwatch.llm.common import ship
 from cellwatch.sources.scratch import materialize
 
 
@@ -16,11 +17,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a machine learnt from the labelled ones among them does not call toxic."""
+    ship(spark)
     return toxicity.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
+    ship(spark)
     return neardup.keep(docs)
 
 
@@ -31,6 +34,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left, encoded and decoded again."""
+    ship(spark)
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
