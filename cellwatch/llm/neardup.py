@@ -9,9 +9,9 @@ take 864. Two documents meet in a table if they agree in both parts.
   size is one row for all that follows.
 * A small hash that only one vertex has is dropped before keys are combined, so keys are made
   only for vertices that have company in both collections.
-* Within a key every vertex is compared with one centre, not with all others. The candidates are
-  distinct pairs; each is verified on the full sets. Rounds with other centres follow, in which
-  only vertices of different components are compared, until a round adds no link.
+* Within a key a vertex is compared with one centre, not with all others, and each pair is verified
+  on the full sets. Rounds with other centres follow, in which only vertices of different
+  components are compared, until a round adds no link.
 * Components come from smallest labels passed along links, with labels followed to their labels.
 
 At the threshold of 0.85 a pair misses all tables with probability 3e-5; a pair of two components
@@ -151,23 +151,35 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _candidates(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of vertices of different components that share a table key with
-    one of them its centre. ``turn`` deals the centres anew."""
-    keys = members.select("rep", "n", "comp", "left", F.explode("right").alias("r")).select(
-        "rep", "n", "comp", F.explode("left").alias("l"), "r").select(
-            "rep", "n", "comp", F.xxhash64("l", "r").alias("key"))
-    centre = keys.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64(F.lit(turn), "rep").alias("turn"), "rep", "n", "comp")).alias("c"),
-        F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "c")
-    pairs = keys.join(centre, "key").where(
-        (F.col("comp") != F.col("c.comp"))
-        & (100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")))
-    return pairs.select(F.col("rep").alias("a"), F.col("c.rep").alias("b")).distinct()
+def _keys(members: DataFrame) -> DataFrame:
+    """Table keys of each vertex: every small hash of one collection with every one of the other."""
+    return members.select("rep", "n", F.explode("left").alias("l"), "right").select(
+        "rep", "n", "l", F.explode("right").alias("r")).select("rep", "n", F.xxhash64("l", "r").alias("key"))
+
+
+def _alike(n: str, m: str, percent: int):
+    """Sets whose sizes differ more than this cannot reach the similarity."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough, written to the scratch folder."""
+    sides = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+    both = F.size(F.array_intersect("sa", "sb"))
+    return materialize(sides.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum")).where(
+        100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b"), "new-links")
 
 
 def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
-    """Verified (a, b) between vertices, enough of them to join all components; None if none."""
+    """Verified (a, b) between vertices, enough of them to join all components; None if none.
+
+    First each vertex is compared with one vertex only, the first in a random order among the
+    centres of its keys: a group of near copies mostly agrees on it. Later rounds look at the keys
+    that still hold more than one component, and only at those: once a key is of one
+    component it stays so. They compare every vertex with the centres of its keys that are of
+    another component.
+    """
     small = reps.select("rep", F.posexplode("small").alias("pos", "h"))
     shared = small.groupBy("pos", "h").agg(F.count("*").alias("c")).where("c > 1").drop("c")
     side = F.when(F.col("pos") < HASHES, F.col("h"))
@@ -182,22 +194,25 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
     texts = docs.join(members.select(F.col("rep").alias("id")), "id", "left_semi")
     sets = materialize(full_sets(texts).join(
         members.select(F.col("rep").alias("id"), "s1"), ["id", "s1"]).dropDuplicates(["id"]).select("id", "set"), "sets")
-    found, comp, turn = None, None, 0
+    keys = _keys(members)
+    centre = keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("turn"), "rep", "n")).alias("c"),
+                                     F.count("*").alias("size")).where("size > 1").select("key", "c")
+    first = keys.join(centre, "key").where((F.col("rep") != F.col("c.rep")) & _alike("n", "c.n", percent)).groupBy(
+        F.col("rep").alias("a")).agg(F.min("c").alias("c")).select("a", F.col("c.rep").alias("b"))
+    found, turn = _verified(first, sets, percent), 0
     while True:
-        now = members.withColumn("comp", F.col("rep"))
-        if comp is not None:
-            now = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-                "comp", F.coalesce("label", "rep"))
-        pairs = _candidates(now, turn, percent)
-        sides = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(
-            sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        new = materialize(sides.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum")).where(
-            100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b"), "new-links")
+        comp, turn = components(found).withColumnRenamed("node", "rep"), turn + 1
+        now = keys.join(comp, "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
+        centre = now.groupBy("key").agg(
+            F.min(F.struct(F.xxhash64(F.lit(turn), "rep").alias("turn"), "rep", "n", "comp")).alias("c"),
+            F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "c")
+        mixed = materialize(now.join(centre, "key"), "mixed")
+        pairs = mixed.where((F.col("comp") != F.col("c.comp")) & _alike("n", "c.n", percent)).select(
+            F.col("rep").alias("a"), F.col("c.rep").alias("b")).distinct()
+        new = _verified(pairs, sets, percent)
         if not new.limit(1).count():
             return found
-        found = new if found is None else found.union(new)
-        comp, turn = components(found), turn + 1
+        found, keys = found.union(new), mixed.select("rep", "n", "key")
 
 
 def classes(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
