@@ -63,43 +63,68 @@ def words_of(text: str | None) -> list[str]:
     return out + (["".join(run)] if len(run) > 2 else run)
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, subsequence, weight) of each word's distinct subsequences; rows have length one."""
-    rows, codes, weights = [], [], []
+#: Offsets of the second and third character from the first, for all spans.
+SHAPES = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
+CELLS = 1 << 21
+
+
+def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, subsequences, weights): words of equal length together, a matrix of all subsequences
+    of each, equal ones not yet put together, and the weight of each column."""
     lengths = np.array([len(w) + 2 for w in words], np.int64)
     for n in np.unique(lengths):
-        of = np.flatnonzero(lengths == n)
-        flat = np.frombuffer("".join(f"\2{words[i]}\3" for i in of).encode("utf-32-le", "surrogatepass"), np.uint32)
-        chars = flat.reshape(len(of), n).astype(np.uint64)
-        for i in range(n - 2):
-            for k in range(i + 2, min(n, i + SPAN)):
-                for j in range(i + 1, k):
-                    rows.append(of)
-                    codes.append((chars[:, i] << np.uint64(42)) | (chars[:, j] << np.uint64(21)) | chars[:, k])
-                    weights.append(np.full(len(of), DECAY ** (k - i + 1)))
-    if not rows:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0)
-    row, code, weight = np.concatenate(rows), np.concatenate(codes), np.concatenate(weights)
-    order = np.lexsort((code, row))
-    row, code, weight = row[order], code[order], weight[order]
-    first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (code[1:] != code[:-1])]))
-    row, code, weight = row[first], code[first], np.add.reduceat(weight, first)
-    norm = np.sqrt(np.bincount(row, weight * weight, len(words)))
-    return row, code, weight / norm[row]
+        shapes = [x for x in SHAPES if x[1] < n]
+        columns = sum(n - k for _, k in shapes)
+        if not columns:
+            continue
+        rows = np.flatnonzero(lengths == n)
+        for of in np.array_split(rows, -(-len(rows) * columns // CELLS)):
+            text = "".join(f"\2{words[i]}\3" for i in of)
+            chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(of), n).astype(np.uint64)
+            first, second = chars << np.uint64(42), chars << np.uint64(21)
+            codes = np.concatenate([first[:, :n - k] | second[:, j:n - k + j] | chars[:, k:] for j, k in shapes], 1)
+            yield of, codes, np.concatenate([np.full(n - k, DECAY ** (k + 1)) for _, k in shapes])
+
+
+def _distinct(codes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, subsequence, weight), equal subsequences of a row added up."""
+    order = np.argsort(codes, 1)
+    codes, weights = np.take_along_axis(codes, order, 1), weights[order]
+    new = np.ones(codes.shape, bool)
+    new[:, 1:] = codes[:, 1:] != codes[:, :-1]
+    first = np.flatnonzero(new.ravel())
+    return first // codes.shape[1], codes.ravel()[first], np.add.reduceat(weights.ravel(), first)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, subsequence, weight) of each word's distinct subsequences; rows have length one."""
+    parts = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0))]
+    for of, codes, weights in _by_length(words):
+        row, code, weight = _distinct(codes, weights)
+        parts.append((of[row], code, weight / np.sqrt(np.bincount(row, weight * weight))[row]))
+    row, code, weight = (np.concatenate(x) for x in zip(*parts))
+    return row, code, weight
 
 
 def kernel(words: list[str], others: list[str]) -> np.ndarray:
     """Values of the normalized kernel: (words, others)."""
     row, code, weight = features(words)
     orow, ocode, oweight = features(others)
-    out = np.zeros((len(words), len(others)))
     order = np.argsort(ocode, kind="stable")
     orow, ocode, oweight = orow[order], ocode[order], oweight[order]
-    lo, hi = np.searchsorted(ocode, code, "left"), np.searchsorted(ocode, code, "right")
-    n = hi - lo
-    at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-    np.add.at(out, (np.repeat(row, n), orow[at]), np.repeat(weight, n) * oweight[at])
-    return out
+    out = np.zeros(len(words) * len(others))
+    for a in range(0, len(code), 1 << 18):
+        part = code[a:a + (1 << 18)]
+        lo, hi = np.searchsorted(ocode, part, "left"), np.searchsorted(ocode, part, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        cell = np.repeat(row[a:a + (1 << 18)], n) * len(others) + orow[at]
+        out += np.bincount(cell, np.repeat(weight[a:a + (1 << 18)], n) * oweight[at], len(out))
+    return out.reshape(len(words), len(others))
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
 
 
 class Machine:
@@ -110,15 +135,30 @@ class Machine:
         self.slope, self.shift = 1.0, 0.0
 
     def margins(self, words: list[str]) -> np.ndarray:
+        """Weights are found through a table by hash that holds one subsequence a slot; the few
+        that share a slot with another are searched for. Only words in which a subsequence
+        repeats need their subsequences put together for their length."""
         out = np.full(len(words), self.offset)
         if not len(self.codes):
             return out
-        for a in range(0, len(words), 20_000):
-            part = words[a:a + 20_000]
-            row, code, weight = features(part)
-            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            out[a:a + len(part)] += np.bincount(row, np.where(self.codes[at] == code, self.weights[at] * weight, 0),
-                                                len(part))
+        table = np.zeros(1 << 20, np.int32)
+        table[_slot(self.codes)] = np.arange(len(self.codes)) + 1
+        held = np.concatenate([np.zeros(1, np.uint64), self.codes])
+        value = np.concatenate([np.zeros(1), self.weights])
+        for of, codes, weights in _by_length(words):
+            at = table[_slot(codes)]
+            found = value[at]
+            row, column = np.nonzero((at > 0) & (held[at] != codes))
+            other = codes[row, column]
+            near = np.minimum(np.searchsorted(self.codes, other), len(self.codes) - 1)
+            found[row, column] = np.where(self.codes[near] == other, self.weights[near], 0)
+            norm = np.full(len(of), np.sqrt((weights * weights).sum()))
+            ordered = np.sort(codes, 1)
+            twice = np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(1))
+            if len(twice):
+                again, _, weight = _distinct(codes[twice], weights)
+                norm[twice] = np.sqrt(np.bincount(again, weight * weight))
+            out[of] += found @ weights / norm
         return out
 
     def score(self, margin: np.ndarray) -> np.ndarray:
