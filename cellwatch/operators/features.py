@@ -147,9 +147,6 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
         last(c("cell_v")).alias("last_pack_cell_voltage"),
         last(c("probe_temp_c")).alias("last_pack_probe_temp"),
         F.min(e("sample_ts")).alias("start_time"), F.max(e("sample_ts")).alias("end_time"),
-        # the gaps between adjacent frames add up to last minus first
-        F.coalesce(F.floor((F.max(e(F.unix_micros("sample_ts"))) - F.min(e(F.unix_micros("sample_ts"))))
-                           / 1e6), F.lit(0)).cast("long").alias("block_duration"),
         *ends,
         *_spread(discharge, "discharge_current"), *_spread(charge, "charge_current"),
         *_spread(e("pack_voltage_v"), "pack_voltage"),
@@ -214,7 +211,7 @@ def block_features(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 
 def gap_features(prepared: DataFrame) -> DataFrame:
-    """Capacities, energies and balancing of every block that has effective frames."""
+    """Duration, capacities, energies and balancing of every block that has effective frames."""
     thin = effective(prepared).select(*BLOCK_KEY, "sample_ts", "frame_no", "current_a", "pack_voltage_v",
                                       F.coalesce("is_balancing", F.lit(False)).alias("is_balancing"))
     amp, balancing = F.col("current_a"), F.col("is_balancing")
@@ -225,6 +222,8 @@ def gap_features(prepared: DataFrame) -> DataFrame:
         return F.coalesce(F.sum(_if(condition, value)), F.lit(0.0))
 
     return with_gaps(thin).groupBy(*BLOCK_KEY).agg(
+        # gaps are whole microseconds; half of one keeps their sum from falling below a second
+        (F.sum("gap_s") + 5e-7).cast("long").alias("block_duration"),
         total(amp < 0, -amp_s).alias("charge_cap"), total(amp < 0, -watt_h).alias("charge_energy"),
         total(amp > 0, amp_s).alias("discharge_cap"), total(amp > 0, watt_h).alias("discharge_energy"),
         F.count_if(balancing & ~F.col("was_balancing")).cast("int").alias("balance_count"),

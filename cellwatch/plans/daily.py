@@ -52,6 +52,7 @@ def block_table(prepared: DataFrame, static: DataFrame, as_of: datetime, etl_at:
     for part in (features.gap_features(prepared), features.rank_features(prepared),
                  features.sn_histograms(prepared), features.rest_features(prepared, p)):
         blocks = segment.join_blocks(blocks, part)
+    blocks = blocks.withColumn("block_duration", F.coalesce("block_duration", F.lit(0)))
     blocks = normalize.enrich_static(blocks, static)
     blocks = segment.with_bookkeeping(blocks, as_of, etl_at)
     schema = blocks.sparkSession.createDataFrame([], BLOCK_FEATURES_DDL).schema

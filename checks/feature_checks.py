@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellwatch.functions import vectors
-from cellwatch.operators import features
+from cellwatch.operators import features, segment
 
 from .registry import check
 from .telemetry import KEY, KEY_SQL, prepared, table, with_ctes
@@ -91,8 +91,9 @@ FROM (SELECT * FROM g UNION ALL SELECT *, CAST(NULL AS DOUBLE) AS gap_s, NULL AS
       FROM f WHERE NOT is_effective)
 WHERE is_effective GROUP BY {KEY_SQL}"""))
 def _(spark, sf):
-    return blocks(spark, sf, _us("start_time"), _us("end_time"), "block_duration").filter(
-        "start_time is not null")
+    ready = prepared(spark, sf)
+    both = segment.join_blocks(features.block_features(ready), features.gap_features(ready))
+    return both.select(*KEY, _us("start_time"), _us("end_time"), "block_duration").filter("start_time is not null")
 
 
 _ENDS = {"user_soc": "user_soc", "real_soc": "user_soc - 1", "soh": "95.0::DOUBLE",

@@ -28,12 +28,13 @@ def test_hand_made_block(spark):
     block = features.block_features(ready).first()
     assert (block.block_msg_count, block.effect_msg_count, block.fault_msg_count) == (4, 3, 1)
     assert block.cell_volt_init_count == {4.096: 1, 5.094: 0, 65535.0: 0}
-    assert (block.start_user_soc, block.end_user_soc, block.block_duration) == (51.0, 53.0, 180)
+    assert (block.start_user_soc, block.end_user_soc) == (51.0, 53.0)
     assert block.max_volt_diff == pytest.approx(0.03) and block.max_volt_diff_time == T0 + timedelta(minutes=1)
     assert block.volt_diff_quartiles == pytest.approx({0.25: 0.015, 0.5: 0.02, 0.75: 0.025})
     assert (block.max_charge_current, block.min_charge_current, block.avg_discharge_current) == (30.0, 10.0, None)
     assert block.max_volt_diff_volt_entropy == pytest.approx(-(0.1 * -3.321928094887362 + 0.9 * -0.15200309344505))
     gaps = features.gap_features(ready).first()
+    assert gaps.block_duration == 180
     # gaps 0, 60 and 120 s; a frame counts with its own current
     assert gaps.charge_cap == 20.0 * 60 + 30.0 * 120 and gaps.discharge_cap == 0.0
     assert gaps.charge_energy == pytest.approx(gaps.charge_cap * 36 / 3600)
