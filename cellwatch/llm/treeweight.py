@@ -38,7 +38,7 @@ from .common import crc_rest, long_array, lowered, slices, utf8, word_hashes
 
 DEPTH, SPLIT = 5, 3
 FOLDS, HELD = 7, 2
-BLOCK_BYTES, SLICE, SHARE_RUNS = 64 << 20, 1 << 21, 300_000
+BLOCK_BYTES, SLICE, SHARE_RUNS = 64 << 20, 1 << 19, 300_000
 END, BEFORE = 0xFF, 0xFE  # bytes that UTF-8 never has
 WORD_KEY = np.uint64(1 << 63)
 
@@ -72,7 +72,7 @@ class _Tally:
     def add(self, keys: np.ndarray, trains: np.ndarray) -> None:
         order = np.argsort(keys)
         self.fold([(keys[order], trains[order])])
-        if self.size > 8_000_000:
+        if self.size > 3_000_000:
             self.whole()
 
     def fold(self, new: list) -> None:
@@ -260,6 +260,7 @@ def _answered(texts: DataFrame, answers: DataFrame, totals: tuple[int, int, int]
         keys = known.column("key").to_numpy().view(np.uint64)
         order = np.argsort(keys)
         keys, values = keys[order], known.column("value").to_numpy()[order]
+        del known, order
         data, offsets = utf8(table.column("text"))
         tokens, seen, base, score = (np.zeros(table.num_rows, t) for t in (np.int64, np.int64, float, float))
         for a, b in slices(offsets, SLICE):
