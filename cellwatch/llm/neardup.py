@@ -36,6 +36,8 @@ from cellwatch.sources.scratch import materialize
 from .common import long_array, lowered, mix, slices, utf8, word_hashes
 
 HASHES, ROWS, SIDES = 12, 3, 2
+#: Vertices of a key whose components are all compared in one round; a larger key takes rounds.
+FEW = 16
 #: Bytes of text whose work arrays a task holds at a time.
 SLICE = 1 << 21
 
@@ -178,7 +180,8 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
     centres of its keys: a group of near copies mostly agrees on it. Later rounds look at the keys
     that still hold more than one component, and only at those: once a key is of one
     component it stays so. They compare every vertex with the centres of its keys that are of
-    another component.
+    another component; a key of up to ``FEW`` vertices is settled at once, all its vertices of
+    different components being compared.
     """
     small = reps.select("rep", F.posexplode("small").alias("pos", "h"))
     shared = small.groupBy("pos", "h").agg(F.count("*").alias("c")).where("c > 1").drop("c")
@@ -205,14 +208,19 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
         now = keys.join(comp, "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
         centre = now.groupBy("key").agg(
             F.min(F.struct(F.xxhash64(F.lit(turn), "rep").alias("turn"), "rep", "n", "comp")).alias("c"),
-            F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "c")
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where(
+                "lo <> hi").select("key", "c", "size")
         mixed = materialize(now.join(centre, "key"), "mixed")
-        pairs = mixed.where((F.col("comp") != F.col("c.comp")) & _alike("n", "c.n", percent)).select(
-            F.col("rep").alias("a"), F.col("c.rep").alias("b")).distinct()
-        new = _verified(pairs, sets, percent)
+        large, few = mixed.where(F.col("size") > FEW), mixed.where(F.col("size") <= FEW)
+        star = large.where((F.col("comp") != F.col("c.comp")) & _alike("n", "c.n", percent)).select(
+            F.col("rep").alias("a"), F.col("c.rep").alias("b"))
+        other = few.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp2"))
+        each = few.join(other, "key").where((F.col("comp") < F.col("comp2")) & _alike("n", "m", percent)).select(
+            F.col("rep").alias("a"), "b")
+        new = _verified(star.union(each).distinct(), sets, percent)
         if not new.limit(1).count():
             return found
-        found, keys = found.union(new), mixed.select("rep", "n", "key")
+        found, keys = found.union(new), large.select("rep", "n", "key")
 
 
 def classes(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
