@@ -11,11 +11,11 @@ take 864. Two documents meet in a table if they agree in both parts.
   only for vertices that have company in both collections.
 * Within a key a vertex is compared with one centre, not with all others, and each pair is verified
   on the full sets. Rounds with other centres follow, in which only vertices of different
-  components are compared, until a round adds no link.
+  components are compared, until a round adds no link. What then still shares a large key across
+  components is settled by an exact prefix join, so every pair that shares a key is decided.
 * Components come from smallest labels passed along links, with labels followed to their labels.
 
-At the threshold of 0.85 a pair misses all tables with probability 3e-5; a pair of two components
-that never has either of its ends as a centre is found only through other members.
+At the threshold of 0.85 a pair misses all tables with probability 3e-5.
 
 Defined results: null and empty texts have an empty set and link with nothing; rows of one id are
 one document; rows without an id link with nothing and are kept; other columns are dropped; an
@@ -173,6 +173,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b"), "new-links")
 
 
+def settled(vertices: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair (a, b) of different components of ``vertices`` (rep, n, comp) that is similar enough.
+
+    A prefix join. Shingles have one order for all sets: those of a single component first, then
+    the rarest. The first common shingle of such a pair is within the first 8 % of the shorter set
+    and the first 15 % of the longer one (at 85 %), and so many shingles follow it in both. Those
+    of a single component take their places in the order and are not joined.
+    """
+    each = vertices.join(sets.withColumnRenamed("id", "rep"), "rep").select("rep", "n", "comp", F.explode("set").alias("sh"))
+    mixed = each.groupBy("sh").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
+        "lo <> hi").select("sh", "c")
+    longest = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
+    shortest = F.expr(f"n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + 1")
+    ordered = each.join(mixed, "sh").groupBy("rep", "n", "comp").agg(
+        F.sort_array(F.collect_list(F.struct("c", "sh"))).alias("shared"))  # at most the set itself
+    own = F.col("n") - F.size("shared")
+    heads = materialize(ordered.withColumn("own", own).withColumn("least", shortest).select(
+        "rep", "n", "comp", "own", "least",
+        F.posexplode(F.slice("shared", F.lit(1), F.greatest(longest - own, F.lit(0)).cast("int"))).alias("pos", "s")).select(
+            "rep", "n", "comp", "least", (F.col("own") + F.col("pos") + 1).alias("at"), F.col("s.sh").alias("sh")), "prefixes")
+    short = heads.where("at <= least").select("sh", *[F.col(c).alias(f"{c}1") for c in ("rep", "n", "comp", "at")])
+    pairs = short.join(heads.drop("least"), "sh").where(
+        (F.col("comp1") != F.col("comp")) & ((F.col("n1") < F.col("n")) | (F.col("n1") == F.col("n")) & (F.col("rep1") < F.col("rep")))
+        & _alike("n1", "n", percent)
+        & ((100 + percent) * (F.least(F.col("n1") - F.col("at1"), F.col("n") - F.col("at")) + 1)
+           >= percent * (F.col("n1") + F.col("n"))))
+    return _verified(pairs.select(F.col("rep1").alias("a"), F.col("rep").alias("b")).distinct(), sets, percent)
+
+
 def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
     """Verified (a, b) between vertices, enough of them to join all components; None if none.
 
@@ -181,7 +210,8 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
     that still hold more than one component, and only at those: once a key is of one
     component it stays so. They compare every vertex with the centres of its keys that are of
     another component; a key of up to ``FEW`` vertices is settled at once, all its vertices of
-    different components being compared.
+    different components being compared. When the centres add no link, what is left of the larger
+    keys is settled by a prefix join of their vertices.
     """
     small = reps.select("rep", F.posexplode("small").alias("pos", "h"))
     shared = small.groupBy("pos", "h").agg(F.count("*").alias("c")).where("c > 1").drop("c")
@@ -218,8 +248,11 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
         each = few.join(other, "key").where((F.col("comp") < F.col("comp2")) & _alike("n", "m", percent)).select(
             F.col("rep").alias("a"), "b")
         new = _verified(star.union(each).distinct(), sets, percent)
+        left = large.select("rep", "n", "comp").distinct()
+        if not left.limit(1).count():
+            return found.union(new)
         if not new.limit(1).count():
-            return found
+            return found.union(settled(left, sets, percent))
         found, keys = found.union(new), large.select("rep", "n", "key")
 
 

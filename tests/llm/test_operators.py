@@ -270,6 +270,38 @@ def test_near_duplicates(spark):
     assert {i: (len(sets[i]), find(i)) for i in sets} == {i: (r.n_shingles, r.component_id) for i, r in got.items()}
 
 
+def test_near_duplicates_in_large_families(spark):
+    """Thousands of unlinked variants share each key; one pair of each family, in no key of its own, is alike."""
+    rng, rows, pairs = np.random.default_rng(8), [], set()
+    for family in range(3):
+        template = [f"f{family}t{i}" for i in range(200)]
+        for i in range(1000):
+            # blocks of 16 words leave 0.83 at most; two of 5 words apart from each other leave 0.87
+            size, at = (5, 40 + 60 * (i % 2)) if i in (500, 501) else (16, int(rng.integers(2, 180)))
+            rows.append(doc(family * 1000 + i, " ".join(
+                template[:at] + [f"f{family}n{i}x{k}" for k in range(size)] + template[at + size:])))
+        pairs.add((family * 1000 + 501, family * 1000 + 500))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {(r.doc_id, r.component_id) for r in neardup.classes(df).where("NOT kept").collect()}
+    assert got == pairs
+
+
+def test_prefix_join_against_all_pairs(spark):
+    rng = np.random.default_rng(9)
+    sets = [set(rng.choice(60, int(rng.integers(1, 40)), replace=False).tolist()) for _ in range(40)]
+    for s in list(sets):
+        for _ in range(4):
+            sets.append((s - set(rng.choice(60, 2).tolist())) | set(rng.choice(60, int(rng.integers(0, 4))).tolist()) or {1})
+    comp = [int(c) for c in rng.integers(0, 30, len(sets))]
+    vertices = spark.createDataFrame([(i, len(s), c) for i, (s, c) in enumerate(zip(sets, comp))], "rep bigint, n bigint, comp bigint")
+    table = spark.createDataFrame([(i, sorted(map(int, s))) for i, s in enumerate(sets)], "id bigint, set array<bigint>")
+    for percent in (85, 60):
+        want = {(a, b) for a in range(len(sets)) for b in range(a) if comp[a] != comp[b]
+                and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+        got = {(max(r), min(r)) for r in neardup.settled(vertices, table, percent).collect()}
+        assert len(want) > 100 and got == want
+
+
 def test_chains_of_links(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 300)]
     got = dict(neardup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
