@@ -78,9 +78,15 @@ def in_order(runs: DataFrame, cols: list[str]) -> DataFrame:
                             order=("start_ts", "process_id"), out="before")
 
 
-def last_processes(prepared: DataFrame) -> DataFrame:
-    """The carry of numbered frames: of each battery its last frame's place, type and process."""
+def last_processes(prepared: DataFrame, carry: DataFrame | None = None) -> DataFrame:
+    """The carry of numbered frames: of each battery its last frame's place, type and process.
+
+    ``carry``, the one these frames were numbered with, keeps its row of a battery without frames.
+    """
     at = F.struct("sample_ts", "frame_no")
-    last = prepared.groupBy("battery_id").agg(F.max_by(F.struct(
-        *SLOT, "sample_ts", "frame_no", "event_type", F.col("process_id").cast("long").alias("process_id")), at).alias("x"))
+    rows = prepared.select("battery_id", *SLOT, "sample_ts", "frame_no", "event_type",
+                           F.col("process_id").cast("long").alias("process_id"))
+    rows = rows if carry is None else rows.unionByName(carry)
+    last = rows.groupBy("battery_id").agg(F.max_by(F.struct(
+        *SLOT, "sample_ts", "frame_no", "event_type", "process_id"), at).alias("x"))
     return last.select("battery_id", "x.*")

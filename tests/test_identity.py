@@ -24,6 +24,21 @@ def test_numbers_go_on_over_two_runs(spark):
         assert got == whole, cut
 
 
+def test_numbers_go_on_after_a_silent_run(spark):
+    rows = [minute(i * 30, event_type="charging" if i < 2 else "parking", frame_no=i, battery_id="B") for i in range(4)]
+    rows += [minute(i * 30, event_type="parking" if i < 7 else "driving", frame_no=10 + i, battery_id="A") for i in range(9)]
+    rows += [minute(i * 30, event_type="charging", frame_no=i, battery_id="B") for i in (7, 8)]
+    whole = {(r.battery_id, r.frame_no): r.process_id for r in features.prepare(frames(spark, rows), collapse=False).collect()}
+    got, carry = {}, None
+    for lo, hi in ((0, 120), (120, 210), (210, 300)):  # the second without B
+        some = frames(spark, rows).filter(F.col("sample_ts").between(
+            F.lit(T0 + timedelta(minutes=lo)), F.lit(T0 + timedelta(minutes=hi - 1))))
+        ready = features.prepare(some, collapse=False, carry=carry)
+        got |= {(r.battery_id, r.frame_no): r.process_id for r in ready.collect()}
+        carry = segment.last_processes(ready, carry)
+    assert got == whole and whole["B", 8] == 3
+
+
 def test_processes_are_neighbours_by_time(spark):
     rows = [minute(i, event_type=k, process_id=p, device_type="swap_station", frame_no=i)
             for i, (k, p) in enumerate([("charging", "950"), ("charging", "950"), ("parking", "90x"), ("parking", "90x"),
