@@ -14,6 +14,10 @@ columns are dropped; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -121,6 +125,17 @@ def rules() -> list[tuple[int, str, int, float, str, str]]:
 KEYWORDS = sorted({f[1] for f in FAMILIES})
 
 
+def _needed(keyword: str, name: str) -> str:
+    """What a text must hold for a name to match: ``licen`` if no form goes without, or a word of its keyword."""
+    always = re.sub(r"\(\?:[^()]*\)\?", "", name)
+    return "licen" if all("licen[sc]e" in part for part in always.split("|")) else max(keyword.split(" "), key=len)
+
+
+#: A text that holds none of these has no match.
+GATE = sorted({_needed(keyword, name) for _, keyword, name, _ in FAMILIES})
+GATE += [phrase.split(" ")[0] for phrase, _ in BASE if not any(w in phrase for w in GATE)]
+
+
 def _places(words: Column, text: Column) -> Column:
     """Starts of all base phrases, with their labels; only where a phrase's text occurs."""
     out = []
@@ -180,10 +195,7 @@ def scan(docs: DataFrame) -> DataFrame:
     base = docs.select("doc_id", low.alias("low")).select(
         "doc_id", F.array_remove(F.split("low", NOT_WORD), "").alias("words"),
         # a phrase's words may stand apart in the text, so the gate is one word of each
-        (F.contains("low", F.lit("licen")) | F.contains("low", F.lit("cc")) | F.contains("low", F.lit("public"))
-         | F.contains("low", F.lit("spdx")) | F.contains("low", F.lit("rights")) | F.contains("low", F.lit("pl"))
-         | F.contains("low", F.lit("bsd")) | F.contains("low", F.lit("commons"))
-         | F.contains("low", F.lit("asl"))).alias("gate"))
+        reduce(or_, [F.contains("low", F.lit(w)) for w in GATE]).alias("gate"))
     joined = base.select(
         "doc_id", "words", F.size("words").cast("long").alias("n_words"),
         F.when(F.col("gate"), F.array_join("words", " ")).otherwise("").alias("words_text"))

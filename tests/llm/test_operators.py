@@ -166,6 +166,18 @@ def test_license_suppression(spark):
     assert len(got["y"]) == 41
 
 
+def test_license_names_alone(spark):
+    """The bare name of each family is found in a text that holds nothing else."""
+    want = {}
+    for i, (label, _, name, _) in enumerate(licenses.FAMILIES):
+        bare = re.sub(r"\(\?:([^()|]*)[^()]*\)", r"\1", re.sub(r"\(\?:[^()]*\)\?", "", name)).split("|")[0]
+        want[i] = (label, bare.replace("[sc]", "s").replace("?", ""))
+        assert re.fullmatch(name, want[i][1])
+    df = spark.createDataFrame([(i, t) for i, (_, t) in want.items()], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert [want[i] for i in want if want[i][0] not in got[i].labels.split(",") or got[i].score < 0.6] == []
+
+
 def test_ledger(spark):
     df = spark.createDataFrame([doc(1, "x " * 10), doc(2, " ".join(f"w{i}" for i in range(50))), doc(3, "a&& b&& " * 30)])
     df = df.toDF("doc_id", "text", "lang", "source", "n_chars")
