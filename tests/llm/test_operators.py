@@ -358,6 +358,17 @@ def test_main_text():
     assert html.main_texts(["", "<", "a < b &lt; c", "<!-- x"]) == ["", "<", "a < b < c", ""]
 
 
+def test_runs_are_counted_over_the_whole_host(spark):
+    """Each passage stands on two of 2,400 pages of a host; copies of a page do not empty each other."""
+    own = [f"alone on page{i}" for i in range(2400)]
+    rows = [(i, "http://big.example/%d" % i, f"<p>{own[i]}</p><p>" + " ".join(f"p{i % 1200}w{k}" for k in range(9)) + "</p>")
+            for i in range(2400)]
+    same = "words of one page that was taken two times over"
+    rows += [(i, "http://twice.example/", f"<p>{same}</p>") for i in (9001, 9002)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == dict(enumerate(own)) | {9001: same, 9002: same}
+
+
 def test_repeated_runs_against_plain_search():
     rng = np.random.default_rng(6)
     pages = [rng.integers(0, 90, 60).tolist() for _ in range(6)]
