@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, licenses, neardup, quality, sharding, toxicity, treeweight, warc
+from . import (alignment, bpe, decontaminate, html, licenses, neardup, packing, periods, quality, sharding, toxicity,
+               treeweight, warc)
 from .common import ship
 
 
@@ -57,6 +58,20 @@ def op10_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(_table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_context_tree_weighting": op1_context_tree_weighting,
     "op2_license_signatures": op2_license_signatures,
@@ -68,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_host_suffix_array": op10_host_suffix_array,
+    "op11_nnls_packing": op11_nnls_packing,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_recompression_runs": op13_recompression_runs,
 }
 ORACLES: dict[str, str] = {
     "op3_quality_ledger": quality.SQL,
