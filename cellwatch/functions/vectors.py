@@ -34,14 +34,6 @@ def mean(v: Column) -> Column:
     return total(v) / F.nullif(F.size(v).cast("double"), F.lit(0.0))
 
 
-def argmax(v: Column) -> Column:
-    return F.nullif(F.array_position(v, F.array_max(readings(v))).cast("int"), F.lit(0))
-
-
-def argmin(v: Column) -> Column:
-    return F.nullif(F.array_position(v, F.array_min(readings(v))).cast("int"), F.lit(0))
-
-
 def sorted_quantile(s: Column, q: float) -> Column:
     """Linear-interpolated quantile of an already sorted vector; null when it is empty."""
     at = (F.size(s) - 1) * F.lit(float(q))
@@ -63,12 +55,36 @@ def zero_or_nan_share(v: Column) -> Column:
     return F.size(bad) / F.nullif(F.size(v).cast("double"), F.lit(0.0))
 
 
-def ranks(v: Column, s: Column) -> Column:
-    """Ascending 1-based rank of each position; ties take the lowest rank.
+def argmax(v: Column) -> Column:
+    return position(v, F.array_max(readings(v)))
+
 
-    ``s`` is the same vector sorted, passed in so that it is sorted once per frame.
+def argmin(v: Column) -> Column:
+    return position(v, F.array_min(readings(v)))
+
+
+def position(v: Column, x: Column) -> Column:
+    """Where ``x`` stands first; null when it does not."""
+    return F.nullif(F.array_position(v, x).cast("int"), F.lit(0))
+
+
+def ranks(v: Column) -> Column:
+    """(position, rank) of each element, by value: ascending 1-based ranks, ties take the lowest.
+
+    One sort of (value, position); a pass over it carries the rank of a value on to its ties. A
+    null has no rank but stands before all values.
     """
-    return F.transform(v, lambda x: F.array_position(s, x).cast("int"))
+    pairs = F.sort_array(F.transform(v, lambda x, i: F.struct(x.alias("value"), (i + 1).alias("position"))))
+    zero = F.struct(F.lit(None).cast("double").alias("value"), F.lit(0).alias("rank"),
+                    F.array().cast("array<struct<position:int,rank:int>>").alias("out"))
+
+    def add(acc, x):
+        n = F.size(acc["out"])
+        rank = F.when((n > 0) & acc["value"].eqNullSafe(x["value"]), acc["rank"]).otherwise(n + 1)
+        own = F.struct(x["position"].alias("position"), F.when(x["value"].isNotNull(), rank).alias("rank"))
+        return F.struct(x["value"].alias("value"), rank.alias("rank"), F.array_append(acc["out"], own).alias("out"))
+
+    return F.aggregate(pairs, zero, add, lambda acc: acc["out"])
 
 
 def entropy(bins: Column) -> Column:

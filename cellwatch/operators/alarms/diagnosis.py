@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...params import DEFAULTS, Params
-from .. import signals
+from ...sources.scratch import materialize
+from .. import population, signals
 
 
 @dataclass(frozen=True)
@@ -116,10 +117,11 @@ def temperature(alarms: DataFrame, prepared: DataFrame, p: Params = DEFAULTS,
 def sampling(alarms: DataFrame, p: Params = DEFAULTS,
              rules: Sequence[CodeRule] = SAMPLING_RULES) -> DataFrame:
     """``ap29``: alarms with a sigma test of their number against the other batteries that day."""
-    days = by_battery_day(alarms)
+    # one row per battery-day; read twice, so written once
+    days = materialize(by_battery_day(alarms), "battery-days")
     stats = days.groupBy("date_tag").agg(F.avg("n_fired").alias("_mean"),
                                          F.stddev_pop("n_fired").alias("_sd"))
-    days = (days.join(stats, "date_tag")
+    days = (population.join_groups(days, stats, ["date_tag"])
             .withColumn("sigma_outlier", F.col("n_fired") > F.col("_mean") + p.sigma * F.col("_sd"))
             .drop("_mean", "_sd"))
     return codes(days, rules)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...params import DEFAULTS, Params
-from .. import ordered, quality
+from .. import ordered, quality, segment
 
 
 def initial_values(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
@@ -43,9 +43,12 @@ def symmetry(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     step over midnight counts on the day it ends. A pack has at most a few hundred pairs, so the fence's group is bounded by the pack.
     """
     day = ["battery_id", "date_tag"]
-    thin = prepared.select(*day, "sample_ts", "frame_no", "cell_mv")
-    df = ordered.previous(thin, ["battery_id"], ["cell_mv"], ordered.time_slice(p.slot_seconds))
-    steps = F.zip_with("cell_mv", "prev.cell_mv", lambda a, b: a - b)
+    # uV fit an int, half of what travels; the slices are those frames are numbered by, so a plan that
+    # numbers them does not shuffle them again
+    uv = F.transform("cell_mv", lambda x: F.when(~F.isnan(x), F.rint(x * 1e3)).cast("int"))
+    thin = prepared.select("battery_id", *segment.SLOT, "sample_ts", "frame_no", uv.alias("_uv"))
+    df = ordered.previous(thin, ["battery_id"], ["_uv"], segment.SLOT)
+    steps = F.zip_with("_uv", "prev._uv", lambda a, b: (a - b) / 1e3)
     df = df.filter(F.col("prev").isNotNull()).select(*day, steps.alias("_d"))
     left = F.slice("_d", 1, F.greatest(F.size("_d") - 1, F.lit(0)))
     right = F.slice("_d", 2, F.greatest(F.size("_d") - 1, F.lit(0)))

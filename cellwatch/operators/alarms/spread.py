@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...params import DEFAULTS, Params
-from .. import features, ordered, population
+from .. import features, population, segment
 
 # Block columns the population models look at.
 FACTORS = ("max_volt_diff", "max_volt_diff_volt_entropy", "max_volt_diff_volt_rms", "max_volt_skewness")
@@ -54,7 +54,7 @@ def statistical(blocks: DataFrame, p: Params = DEFAULTS,
     """Blocks whose spread and whose entropy both lie above their group's fence."""
     fences = population.upper_fences(blocks, group, {
         "max_volt_diff": "volt_fence", "max_volt_diff_volt_entropy": "entropy_fence"}, p.iqr_factor)
-    return (blocks.join(fences, list(group), "left")
+    return (population.join_groups(blocks, fences, group, "left")
             .withColumns({
                 "volt_outlier": F.coalesce(F.col("max_volt_diff") > F.col("volt_fence"), F.lit(False)),
                 "entropy_outlier": F.coalesce(
@@ -68,11 +68,11 @@ def rank_shift(prepared: DataFrame, static: DataFrame, p: Params = DEFAULTS) ->
     charges = (features.effective(prepared).filter("event_type = 'charging'")
                .join(packs, "battery_type", "left_semi"))
     ranks = features.rank_rows(charges, ["battery_id", "process_id"], "cell_mv").drop("rank_stddev")
-    runs = charges.groupBy("battery_id", "process_id").agg(F.min("date_tag").alias("date_tag"))
-    pairs = ordered.previous(runs, ["battery_id"], ["process_id"],
-                             ordered.number_slice("process_id", 1024), order=["process_id"])
-    pairs = pairs.select("battery_id", "process_id", "date_tag",
-                         F.col("prev.process_id").alias("prev_process_id"))
+    runs = charges.groupBy("battery_id", "process_id").agg(
+        F.min("date_tag").alias("date_tag"), F.min("sample_ts").alias("start_ts"))
+    # by time: ids may have any form
+    pairs = segment.in_order(runs, ["process_id"]).select(
+        "battery_id", "process_id", "date_tag", F.col("before.process_id").alias("prev_process_id"))
     before = ranks.select("battery_id", F.col("process_id").alias("prev_process_id"), "position",
                           F.col("rank_mean").alias("prev_rank_mean"))
     return (ranks.join(pairs, ["battery_id", "process_id"])
@@ -94,20 +94,24 @@ def factor_score(blocks: DataFrame, p: Params = DEFAULTS, group: Sequence[str] =
 
 def factor_score_pca(blocks: DataFrame, p: Params = DEFAULTS, group: Sequence[str] = ("cell_type",),
                      k: int = 2) -> DataFrame:
-    """The same with the projection learnt: distance in the first ``k`` principal components."""
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
+    """The same with the projection learnt per group: distance in the first ``k`` principal components of
+    the normalised factors. A direction's sign does not matter to it."""
     complete = blocks.dropna(subset=[*FACTORS, *group])
-    joined = VectorAssembler(inputCols=list(FACTORS), outputCol="_raw").transform(complete)
-    scaled = StandardScaler(inputCol="_raw", outputCol="_unit", withMean=True).fit(joined).transform(joined)
-    projected = PCA(k=k, inputCol="_unit", outputCol="_pc").fit(scaled).transform(scaled)
-    length = F.sqrt(F.aggregate(vector_to_array("_pc"), F.lit(0.0), lambda a, x: a + x * x))
-    return _cut(projected.withColumn("score", length).drop("_raw", "_unit", "_pc"), group, p)
+    scored = population.z_scores(complete, group, FACTORS)
+    names = [f"z_{c}" for c in FACTORS]
+    axes = population.principal(scored, group, names, k)
+    z = F.array(*names)
+    # squared length of the projection: z' P z, P being the sum of the axes' projectors
+    length = F.lit(0.0)
+    for i in range(len(names)):
+        for j in range(len(names)):
+            length = length + F.get(z, i) * F.get(z, j) * F.get("projector", i * len(names) + j)
+    joined = population.join_groups(scored, axes, group)
+    return _cut(joined.withColumn("score", F.sqrt(F.greatest(length, F.lit(0.0)))).drop("projector"), group, p)
 
 
 def _cut(scored: DataFrame, group: Sequence[str], p: Params) -> DataFrame:
     cut = population.exact_quantiles(scored, group, "score", (p.math_quantile,)).select(
         *group, F.get("quantiles", 0).alias("score_cut"))
-    return (scored.join(cut, list(group))
+    return (population.join_groups(scored, cut, group)
             .withColumn("fired", F.col("score") > F.col("score_cut")))

@@ -43,5 +43,5 @@ def statistical(blocks: DataFrame, p: Params = DEFAULTS,
         (F.sum(F.col("avg_temp_diff") * known) / F.nullif(F.sum(known), F.lit(0))).alias("daily_temp_diff"),
         F.min("device_id").alias("device_id"))
     fence = population.upper_fences(daily, group, {"daily_temp_diff": "fence"}, p.iqr_factor)
-    return daily.join(fence, list(group), "left").withColumn(
+    return population.join_groups(daily, fence, group, "left").withColumn(
         "fired", F.coalesce(F.round("daily_temp_diff", 9) > F.round("fence", 9), F.lit(False)))

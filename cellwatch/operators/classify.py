@@ -87,12 +87,31 @@ def best_match(hits: DataFrame) -> DataFrame:
             .select("case_id", "_b.failure_type", "_b.keyword"))
 
 
+def latest_corrections(log: DataFrame, as_of=None) -> DataFrame:
+    """(case_id, corrected_type) in force at ``as_of``, or now, from a log that is only appended to.
+
+    The log has case_id, corrected_type and corrected_at; of a case the latest entry holds, of entries of one
+    moment the one of the greatest type. An entry without a type takes the correction back.
+    """
+    log = log if as_of is None else log.filter(F.col("corrected_at") <= F.lit(as_of))
+    kind = F.col("corrected_type")
+    latest = F.max_by(F.struct("corrected_type"), F.struct("corrected_at", F.coalesce(kind, F.lit(""))))
+    return log.groupBy("case_id").agg(latest.alias("_c")).select("case_id", "_c.corrected_type").filter(
+        "corrected_type is not null")
+
+
 def resolve_type(cases: DataFrame, declared: str = "declared_type",
-                 confirmed: str = "confirmed_type", inferred: str = "inferred_type") -> DataFrame:
-    """Precedence declared, confirmed, inferred; ``origin`` tells which one applied."""
+                 confirmed: str = "confirmed_type", inferred: str = "inferred_type",
+                 corrected: str = "corrected_type") -> DataFrame:
+    """Precedence corrected, declared, confirmed, inferred; ``origin`` tells which one applied.
+
+    A type once settled is not inferred again unless the reporter corrects it; cases without a column of
+    corrections have none.
+    """
+    cases = cases if corrected in cases.columns else cases.withColumn(corrected, F.lit(None).cast("string"))
     return cases.withColumns({
-        "failure_type": F.coalesce(declared, confirmed, inferred),
-        "origin": F.when(F.col(declared).isNotNull(), "declared")
+        "failure_type": F.coalesce(corrected, declared, confirmed, inferred),
+        "origin": F.when(F.col(corrected).isNotNull(), "corrected").when(F.col(declared).isNotNull(), "declared")
         .when(F.col(confirmed).isNotNull(), "confirmed")
         .when(F.col(inferred).isNotNull(), "inferred").otherwise("unknown")})
 

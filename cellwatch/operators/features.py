@@ -232,16 +232,12 @@ def gap_features(prepared: DataFrame) -> DataFrame:
 
 def _ranked(prepared: DataFrame, keys: Sequence[str], vectors_: dict[str, str]) -> DataFrame:
     """Rank statistics per position of each vector (name -> column), in one pass."""
-    frames = effective(prepared).select(
-        *keys, *[F.col(v).alias(f"_v_{n}") for n, v in vectors_.items()],
-        *[F.sort_array(v).alias(f"_s_{n}") for n, v in vectors_.items()])
-    pairs = F.array(*[F.struct(F.lit(n).alias("_of"),
-                               vectors.ranks(F.col(f"_v_{n}"), F.col(f"_s_{n}")).alias("_ranks"))
-                      for n in vectors_])
-    rows = (frames.select(*keys, F.inline(pairs))
-            .select(*keys, "_of", F.posexplode("_ranks").alias("_at", "_rank")))
-    return (rows.groupBy(*keys, "_of", (F.col("_at") + 1).alias("position"))
-            .agg(F.avg("_rank").alias("rank_mean"), F.stddev_pop("_rank").alias("rank_stddev")))
+    pairs = F.array(*[F.struct(F.lit(n).alias("_of"), vectors.ranks(F.col(v)).alias("_ranks"))
+                      for n, v in vectors_.items()])
+    rows = (effective(prepared).select(*keys, F.inline(pairs))
+            .select(*keys, "_of", F.inline("_ranks")))
+    return (rows.groupBy(*keys, "_of", "position")
+            .agg(F.avg("rank").alias("rank_mean"), F.stddev_pop("rank").alias("rank_stddev")))
 
 
 def rank_rows(prepared: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
@@ -289,6 +285,22 @@ def sn_histograms(prepared: DataFrame) -> DataFrame:
         for h in _EXTREMES])
 
 
+def low_outlier(mv: Column) -> Column:
+    """How far the lowest cell lies below the fourth lowest, as a share of the frame's spread."""
+    low = F.sort_array(mv)
+    v1, v4, top = F.get(low, 0), F.get(low, 3), F.array_max(mv)
+    return (v4 - v1) / F.nullif(top - v1, F.lit(0.0))
+
+
+def rest_figures() -> list[Column]:
+    """The rest features from the figures ``at0`` and ``at1`` of its two frames."""
+    minutes = (F.unix_micros("at1.sample_ts") - F.unix_micros("at0.sample_ts")) / 60e6
+    return [(F.col("at0.volt_diff_mv") / 1e3).alias("sp_after_chg_volt_diff0"),
+            (F.col("at1.volt_diff_mv") / 1e3).alias("sp_after_chg_volt_diff1"),
+            ((F.col("at0.mean_mv") - F.col("at1.mean_mv")) / F.nullif(minutes, F.lit(0.0))).alias("spafchg_volt_drop_rate"),
+            F.col("at1.outlier").alias("spafchg_outlier_rate")]
+
+
 def rest_pairs(prepared: DataFrame, p: Params = DEFAULTS, after_charge: bool = True,
                device_type: str | None = "swap_station") -> DataFrame:
     """First frame t0 of a rest and the first at or after t0 + ``rest_seconds``, t1.
@@ -305,23 +317,17 @@ def rest_pairs(prepared: DataFrame, p: Params = DEFAULTS, after_charge: bool = T
         rests = rests.filter("prev_event_type = 'charging'")
     frames = frames.filter("event_type = 'parking'")
     rests = rests.select("battery_id", "process_id", F.col("start_ts").alias("t0"))
-    shot = F.struct("sample_ts", "volt_diff_mv", "mean_mv", "cell_mv",
+    # the cells of a frame are reduced to one figure where the frame lies; vectors do not travel
+    thin = frames.select(*BLOCK_KEY, "sample_ts", "frame_no", "volt_diff_mv", "mean_mv",
+                         low_outlier(F.col("cell_mv")).alias("outlier"))
+    shot = F.struct("sample_ts", "volt_diff_mv", "mean_mv", "outlier",
                     *[k for k in BLOCK_KEY if k not in ("battery_id", "process_id")])
     late = F.unix_micros("sample_ts") >= F.unix_micros("t0") + p.rest_seconds * 1_000_000
-    pairs = (frames.join(rests, ["battery_id", "process_id"])
+    pairs = (thin.join(rests, ["battery_id", "process_id"])
              .groupBy("battery_id", "process_id")
              .agg(F.min_by(shot, _order()).alias("at0"),
                   F.min_by(shot, F.when(late, _order())).alias("at1")))
-    low = F.sort_array("at1.cell_mv")
-    v1, v4, top = F.get(low, 0), F.get(low, 3), F.array_max("at1.cell_mv")
-    minutes = (F.unix_micros("at1.sample_ts") - F.unix_micros("at0.sample_ts")) / 60e6
-    return pairs.select(
-        "battery_id", "process_id", "at0", "at1",
-        (F.col("at0.volt_diff_mv") / 1e3).alias("sp_after_chg_volt_diff0"),
-        (F.col("at1.volt_diff_mv") / 1e3).alias("sp_after_chg_volt_diff1"),
-        ((F.col("at0.mean_mv") - F.col("at1.mean_mv")) / F.nullif(minutes, F.lit(0.0)))
-        .alias("spafchg_volt_drop_rate"),
-        ((v4 - v1) / F.nullif(top - v1, F.lit(0.0))).alias("spafchg_outlier_rate"))
+    return pairs.select("battery_id", "process_id", "at0", "at1", *rest_figures())
 
 
 def rest_features(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:

@@ -254,16 +254,17 @@ def frame_derived(df: DataFrame) -> DataFrame:
     """
     c = F.col
     df = df.withColumns({"cell_mv": vectors.vector_mv(c("cell_v"))})
-    df = df.withColumns({"_sorted": F.sort_array(vectors.readings(c("cell_mv"))),
-                         "_probes": vectors.readings(c("probe_temp_c"))})
-    df = df.withColumns({
-        "hi_mv": F.array_max("_sorted"), "lo_mv": F.array_min("_sorted"),
-        "mean_mv": vectors.mean(vectors.readings(c("cell_mv"))), "median_mv": vectors.median(c("_sorted")),
-        "hi_sn": vectors.argmax(c("cell_mv")), "lo_sn": vectors.argmin(c("cell_mv")),
-        "hot_c": F.array_max("_probes"), "cold_c": F.array_min("_probes"), "mean_c": vectors.mean(c("_probes")),
-        "hot_sn": vectors.argmax(c("probe_temp_c")), "cold_sn": vectors.argmin(c("probe_temp_c")),
-    })
+    # a column per step: what several signals use is worked out once per frame
+    df = df.withColumns({"_cells": vectors.readings(c("cell_mv")), "_probes": vectors.readings(c("probe_temp_c"))})
+    df = df.withColumns({"_sorted": F.sort_array("_cells"), "mean_mv": vectors.mean(c("_cells")),
+                         "hot_c": F.array_max("_probes"), "cold_c": F.array_min("_probes"),
+                         "mean_c": vectors.mean(c("_probes"))})
+    df = df.withColumns({"hi_mv": F.get("_sorted", F.size("_sorted") - 1), "lo_mv": F.get("_sorted", 0),
+                         "median_mv": vectors.median(c("_sorted"))})
     return df.withColumns({
+        "hi_sn": vectors.position(c("cell_mv"), c("hi_mv")), "lo_sn": vectors.position(c("cell_mv"), c("lo_mv")),
+        "hot_sn": vectors.position(c("probe_temp_c"), c("hot_c")), "cold_sn": vectors.position(c("probe_temp_c"), c("cold_c")),
+    }).withColumns({
         "volt_diff_mv": c("hi_mv") - c("lo_mv"),
         "temp_diff_c": c("hot_c") - c("cold_c"),
         "deviation_mv": F.greatest(c("hi_mv") - c("median_mv"), c("median_mv") - c("lo_mv")),
@@ -277,4 +278,4 @@ def frame_derived(df: DataFrame) -> DataFrame:
         "min_temp_c": F.coalesce("min_temp_c", "cold_c"),
         "min_temp_sn": F.coalesce("min_temp_sn", "cold_sn"),
         "avg_temp_c": F.coalesce("avg_temp_c", "mean_c"),
-    }).drop("_sorted", "_probes")
+    }).drop("_cells", "_sorted", "_probes")

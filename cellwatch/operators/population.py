@@ -6,6 +6,62 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+#: Statistics are broadcast up to so many rows and bytes; beyond that they are joined salted.
+GROUPS, GROUP_BYTES, SALTS = 100_000, 8 << 20, 64
+
+
+def join_groups(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner",
+                most: int = GROUPS) -> DataFrame:
+    """``df`` with the row of ``stats``, one per group, of its group: groups may hold any share of the rows.
+
+    ``df`` is not dealt by group. Statistics of up to ``most`` groups and ``GROUP_BYTES`` are read and
+    broadcast; more are repeated once per salt, and rows meet them on (group, salt), so a group is
+    spread over all salts. ``stats`` is computed here, so ``df`` should be a stored table.
+    """
+    keys = list(keys)
+    few = stats.limit(most + 1).collect()
+    if len(few) <= most and sum(len(str(v)) for row in few for v in row) <= GROUP_BYTES:
+        return df.join(F.broadcast(df.sparkSession.createDataFrame(few, stats.schema)), keys, how)
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int"))
+    repeated = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def principal(df: DataFrame, keys: Sequence[str], columns: Sequence[str], k: int, squarings: int = 40) -> DataFrame:
+    """keys and ``projector``: per group the projection on the first ``k`` principal axes of ``columns``, whose
+    means are 0, as a matrix row by row.
+
+    The covariance is a matter of built-in sums. A symmetric matrix squared again and again, its
+    trace kept at 1, becomes the projector on its first axis; taken out of the covariance, the next
+    follows. Axes of equal variance are projected on together.
+    """
+    n = len(columns)
+    cells = [(i, j) for i in range(n) for j in range(n)]
+    sums = df.groupBy(*keys).agg(*[F.avg(F.col(columns[i]) * F.col(columns[j])).alias(f"_c{i}_{j}") for i, j in cells])
+    left = sums.select(*keys, F.array(*[F.col(f"_c{i}_{j}") for i, j in cells]).alias("_left"),
+                       F.array(*[F.lit(0.0)] * (n * n)).alias("projector"))
+
+    def scaled(m: Column) -> Column:
+        trace = sum((F.get(m, i * n + i) for i in range(1, n)), F.get(m, 0))
+        return F.transform(m, lambda x: F.when(trace > 0, x / trace).otherwise(0.0))
+
+    def squared(m: Column) -> Column:
+        return F.array(*[sum((F.get(m, i * n + x) * F.get(m, x * n + j) for x in range(1, n)),
+                             F.get(m, i * n) * F.get(m, j)) for i, j in cells])
+
+    for _ in range(k):
+        axis = F.aggregate(F.sequence(F.lit(1), F.lit(squarings)), scaled(F.col("_left")), lambda m, _: scaled(squared(m)))
+        left = left.withColumn("_axis", axis)
+        # the variance along the axis
+        along = F.aggregate(F.zip_with("_left", "_axis", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+        left = left.withColumn("_along", along).withColumns({
+            "projector": F.zip_with("projector", "_axis", lambda a, b: a + b),
+            "_left": F.zip_with("_left", "_axis", lambda a, b: a - F.col("_along") * b)})
+    return left.select(*keys, "projector")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequence[float],
@@ -29,7 +85,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, points: Sequ
         F.count("*").alias("n"),
         F.percentile_approx("_x", [float(q) for q in probes], accuracy).alias("_b"))
     wide = F.col("n") > accuracy
-    joined = df.join(brackets, keys)
+    joined = join_groups(df, brackets, keys)
 
     def place(i):
         below = wide & F.lit(points[i] - margin > 0) & (F.col("_x") < F.get("_b", i))
@@ -83,5 +139,5 @@ def z_scores(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Data
         alive = F.when(sd > F.abs(mean) * 1e-9, sd)
         return F.when(F.col(c).isNotNull(), F.coalesce((F.col(c) - mean) / alive, F.lit(0.0)))
 
-    return (df.join(stats, list(keys)).withColumns({f"z_{c}": z(c) for c in columns})
+    return (join_groups(df, stats, keys).withColumns({f"z_{c}": z(c) for c in columns})
             .drop(*[f"_m_{c}" for c in columns], *[f"_s_{c}" for c in columns]))

@@ -53,6 +53,13 @@ def with_event_id(df: DataFrame) -> DataFrame:
         F.col("process_id"), F.col("device_name"), F.col("battery_id"), F.col("event_type")))
 
 
+def events(df: DataFrame) -> DataFrame:
+    """One row per process of tagged frames: battery_id, process_id, event_id, device_id and when it began."""
+    first = F.min_by(F.struct("device_name", "device_id", "event_type"), F.struct("sample_ts", "frame_no"))
+    rows = df.groupBy("battery_id", "process_id").agg(first.alias("_f"), F.min("sample_ts").alias("start_ts"))
+    return with_event_id(rows.select("battery_id", "process_id", "_f.*", "start_ts")).drop("device_name", "event_type")
+
+
 def with_bookkeeping(df: DataFrame, as_of: datetime, etl_at: datetime) -> DataFrame:
     """Run parameters as columns: calculation cutoff, extraction time, cutoff and partition date."""
     day = as_of.strftime("%Y-%m-%d")

@@ -27,6 +27,12 @@ METRICS = {"max_temp": ("hot_c", "max"), "temp_diff": ("temp_diff_c", "max"),
            "min_volt": ("lo_mv", "min"), "max_volt": ("hi_mv", "max"),
            "volt_diff": ("volt_diff_mv", "max"), "iso_resistance": ("iso_reading", "min")}
 
+# The same for limits on rests after a charge, over rows of ``features.rest_pairs``.
+REST_METRICS = {"volt_drop_rate": ("spafchg_volt_drop_rate", "min"), "outlier_rate": ("spafchg_outlier_rate", "max")}
+
+# The metric of the registry's flag: how many others lie beyond a limit. It stands for no family.
+SEVERAL = "multi_signal"
+
 
 def _yes(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
@@ -108,16 +114,35 @@ def metrics_long(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
         list(keys), list(METRICS), "metric", "value")
 
 
-def eval_registry(long: DataFrame, registry: DataFrame) -> DataFrame:
+def rest_metrics_long(rests: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rest metrics of cases as rows (case, metric, value); a case takes its worst rest. ``rests`` are
+    rows of ``features.rest_pairs`` with the case's keys."""
+    worst = rests.groupBy(*keys).agg(*[getattr(F, how)(col).alias(m) for m, (col, how) in REST_METRICS.items()])
+    return worst.unpivot(list(keys), list(REST_METRICS), "metric", "value")
+
+
+def eval_registry(long: DataFrame, registry: DataFrame, keys: Sequence[str], p: Params = DEFAULTS) -> DataFrame:
     """One row per case, failure type and registry limit that the case crosses.
 
-    The registry side is a handful of local rows, so Spark plans a broadcast equi-join on
-    the metric name.
+    ``long`` holds a case's metrics of any grain, (case, metric, value). A flag holds where so many different
+    metrics lie beyond a limit as ``p.multi_signal`` says; its value is their number. The
+    registry side is a handful of local rows, so Spark plans a broadcast equi-join on the metric name.
     """
-    limits = signal_rows(registry).filter("op <> 'flag'")
+    limits = signal_rows(registry)
     hit = F.when(F.col("op") == "gt", F.col("value") > F.col("limit_value")).otherwise(
         F.col("value") < F.col("limit_value"))
-    return long.join(limits, "metric").filter(hit)
+    hits = long.join(limits.filter("op <> 'flag'"), "metric").filter(hit)
+    several = hits.groupBy(*keys).agg(F.count_distinct("metric").cast("double").alias("value")).filter(
+        F.col("value") >= p.multi_signal).withColumn("metric", F.lit(SEVERAL))
+    flags = limits.filter("op = 'flag'").withColumn("limit_value", F.lit(float(p.multi_signal)))
+    return hits.select(*keys, "metric", "value", "failure_type", "algorithm", "signal", "op", "limit_value").unionByName(
+        several.join(flags, "metric"))
+
+
+def several_signals(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The flags among registry hits as rows of ``case_signals``: they stand for no family."""
+    return hits.filter(F.col("metric") == SEVERAL).select(
+        *keys, F.col("signal"), F.lit(None).cast("string").alias("family"), F.col("value").cast("long").alias("n_hits")).distinct()
 
 
 def case_signals(metrics: DataFrame, keys: Sequence[str],
@@ -141,15 +166,16 @@ def case_signals(metrics: DataFrame, keys: Sequence[str],
 
 
 def arbitrate(cases: DataFrame, signals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One verdict per case: ``inferred`` for one family, else ``ambiguous`` or ``none``.
-
-    A case with no signal at all is kept, with verdict ``none``.
+    """One verdict per case: ``inferred`` for one family, ``ambiguous`` for several, ``weak`` where the only
+    signals are of no family (several metrics beyond a registry limit, none of the rules), ``none`` without
+    any signal. All but the first leave the type to the reporter, who is shown the signals.
     """
     found = signals.groupBy(*keys).agg(
         F.sort_array(F.collect_set("family")).alias("families"),
         F.sort_array(F.collect_set("signal")).alias("signals"))
     n = F.coalesce(F.size("families"), F.lit(0))
     return (cases.select(*keys).distinct().join(found, list(keys), "left")
+            .withColumn("families", F.when(n > 0, F.col("families")))
             .withColumns({"verdict": F.when(n == 1, "inferred").when(n > 1, "ambiguous")
-                          .otherwise("none"),
+                          .when(F.size("signals") > 0, "weak").otherwise("none"),
                           "inferred_family": F.when(n == 1, F.get("families", 0))}))

@@ -40,6 +40,8 @@ class Params:
     tdiff_c: float = 15.0
     tdiff_flat_mv: float = 50.0
 
+    multi_signal: int = 2               # assumed: metrics beyond a limit that make several
+
     # --- sustained insulation ----------------------------------------------------
     iso_lv2_frames: int = 3             # assumed
     iso_lv3_seconds: int = 600          # assumed

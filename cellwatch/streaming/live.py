@@ -1,22 +1,23 @@
 """Streaming forms.
 
-Stateless rules run on the stream as they are. Windows, copies and pairs use watermarks and
-Spark's own state. The two rules that look back over rows (the 100-frame score and the
-insulation run) keep a small carry table per micro-batch: batch n reads what batch n - 1
-left and writes its own, so a batch that is run again gives the same result, and the batch
-operators do the work, hot batteries included.
+Stateless rules run on the stream as they are. Windows and copies use watermarks and Spark's own
+state. What looks back over rows (the 100-frame score, the insulation run, process numbers and
+with them blocks, rests after a charge) keeps a small state per battery in buckets, see
+``carry``: a batch rewrites the buckets of its own batteries only, a batch that is run again gives
+the same result, and the batch operators do the work, hot batteries included. These forms
+expect batches in the order of time; frames that come later are corrected by the daily job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import normalize, ordered, quality, signals
+from ..operators import features, normalize, ordered, quality, segment, signals
 from ..operators.alarms import realtime
+from ..operators.segment import BLOCK_KEY, SLOT
 from ..params import DEFAULTS, Params
+from . import carry as state
 
 
 def thermal_runaway(frames: DataFrame, p: Params = DEFAULTS) -> DataFrame:
@@ -41,65 +42,107 @@ def dedup(frames: DataFrame, p: Params = DEFAULTS) -> DataFrame:
         ["battery_id", "sample_ts"])
 
 
-def rest_pairs(charge_ends: DataFrame, frames: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """Charge ends (battery_id, t0) with the frames seen 300 s later, within a tolerance.
+NUMBERING = ("battery_id", *SLOT, "sample_ts", "frame_no", "event_type", "process_id")
+
 
-    The tolerance bounds both the state and the frames per charge end; the first of them is
-    the one to use.
+def block_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, collapse: bool = True):
+    """Analysis blocks live: partial aggregates of a batch's effective frames on the full block key.
+
+    The carry holds a battery's last frame and process number, so numbers, and with them blocks, are
+    those of the batch job. ``merged_blocks`` adds up the parts of blocks that several batches saw.
     """
-    ends = charge_ends.select(F.col("battery_id").alias("_battery"), "t0").withWatermark("t0", p.watermark)
-    later = frames.withWatermark("sample_ts", p.watermark)
-    first, last = p.rest_seconds, p.rest_seconds + p.rest_tolerance_seconds
-    return ends.join(later, F.expr(f"""_battery = battery_id
-        AND sample_ts >= t0 + INTERVAL {first} SECONDS
-        AND sample_ts <= t0 + INTERVAL {last} SECONDS""")).drop("_battery")
 
+    def step(batch, carry, keep):
+        df = keep(features.prepare(batch, p, collapse=collapse, carry=carry).select(
+            *BLOCK_KEY, "sample_ts", "frame_no", "is_effective", "volt_diff_mv", "temp_diff_c", "current_a"))
+        ok = features.effective(df)
+        rows = ok.groupBy(*BLOCK_KEY).agg(
+            F.count("*").alias("n_frames"), F.min("sample_ts").alias("start_time"), F.max("sample_ts").alias("end_time"),
+            F.max("volt_diff_mv").alias("max_volt_diff_mv"), F.max("temp_diff_c").alias("max_temp_diff_c"),
+            F.sum("current_a").alias("sum_current_a"), F.count("current_a").alias("n_current"))
+        return rows, segment.last_processes(df, carry)
 
-def _carry_writer(step: Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]],
-                  out_path: str, carry_path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function around ``step(batch, carry) -> (rows, new carry)``.
+    return state.writer(step, out_path, carry_path)
 
-    The carry of a batch is written before its rows, and every write replaces the same
-    batch's earlier one.
-    """
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        carry = spark.read.parquet(f"{carry_path}/{batch_id - 1}") if batch_id > 0 else None
-        held = batch.persist()
-        try:
-            rows, left = step(held, carry)
-            left.write.mode("overwrite").parquet(f"{carry_path}/{batch_id}")
-            rows.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-        finally:
-            held.unpersist()
+def merged_blocks(rows: DataFrame) -> DataFrame:
+    """The rows of ``block_writer``, one per block, as far as it is known."""
+    return rows.groupBy(*BLOCK_KEY).agg(
+        F.sum("n_frames").alias("n_frames"), F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
+        F.max("max_volt_diff_mv").alias("max_volt_diff_mv"), F.max("max_temp_diff_c").alias("max_temp_diff_c"),
+        (F.sum("sum_current_a") / F.nullif(F.sum("n_current").cast("double"), F.lit(0.0))).alias("avg_current_a"))
+
+
+def rest_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, device_type: str | None = "swap_station"):
+    """Rests after a charge live: one row per rest, when its first frame ``rest_seconds`` or more after its
+    start arrives.
+
+    A rest is a parking process whose effective frames follow those of a charging one; t0 is its first
+    effective frame, t1 the first at or after the deadline t0 + ``rest_seconds``. The carry
+    holds of each battery the last frame's process number, the last process with effective frames, and
+    the rest that waits for its deadline with the figures of its t0. A rest that ends before gives no row.
+    """
 
-    return run
+    def step(batch, carry, keep):
+        some = batch if device_type is None else batch.filter(F.col("device_type") == device_type)
+        df = keep(features.prepare(some, p, carry=None if carry is None else carry.select(*NUMBERING)).select(
+            *NUMBERING, "device_id", "is_effective", "volt_diff_mv", "mean_mv",
+            features.low_outlier(F.col("cell_mv")).alias("outlier")))
+        frames = features.effective(df)
+        order, shot = F.struct("sample_ts", "frame_no"), F.struct("sample_ts", "device_id", "volt_diff_mv", "mean_mv", "outlier")
+        begun = frames.groupBy("battery_id", "process_id").agg(
+            F.min("event_type").alias("event_type"), F.min("sample_ts").alias("start_ts"),
+            F.min_by(shot, order).alias("at0"), F.lit(False).alias("known"))
+        if carry is not None:
+            seen = carry.filter("seen is not null").select("battery_id", "seen.*", F.lit(None).cast(
+                begun.schema["at0"].dataType).alias("at0"), F.lit(True).alias("known"))
+            # a process that goes on is not begun anew
+            begun = begun.unionByName(seen).groupBy("battery_id", "process_id").agg(
+                F.min("event_type").alias("event_type"), F.min("start_ts").alias("start_ts"),
+                F.min("at0").alias("at0"), F.max("known").alias("known"))
+        begun = keep(begun)
+        rests = segment.in_order(begun, ["event_type"]).filter(
+            "event_type = 'parking' and before.event_type = 'charging' and not known").select("battery_id", "process_id", "at0")
+        if carry is not None:
+            rests = rests.unionByName(carry.filter("waits is not null").select("battery_id", "waits.*"))
+        parked = frames.filter("event_type = 'parking'").select("battery_id", "process_id", "sample_ts", "frame_no", shot.alias("shot"))
+        due = F.unix_micros("sample_ts") >= F.unix_micros("at0.sample_ts") + p.rest_seconds * 1_000_000
+        rests = keep(rests.join(parked, ["battery_id", "process_id"], "left").groupBy("battery_id", "process_id").agg(
+            F.min("at0").alias("at0"), F.min_by("shot", F.when(due, order)).alias("at1")))
+        rows = rests.filter("at1 is not null").select(
+            "battery_id", "process_id", F.col("at1.device_id").alias("device_id"), F.col("at0.sample_ts").alias("t0"),
+            F.col("at1.sample_ts").alias("t1"), *features.rest_figures())
+        left = segment.last_processes(df, None if carry is None else carry.select(*NUMBERING))
+        last = begun.groupBy("battery_id").agg(F.max_by(F.struct("process_id", "event_type", "start_ts"), "process_id").alias("seen"))
+        waiting = rests.filter("at1 is null").select("battery_id", F.struct("process_id", "at0").alias("waits")).join(
+            left.select("battery_id", F.col("process_id").alias("now")), "battery_id").filter("waits.process_id = now").drop("now")
+        return rows, left.join(last, "battery_id", "left").join(waiting, "battery_id", "left")
+
+    return state.writer(step, out_path, carry_path)
 
 
 def hazard_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
     """``ap21`` live: rows of a batch with the factor over the last 100 frames.
 
-    The carry holds the newest 99 frames of each battery. Batches must follow time; frames
-    that come late are corrected by the daily job.
+    The carry holds the newest 99 frames of each battery.
     """
-    keep = p.hazard_window - 1
+    before = p.hazard_window - 1
     slices = ordered.time_slice(p.slot_seconds)
 
-    def step(batch, carry):
+    def step(batch, carry, keep):
         flagged = quality.with_quality(normalize.frame_derived(batch), p)
-        thin = flagged.select("battery_id", "device_id", "sample_ts", "frame_no",
-                              realtime.hazard_points(p).alias("points"), F.lit(True).alias("_new"))
+        thin = keep(flagged.select("battery_id", "device_id", "sample_ts", "frame_no",
+                                   realtime.hazard_points(p).alias("points"), F.lit(True).alias("_new")))
         both = thin if carry is None else thin.unionByName(carry.withColumn("_new", F.lit(False)))
         scored = ordered.rolling(both, ["battery_id"], p.hazard_window, {"factor": F.sum("points")}, slices)
         rows = scored.filter("_new").drop("_new").withColumn("fired", F.col("factor") > p.hazard_limit)
         numbered = ordered.running_total(both, ["battery_id"], F.lit(1), slices, out="_no")
         newest = both.groupBy("battery_id").agg(F.count("*").alias("_n"))
-        left = (numbered.join(newest, "battery_id").filter(F.col("_no") > F.col("_n") - keep)
+        left = (numbered.join(newest, "battery_id").filter(F.col("_no") > F.col("_n") - before)
                 .drop("_no", "_n", "_new"))
         return rows, left
 
-    return _carry_writer(step, out_path, carry_path)
+    return state.writer(step, out_path, carry_path)
 
 
 def insulation_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
@@ -110,7 +153,7 @@ def insulation_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
     """
     slices = ordered.time_slice(p.slot_seconds)
 
-    def step(batch, carry):
+    def step(batch, carry, keep):
         thin = (batch.select("battery_id", "device_id", "sample_ts", "frame_no",
                              signals.iso_reading().alias("iso"), F.col("sample_ts").alias("start_ts"),
                              F.lit(1).cast("long").alias("n_frames"))
@@ -130,7 +173,7 @@ def insulation_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
             F.col("_end.frame_no").alias("frame_no"), "iso", "start_ts", "n_frames")
         return rows, left
 
-    return _carry_writer(step, out_path, carry_path)
+    return state.writer(step, out_path, carry_path)
 
 
 def latest_runs(rows: DataFrame) -> DataFrame:

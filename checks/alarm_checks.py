@@ -222,10 +222,35 @@ def _(spark, sf):
     return spread.factor_score(typed_blocks(spark, sf, *_FACTORS)).select(*KEY, "score", "fired")
 
 
-@check("alg_vdiff_math_pca")
+# The first two principal axes of the normalised factors, per group: a covariance matrix, as a list row by row,
+# squared 40 times with its trace kept at 1, is the projector on its first axis.
+_TRACE = "({m}[1] + {m}[6] + {m}[11] + {m}[16])"
+_AXIS = f"""list_reduce(list_transform(range(0, 41), lambda i: list_transform({{m}}, lambda v: v / {_TRACE.format(m='{m}')})),
+  lambda a, b: list_transform(range(0, 16), lambda k: list_sum(list_transform(range(0, 4),
+    lambda x: a[k // 4 * 4 + x + 1] * a[x * 4 + k % 4 + 1])) / list_sum(list_transform(a, lambda v: v * v))))"""
+_ALONG = "list_sum(list_transform(range(1, 17), lambda i: {m}[i] * {p}[i]))"
+_COV = ", ".join(f"avg(z{i} * z{j})" for i in range(1, 5) for j in range(1, 5))
+_LENGTH = " + ".join(f"z{i} * z{j} * p[{4 * (i - 1) + j}]" for i in range(1, 5) for j in range(1, 5))
+PCA_CTES = f"""
+, zs AS (SELECT {KEY_SQL}, cell_type, {", ".join(f"(f{i} - m{i}) / s{i} AS z{i}" for i in range(1, 5))}
+         FROM fac JOIN fst USING (cell_type)),
+cov AS (SELECT cell_type, [{_COV}] AS c FROM zs GROUP BY cell_type),
+ax1 AS (SELECT cell_type, c, {_AXIS.format(m='c')} AS p1 FROM cov),
+cov2 AS (SELECT cell_type, p1, list_transform(range(1, 17), lambda i: c[i] - along * p1[i]) AS d
+         FROM (SELECT *, {_ALONG.format(m='c', p='p1')} AS along FROM ax1)),
+ax2 AS (SELECT cell_type, p1, {_AXIS.format(m='d')} AS p2 FROM cov2),
+proj AS (SELECT cell_type, list_transform(range(1, 17), lambda i: p1[i] + p2[i]) AS p FROM ax2),
+pc AS (SELECT {KEY_SQL}, cell_type, sqrt(greatest({_LENGTH}, 0)) AS score FROM zs JOIN proj USING (cell_type))
+"""
+
+
+@check("alg_vdiff_math_pca", _alarm_sql(PCA_CTES + f"""
+SELECT {KEY_SQL}, score, score > cut AS fired FROM pc JOIN
+  (SELECT cell_type, quantile_cont(score, 0.99) AS cut FROM pc GROUP BY cell_type) USING (cell_type)"""),
+       rounds=["score"], digits=4)
 def _(spark, sf):
     return spread.factor_score_pca(typed_blocks(spark, sf, *_FACTORS)).select(
-        *KEY, F.round("score", 4).alias("score"), "fired")
+        *KEY, "score", "fired")
 
 
 @check("alg_ap9", _alarm_sql("SELECT battery_id, process_id, event_type, td AS max_temp_diff, wide, very_wide, "

@@ -2,28 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from cellwatch.operators.segment import BLOCK_KEY
 from cellwatch.params import DEFAULTS
 from cellwatch.sources import sinks
 from cellwatch.sources.frames import stream_frames
-from cellwatch.sources.scratch import scratch_path
+from cellwatch.sources.scratch import materialize, scratch_path
 from cellwatch.streaming import live
 
 from .alarm_checks import _COND
+from .feature_checks import REST_CTES
 from .registry import check
-from .telemetry import frames_of, table, with_copies, with_ctes
+from .telemetry import frames_of, spread, table, with_copies, with_ctes
 
-PARTS, FILES = 3, 4
+PARTS = 3
 
 
 def us():
     return F.unix_micros("sample_ts").alias("us")
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, late_every: int | None = None):
-    """Events written file group after file group in time order, as a stream of ``PARTS`` batches.
+class Arrivals(NamedTuple):
+    """Events as a stream, and what writes a part of them to where the stream looks."""
+
+    stream: DataFrame
+    arrive: Callable[[int], None]
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, late_every: int | None = None) -> Arrivals:
+    """Events in ``PARTS`` parts by time, each dealt to as many files as the session deals rows to.
 
     With ``late_every``, every so many-th event of the first part arrives with the last one.
     """
@@ -34,31 +48,38 @@ def _arrivals(spark: SparkSession, sf_dir: str, late_every: int | None = None):
     part = F.floor(F.date_diff("ts", F.lit(first)) * PARTS / days).cast("int")
     if late_every:
         part = F.when((part == 0) & (F.col("event_id") % late_every == 0), PARTS - 1).otherwise(part)
+    held = materialize(spread(events.withColumn("part", part), "event_id"), "events", ("part",))
+    held.limit(0).drop("part").write.parquet(path)
+
+    def arrive(i: int) -> None:
+        held.filter(F.col("part") == i).drop("part").write.mode("append").parquet(path)
+
+    return Arrivals(stream_frames(spark, path, events.schema), arrive)
+
+
+def _each_part(arrivals: Arrivals, start: Callable[[], StreamingQuery]) -> None:
+    """Lets a part arrive and runs the query over it, one part after the other."""
     for i in range(PARTS):
-        events.filter(part == i).repartition(FILES).write.mode("append").parquet(path)
-    written, read = spark.read.schema(events.schema).parquet(path).count(), events.count()
-    if written != read:
-        raise ValueError(f"{written} of {read} events arrived")
-    return stream_frames(spark, path, events.schema, files_per_batch=FILES)
+        arrivals.arrive(i)
+        start().awaitTermination()
 
 
-def _to_table(df: DataFrame, name: str) -> DataFrame:
+def _to_table(arrivals: Arrivals, df: DataFrame, name: str) -> DataFrame:
     """Runs an append-mode stream to its end into a table of the shared folder."""
     spark = df.sparkSession
     path, state = scratch_path(spark, name), scratch_path(spark, f"{name}-state")
-    query = (df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-             .option("checkpointLocation", state).start(path))
-    query.awaitTermination()
+    _each_part(arrivals, lambda: df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+               .option("checkpointLocation", state).start(path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _by_batch(df: DataFrame, writer, name: str, p=DEFAULTS) -> DataFrame:
-    """Runs a ``foreachBatch`` stream to its end; the rows of all batches."""
+def _by_batch(arrivals: Arrivals, writer, name: str, p=DEFAULTS) -> DataFrame:
+    """Runs a ``foreachBatch`` stream over the frames of all events to its end; the rows of all batches."""
+    df = frames_of(arrivals.stream)
     spark = df.sparkSession
     out, carry, state = (scratch_path(spark, f"{name}-{k}") for k in ("rows", "carry", "state"))
-    query = (df.writeStream.foreachBatch(writer(out, carry, p)).trigger(availableNow=True)
-             .option("checkpointLocation", state).start())
-    query.awaitTermination()
+    _each_part(arrivals, lambda: df.writeStream.foreachBatch(writer(out, carry, p=p)).trigger(availableNow=True)
+               .option("checkpointLocation", state).start())
     return spark.read.parquet(out)
 
 
@@ -69,8 +90,8 @@ r AS (SELECT frame_no, battery_id, (hot OR temp_wide) AND (cell_limit OR wide) A
   (hot OR temp_wide OR cell_limit OR wide) AND is_missing AND iso_kohm <> 0 AS c3 FROM c)
 SELECT * FROM r WHERE c1 OR c2 OR c3"""))
 def _(spark, sf):
-    live_frames = frames_of(_arrivals(spark, sf))
-    return _to_table(live.thermal_runaway(live_frames).filter("fired").select(
+    came = _arrivals(spark, sf)
+    return _to_table(came, live.thermal_runaway(frames_of(came.stream)).filter("fired").select(
         "frame_no", "battery_id", "c1", "c2", "c3"), "ap16")
 
 
@@ -84,11 +105,16 @@ def _slot_view(df):
                      "max_volt_diff_mv", "max_temp_diff_c", "avg_current_a")
 
 
-@check("str_blocks", with_ctes(f"""
-SELECT * FROM ({_SLOTS}) WHERE slot_us + 7200000000 <= (SELECT max(us) - 600000000 FROM t)"""),
-       rounds=["avg_current_a"])
+@check("str_blocks", with_ctes("""
+SELECT battery_id, device_id, process_id, event_type, date_tag, hour_tag, soc_tag, curr_tag, count(*) AS n_frames,
+  min(us) AS start_us, max(us) AS end_us, max(volt_diff_mv) AS max_volt_diff_mv, max(temp_diff_c) AS max_temp_diff_c,
+  avg(current_a) AS avg_current_a FROM g GROUP BY ALL"""), rounds=["avg_current_a"])
 def _(spark, sf):
-    return _slot_view(_to_table(live.block_windows(frames_of(_arrivals(spark, sf))), "slots"))
+    """The live blocks of all batches are those of the batch job, on the whole block key."""
+    rows = _by_batch(_arrivals(spark, sf), partial(live.block_writer, collapse=False), "blocks")
+    return live.merged_blocks(rows).select(
+        *BLOCK_KEY, "n_frames", F.unix_micros("start_time").alias("start_us"), F.unix_micros("end_time").alias("end_us"),
+        "max_volt_diff_mv", "max_temp_diff_c", "avg_current_a")
 
 
 @check("str_ap21", with_ctes(f"""
@@ -98,7 +124,7 @@ r AS (SELECT frame_no, battery_id, sum(hot::INT + temp_wide::INT + cell_limit::I
     ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)::DOUBLE AS factor FROM c)
 SELECT *, factor > 10 AS fired FROM r"""))
 def _(spark, sf):
-    rows = _by_batch(frames_of(_arrivals(spark, sf)), live.hazard_writer, "ap21")
+    rows = _by_batch(_arrivals(spark, sf), live.hazard_writer, "ap21")
     return rows.select("frame_no", "battery_id", "factor", "fired")
 
 
@@ -108,29 +134,29 @@ def _(spark, sf):
 SELECT battery_id, count(*) AS n_frames, min(us) AS start_us, max(us) AS end_us, min(iso_kohm) AS min_iso
 FROM i WHERE iso_kohm < 100 GROUP BY battery_id, island HAVING count(*) >= 3"""))
 def _(spark, sf):
-    rows = _by_batch(frames_of(_arrivals(spark, sf)), live.insulation_writer, "iso")
+    rows = _by_batch(_arrivals(spark, sf), live.insulation_writer, "iso")
     return live.latest_runs(rows).filter("n_frames >= 3").select(
         "battery_id", "n_frames", F.unix_micros("start_ts").alias("start_us"),
         F.unix_micros("end_ts").alias("end_us"), "min_iso")
 
 
-@check("str_rest_pair", with_ctes("""
-SELECT c.battery_id, c.us AS t0_us, f.us, f.frame_no FROM t c JOIN t f ON c.battery_id = f.battery_id
-  AND f.us BETWEEN c.us + 300000000 AND c.us + 3900000000
-WHERE c.event_type = 'charging' AND c.station AND c.e % 11 = 0 AND f.event_type = 'parking'"""))
+@check("str_rest_pair", with_ctes(REST_CTES + """
+SELECT battery_id, process_id, at0.us AS t0_us, at1.us AS t1_us, diff0 AS sp_after_chg_volt_diff0,
+  diff1 AS sp_after_chg_volt_diff1, drop_rate AS spafchg_volt_drop_rate, outlier AS spafchg_outlier_rate
+FROM pairs WHERE device_type = 'swap_station' AND prev_event_type = 'charging' AND at1 IS NOT NULL"""),
+       rounds=["sp_after_chg_volt_diff0", "sp_after_chg_volt_diff1", "spafchg_volt_drop_rate", "spafchg_outlier_rate"])
 def _(spark, sf):
-    source = frames_of(_arrivals(spark, sf)).select("battery_id", "event_type", "device_type", "sample_ts",
-                                                    "frame_no")
-    ends = source.filter("event_type = 'charging' and device_type = 'swap_station' and frame_no % 11 = 0")
-    rests = source.filter("event_type = 'parking'").select("battery_id", "sample_ts", "frame_no")
-    pairs = live.rest_pairs(ends.select("battery_id", F.col("sample_ts").alias("t0")), rests)
-    return _to_table(pairs, "rests").select("battery_id", F.unix_micros("t0").alias("t0_us"), us(), "frame_no")
+    """Every rest after a charge, found live from all frames."""
+    rows = _by_batch(_arrivals(spark, sf), live.rest_writer, "rests")
+    return rows.select("battery_id", "process_id", F.unix_micros("t0").alias("t0_us"), F.unix_micros("t1").alias("t1_us"),
+                       "sp_after_chg_volt_diff0", "sp_after_chg_volt_diff1", "spafchg_volt_drop_rate", "spafchg_outlier_rate")
 
 
 @check("str_dedup", with_ctes("SELECT battery_id, us, frame_no % 1000000000000 AS event FROM u"))
 def _(spark, sf):
-    copies = with_copies(frames_of(_arrivals(spark, sf)).select("battery_id", "sample_ts", "frame_no"))
-    return _to_table(live.dedup(copies), "once").select(
+    came = _arrivals(spark, sf)
+    copies = with_copies(frames_of(came.stream).select("battery_id", "sample_ts", "frame_no"))
+    return _to_table(came, live.dedup(copies), "once").select(
         "battery_id", us(), (F.col("frame_no") % 10**12).alias("event"))
 
 
@@ -143,8 +169,8 @@ def _(spark, sf):
         return df.withColumns({"date": F.date_format("slot_start", "yyyy-MM-dd"), "source": F.lit("all"),
                                "brand": F.lit("all")})
 
-    sinks.write_blocks(dated(_to_table(live.block_windows(
-        frames_of(_arrivals(spark, sf, late_every=7))), "late")), path)
+    came = _arrivals(spark, sf, late_every=7)
+    sinks.write_blocks(dated(_to_table(came, live.block_windows(frames_of(came.stream)), "late")), path)
     everything = frames_of(table(spark, sf, "events"))
     # the days the late events belong to, and the last day, whose slots are still open
     recomputed = dated(live.block_windows(everything)).filter("date <= '2024-01-10' or date >= '2024-01-30'")

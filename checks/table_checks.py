@@ -6,15 +6,14 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from cellwatch.operators import features
-from cellwatch.operators.alarms import as_alarms, realtime, sampling
+from cellwatch.operators import features, segment
+from cellwatch.operators.alarms import as_alarms, realtime, sampling, spread
 from cellwatch.plans import daily
 from cellwatch.sources import frames as readers
 from cellwatch.sources import sinks
 from cellwatch.sources.scratch import scratch_path
 
 from . import raw
-from .case_checks import signalled
 from .registry import check
 from .telemetry import KEY, KEY_SQL, frames, messages, prepared, static_dim, with_ctes
 
@@ -127,22 +126,33 @@ def _(spark, sf):
                                        F.sum("block_msg_count").alias("n_msgs"), F.max("run").alias("run"))
 
 
-@check("snk_alarms", with_ctes("""
-SELECT strftime(ts, '%Y-%m-%d') AS date, 'ap13' AS algorithm, count(*) AS n_alarms FROM t
-WHERE abs(pack_voltage_v - list_sum(mv) / 1000) > 20 GROUP BY ALL
-UNION ALL SELECT strftime(ts, '%Y-%m-%d'), 'ap16', count(*) FROM d
-WHERE frame_no < 1000000000000 AND (
+_EVENT = "sha256(concat_ws('#', process_id, device_name, battery_id, event_type))"
+
+
+@check("snk_alarms", with_ctes(f"""
+, al AS (SELECT date_tag AS date, 'ap13' AS algorithm, {_EVENT} AS event_id, device_id FROM f
+  WHERE abs(pack_voltage_v - list_sum(mv) / 1000) > 20
+UNION ALL SELECT date_tag, 'ap16', {_EVENT}, device_id FROM f WHERE
   (hot_c > 55 OR temp_diff_c > 30) AND (lo_mv < 1300 OR hi_mv > 4500 OR volt_diff_mv > 300)
   OR (hot_c > 55 OR temp_diff_c > 30 OR lo_mv < 1300 OR hi_mv > 4500 OR volt_diff_mv > 300)
-     AND ((iso_kohm > 0 AND iso_kohm < 100) OR (is_missing AND iso_kohm <> 0)))
-GROUP BY ALL"""))
+     AND ((iso_kohm > 0 AND iso_kohm < 100) OR (is_missing AND iso_kohm <> 0))
+UNION ALL SELECT min(date_tag), 'ap8', any_value({_EVENT}), any_value(device_id) FROM g WHERE event_type = 'charging'
+  GROUP BY battery_id, process_id HAVING count_if(volt_diff_mv > 100) > 1)
+SELECT date, algorithm, count(*) AS n_alarms, count(DISTINCT event_id) AS n_events, min(event_id) AS first_event,
+  count(DISTINCT device_id) AS n_devices FROM al GROUP BY ALL"""))
 def _(spark, sf):
+    """Alarms of frames and of processes, each with the event and the device it belongs to."""
     path = scratch_path(spark, "alarms")
-    df = signalled(spark, sf)
-    for name, rows, seen in (("ap16", realtime.thermal_runaway(df), ["hot_c", "volt_diff_mv"]),
-                             ("ap13", sampling.pack_voltage(df), ["pack_gap_v"])):
-        sinks.write_alarms(as_alarms(rows.filter("fired"), name, F.col("sample_ts"), seen), path)
+    ready = segment.with_event_id(prepared(spark, sf))
+    events = segment.events(ready)
+    charges = spread.high_spread(ready).drop("device_id")
+    for name, rows, at, seen in (
+            ("ap16", realtime.thermal_runaway(ready), F.col("sample_ts"), ["hot_c", "volt_diff_mv"]),
+            ("ap13", sampling.pack_voltage(ready), F.col("sample_ts"), ["pack_gap_v"]),
+            ("ap8", charges, F.to_timestamp("date_tag"), ["n_high"])):
+        sinks.write_alarms(as_alarms(rows.filter("fired"), name, at, seen, events=events), path)
     return (spark.read.parquet(path).groupBy(F.col("date").cast("string").alias("date"), "algorithm")
-            .agg(F.count("*").alias("n_alarms")))
+            .agg(F.count("*").alias("n_alarms"), F.count_distinct("event_id").alias("n_events"),
+                 F.min("event_id").alias("first_event"), F.count_distinct("device_id").alias("n_devices")))
 
 

@@ -43,7 +43,7 @@ def test_vector_statistics(spark):
     v = F.col("v")
     df = df.select("i", vectors.median(F.col("s")).alias("median"), vectors.entropy(v).alias("entropy"),
                    vectors.sorted_quantile(F.col("s"), 0.75).alias("q3"), vectors.waveform(v, F.col("mu")).alias("w"),
-                   vectors.ranks(v, F.col("s")).alias("ranks"), vectors.argmax(v).alias("top"))
+                   vectors.ranks(v).alias("ranks"), vectors.argmax(v).alias("top"))
     for row in df.collect():
         x = np.array(data[row.i])
         _, counts = np.unique(x, return_counts=True)
@@ -52,7 +52,7 @@ def test_vector_statistics(spark):
         assert 0 <= row.entropy <= math.log2(len(x)) + 1e-9
         assert row.median == np.median(x) and row.q3 == pytest.approx(np.quantile(x, 0.75))
         assert row.top == int(np.argmax(x)) + 1
-        assert row.ranks == [int((x < y).sum()) + 1 for y in x]
+        assert dict(row.ranks) == {i + 1: int((x < y).sum()) + 1 for i, y in enumerate(x)}
         assert row.w.rms == pytest.approx(np.sqrt((x ** 2).mean()))
         assert row.w.stddev == pytest.approx(x.std())
         if x.std() > 0:
@@ -69,3 +69,42 @@ def test_empty_vectors_give_nulls(spark):
                     vectors.entropy(F.col("v")).alias("e"), vectors.argmax(F.col("v")).alias("a"),
                     vectors.zero_or_nan_share(F.col("v")).alias("z")).first()
     assert list(row) == [None] * 5
+
+
+def test_groups_join_alike_broadcast_and_salted(spark):
+    rows = [(f"g{i % 3}" if i % 5 else None, float(i), [float(i)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, x double, v array<double>")
+    stats = df.groupBy("g").agg(F.avg("x").alias("m"))
+    for how in ("inner", "left"):
+        one = population.join_groups(df, stats, ["g"], how)
+        two = population.join_groups(df, stats, ["g"], how, most=0)
+        assert "_salt" in two._jdf.queryExecution().toString() and "_salt" not in two.columns
+        assert sorted(one.collect(), key=repr) == sorted(two.collect(), key=repr)
+        assert one.count() == (240 if how == "inner" else 300)
+
+
+def test_block_rows_are_not_dealt_by_group(spark):
+    """With automatic broadcasts off, rows of a group of any size stay where they are."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = spark.range(1000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("x"))
+        plan = population.z_scores(df, ["g"], ["x"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_principal_axes_against_eigenvectors(spark):
+    rng = np.random.default_rng(3)
+    data = {"a": rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4)), "b": rng.normal(size=(300, 4)) * [5, 2, 1, 0.5],
+            "flat": np.zeros((3, 4))}
+    data = {g: x - x.mean(0) for g, x in data.items()}
+    rows = [(g, *map(float, r)) for g, x in data.items() for r in x]
+    df = spark.createDataFrame(rows, "g string, p double, q double, r double, s double")
+    for k in (1, 2, 3):
+        for row in population.principal(df, ["g"], list("pqrs"), k).collect():
+            x = data[row.g]
+            axes = np.linalg.eigh(x.T @ x / len(x))[1][:, ::-1][:, :k]
+            want = axes @ axes.T if row.g != "flat" else np.zeros((4, 4))
+            assert np.allclose(np.array(row.projector).reshape(4, 4), want, atol=1e-6)

@@ -30,6 +30,6 @@ def test_query_equals_oracle(spark, duck, name):
 def test_contract(spark):
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
     assert set(oracles) <= set(queries)
-    assert set(QUERIES) - set(ORACLES) == {"alg_vdiff_math_pca", "plan_daily_blocks"}
+    assert set(QUERIES) - set(ORACLES) == {"plan_daily_blocks"}
     df = entry_module.entry(spark)
     assert "max_volt_diff" in df.columns and df.count() > 0
