@@ -161,8 +161,9 @@ def condition_runs(df: DataFrame, keys: Sequence[str], condition: Column, slice_
 
 def rolling(df: DataFrame, keys: Sequence[str], rows: int, aggs: dict[str, Column],
             slice_by: SliceBy, order: Sequence[str] = TIME_ORDER,
-            chunk_rows: int = 50_000) -> DataFrame:
-    """Adds ``aggs`` over the last ``rows`` rows of the key, the current one included.
+            chunk_rows: int = 50_000, number: str | None = None) -> DataFrame:
+    """Adds ``aggs`` over the last ``rows`` rows of the key, the current one included, and as ``number`` the
+    row's number within the key.
 
     Rows are numbered per key, cut into chunks of ``chunk_rows``, and the last ``rows - 1``
     of a chunk are also handed to the next one, so the windows are exact and no task
@@ -183,4 +184,5 @@ def rolling(df: DataFrame, keys: Sequence[str], rows: int, aggs: dict[str, Colum
     span = (Window.partitionBy(*keys, "_place.chunk").orderBy("_no")
             .rowsBetween(-(rows - 1), 0))
     out = placed.select("*", *[a.over(span).alias(n) for n, a in aggs.items()])
-    return out.filter(~F.col("_place.copy")).drop("_place", "_no")
+    out = out.filter(~F.col("_place.copy")).drop("_place")
+    return out.withColumnRenamed("_no", number) if number else out.drop("_no")

@@ -29,10 +29,27 @@ def _manifest(spark: SparkSession, path: str, batch_id: int) -> dict:
     """{"schema": of the state, "at": {bucket: batch}}; at most one entry per bucket."""
     if batch_id < 0:
         return {"schema": None, "at": {}}
-    told = json.loads(spark.read.text(f"{path}/manifest/{batch_id}", wholetext=True).first()[0])
+    fs, at = _file(spark, f"{path}/manifest/{batch_id}")
+    stream = fs.open(at)
+    try:
+        told = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
     return {"schema": told["schema"], "at": {int(b): n for b, n in told["at"].items()}}
 
 
+def _put(spark: SparkSession, path: str, batch_id: int, told: dict) -> None:
+    """Writes a manifest under another name first: a torn one is never read."""
+    fs, at = _file(spark, f"{path}/manifest/{batch_id}")
+    _, part = _file(spark, f"{path}/manifest/_{batch_id}")
+    stream = fs.create(part, True)
+    stream.write(json.dumps(told).encode())
+    stream.close()
+    fs.delete(at, True)
+    if not fs.rename(part, at):
+        raise OSError(f"cannot write {at}")
+
+
 def read_state(spark: SparkSession, path: str, manifest: dict, buckets: list[int] | None = None) -> DataFrame | None:
     """The newest state of some buckets, or of all; None where there is none yet."""
     of: dict[int, list[int]] = {}
@@ -54,18 +71,23 @@ def latest_state(spark: SparkSession, path: str, batch_id: int) -> DataFrame | N
     return read_state(spark, path, _manifest(spark, path, batch_id))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def _file(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, at = _file(spark, path)
+    fs.delete(at, True)
 
 
-def writer(step: Step, out_path: str, carry_path: str, key: str = "battery_id",
+def writer(thin: Callable[[DataFrame], DataFrame], step: Step, out_path: str, carry_path: str, key: str = "battery_id",
            buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function around ``step(batch, state, keep) -> (rows, new state)``.
+    """A ``foreachBatch`` function around ``step(frames, state, keep) -> (rows, new state)``.
 
-    ``state`` holds the rows of all batteries that share a bucket with one of the batch; ``new state`` must
-    hold what is left of the same batteries. ``keep`` holds a frame both are made from until they are written.
-    Rows go to a directory of the batch.
+    ``thin`` makes of a batch the frames that are needed; they are worked out once. ``state`` holds the rows of all
+    batteries that share a bucket with one of the batch; ``new state`` must hold what is left of the same
+    batteries. ``keep`` holds a frame both are made from until they are written. Rows go to a directory of the batch.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -78,15 +100,14 @@ def writer(step: Step, out_path: str, carry_path: str, key: str = "battery_id",
             return held[-1]
 
         try:
-            came = keep(batch)
+            came = keep(thin(batch))
             touched = sorted(r[0] for r in came.select(_bucket(key, buckets)).distinct().collect())
             rows, left = step(came, read_state(spark, carry_path, before, touched), keep)
             (left.withColumn(BUCKET, _bucket(key, buckets)).repartition(BUCKET)
              .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{carry_path}/{BATCH}={batch_id}"))
             rows.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
             told = {"schema": left.schema.jsonValue(), "at": {**before["at"], **dict.fromkeys(touched, batch_id)}}
-            spark.createDataFrame([(json.dumps(told),)], "value string").coalesce(1).write.mode("overwrite").text(
-                f"{carry_path}/manifest/{batch_id}")
+            _put(spark, carry_path, batch_id, told)
         finally:
             for df in held:
                 df.unpersist()

@@ -42,7 +42,13 @@ def dedup(frames: DataFrame, p: Params = DEFAULTS) -> DataFrame:
         ["battery_id", "sample_ts"])
 
 
-NUMBERING = ("battery_id", *SLOT, "sample_ts", "frame_no", "event_type", "process_id")
+UNNUMBERED = ("battery_id", *SLOT, "sample_ts", "frame_no", "event_type")
+NUMBERING = (*UNNUMBERED, "process_id")
+
+
+def _flagged(batch: DataFrame, p: Params, collapse: bool) -> DataFrame:
+    """Frames with signals, flags and tags; their processes are numbered on from the carry."""
+    return features.prepare(batch, p, numbered=True, collapse=collapse)
 
 
 def block_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, collapse: bool = True):
@@ -52,9 +58,12 @@ def block_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, collapse:
     those of the batch job. ``merged_blocks`` adds up the parts of blocks that several batches saw.
     """
 
-    def step(batch, carry, keep):
-        df = keep(features.prepare(batch, p, collapse=collapse, carry=carry).select(
-            *BLOCK_KEY, "sample_ts", "frame_no", "is_effective", "volt_diff_mv", "temp_diff_c", "current_a"))
+    def thin(batch):
+        return _flagged(batch, p, collapse).select(
+            *UNNUMBERED, "device_id", "soc_tag", "curr_tag", "is_effective", "volt_diff_mv", "temp_diff_c", "current_a")
+
+    def step(frames, carry, keep):
+        df = keep(segment.number_processes(frames, carry=carry))
         ok = features.effective(df)
         rows = ok.groupBy(*BLOCK_KEY).agg(
             F.count("*").alias("n_frames"), F.min("sample_ts").alias("start_time"), F.max("sample_ts").alias("end_time"),
@@ -62,7 +71,7 @@ def block_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, collapse:
             F.sum("current_a").alias("sum_current_a"), F.count("current_a").alias("n_current"))
         return rows, segment.last_processes(df, carry)
 
-    return state.writer(step, out_path, carry_path)
+    return state.writer(thin, step, out_path, carry_path)
 
 
 def merged_blocks(rows: DataFrame) -> DataFrame:
@@ -73,7 +82,8 @@ def merged_blocks(rows: DataFrame) -> DataFrame:
         (F.sum("sum_current_a") / F.nullif(F.sum("n_current").cast("double"), F.lit(0.0))).alias("avg_current_a"))
 
 
-def rest_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, device_type: str | None = "swap_station"):
+def rest_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, device_type: str | None = "swap_station",
+                collapse: bool = True):
     """Rests after a charge live: one row per rest, when its first frame ``rest_seconds`` or more after its
     start arrives.
 
@@ -83,11 +93,13 @@ def rest_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, device_typ
     the rest that waits for its deadline with the figures of its t0. A rest that ends before gives no row.
     """
 
-    def step(batch, carry, keep):
+    def thin(batch):
         some = batch if device_type is None else batch.filter(F.col("device_type") == device_type)
-        df = keep(features.prepare(some, p, carry=None if carry is None else carry.select(*NUMBERING)).select(
-            *NUMBERING, "device_id", "is_effective", "volt_diff_mv", "mean_mv",
-            features.low_outlier(F.col("cell_mv")).alias("outlier")))
+        return _flagged(some, p, collapse).select(*UNNUMBERED, "device_id", "is_effective", "volt_diff_mv", "mean_mv",
+                                                  features.low_outlier(F.col("cell_mv")).alias("outlier"))
+
+    def step(batch, carry, keep):
+        df = keep(segment.number_processes(batch, carry=None if carry is None else carry.select(*NUMBERING)))
         frames = features.effective(df)
         order, shot = F.struct("sample_ts", "frame_no"), F.struct("sample_ts", "device_id", "volt_diff_mv", "mean_mv", "outlier")
         begun = frames.groupBy("battery_id", "process_id").agg(
@@ -118,7 +130,7 @@ def rest_writer(out_path: str, carry_path: str, p: Params = DEFAULTS, device_typ
             left.select("battery_id", F.col("process_id").alias("now")), "battery_id").filter("waits.process_id = now").drop("now")
         return rows, left.join(last, "battery_id", "left").join(waiting, "battery_id", "left")
 
-    return state.writer(step, out_path, carry_path)
+    return state.writer(thin, step, out_path, carry_path)
 
 
 def hazard_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
@@ -129,20 +141,21 @@ def hazard_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
     before = p.hazard_window - 1
     slices = ordered.time_slice(p.slot_seconds)
 
-    def step(batch, carry, keep):
-        flagged = quality.with_quality(normalize.frame_derived(batch), p)
-        thin = keep(flagged.select("battery_id", "device_id", "sample_ts", "frame_no",
-                                   realtime.hazard_points(p).alias("points"), F.lit(True).alias("_new")))
-        both = thin if carry is None else thin.unionByName(carry.withColumn("_new", F.lit(False)))
-        scored = ordered.rolling(both, ["battery_id"], p.hazard_window, {"factor": F.sum("points")}, slices)
-        rows = scored.filter("_new").drop("_new").withColumn("fired", F.col("factor") > p.hazard_limit)
-        numbered = ordered.running_total(both, ["battery_id"], F.lit(1), slices, out="_no")
+    def thin(batch):
+        return quality.with_quality(normalize.frame_derived(batch), p).select(
+            "battery_id", "device_id", "sample_ts", "frame_no", realtime.hazard_points(p).alias("points"),
+            F.lit(True).alias("_new"))
+
+    def step(frames, carry, keep):
+        both = frames if carry is None else frames.unionByName(carry.withColumn("_new", F.lit(False)))
+        scored = keep(ordered.rolling(both, ["battery_id"], p.hazard_window, {"factor": F.sum("points")}, slices, number="_no"))
+        rows = scored.filter("_new").drop("_new", "_no").withColumn("fired", F.col("factor") > p.hazard_limit)
         newest = both.groupBy("battery_id").agg(F.count("*").alias("_n"))
-        left = (numbered.join(newest, "battery_id").filter(F.col("_no") > F.col("_n") - before)
-                .drop("_no", "_n", "_new"))
+        left = (scored.join(newest, "battery_id").filter(F.col("_no") > F.col("_n") - before)
+                .drop("_no", "_n", "_new", "factor"))
         return rows, left
 
-    return state.writer(step, out_path, carry_path)
+    return state.writer(thin, step, out_path, carry_path)
 
 
 def insulation_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
@@ -153,19 +166,21 @@ def insulation_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
     """
     slices = ordered.time_slice(p.slot_seconds)
 
-    def step(batch, carry, keep):
-        thin = (batch.select("battery_id", "device_id", "sample_ts", "frame_no",
+    def thin(batch):
+        return (batch.select("battery_id", "device_id", "sample_ts", "frame_no",
                              signals.iso_reading().alias("iso"), F.col("sample_ts").alias("start_ts"),
                              F.lit(1).cast("long").alias("n_frames"))
                 .filter("iso is not null"))
-        both = thin if carry is None else thin.unionByName(carry)
+
+    def step(frames, carry, keep):
+        both = frames if carry is None else frames.unionByName(carry)
         at = F.struct("sample_ts", "frame_no")
         runs = ordered.condition_runs(
             both, ["battery_id"], F.col("iso") < p.iso_kohm, slices,
             [F.sum("n_frames").alias("n_frames"), F.min("start_ts").alias("start_ts"),
              F.max(at).alias("_end"), F.min("iso").alias("iso"), F.min("device_id").alias("device_id")])
         newest = both.groupBy("battery_id").agg(F.max(at).alias("_last"))
-        runs = runs.join(newest, "battery_id").withColumn("is_open", F.col("_end") == F.col("_last"))
+        runs = keep(runs.join(newest, "battery_id").withColumn("is_open", F.col("_end") == F.col("_last")))
         rows = runs.select("battery_id", "device_id", "start_ts", F.col("_end.sample_ts").alias("end_ts"),
                            "n_frames", F.col("iso").alias("min_iso"), "is_open")
         left = runs.filter("is_open").select(
@@ -173,7 +188,7 @@ def insulation_writer(out_path: str, carry_path: str, p: Params = DEFAULTS):
             F.col("_end.frame_no").alias("frame_no"), "iso", "start_ts", "n_frames")
         return rows, left
 
-    return state.writer(step, out_path, carry_path)
+    return state.writer(thin, step, out_path, carry_path)
 
 
 def latest_runs(rows: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def batch(spark, ids):
 
 def test_only_touched_buckets_are_written(spark, tmp_path):
     out, path = str(tmp_path / "out"), str(tmp_path / "carry")
-    write = carry.writer(count_step, out, path)
+    write = carry.writer(lambda b: b, count_step, out, path)
     for n, ids in enumerate((POOL * 3, ["B1"], ["B1", "B2"], [], ["B5"])):
         write(batch(spark, ids), n)
         if n in (1, 4):
@@ -45,7 +45,7 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
 
 
 def test_a_lost_manifest_is_an_error(spark, tmp_path):
-    write = carry.writer(count_step, str(tmp_path / "out"), str(tmp_path / "carry"))
+    write = carry.writer(lambda b: b, count_step, str(tmp_path / "out"), str(tmp_path / "carry"))
     with pytest.raises(Exception):
         write(batch(spark, ["B1"]), 3)
 
