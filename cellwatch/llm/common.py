@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellwatch.sources.scratch import scratch_path
+
 WHITE = [9, 10, 11, 12, 13, 32]
 #: Java and DuckDB read this alike: everything but space and the five controls from tab on.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,6 +32,30 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *known])
 
 
+class Scratch:
+    """Intermediate tables of one job in the shared folder, removed when another takes their place.
+
+    What is read later must have been written itself by then: a removed table cannot be computed again.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Writes ``df`` and reads it back; an earlier table of the name is removed after that."""
+        path = scratch_path(self._spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self._paths[name] = path
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        path = self._paths.pop(name, None)
+        if path is not None:
+            at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -1,6 +1,6 @@
 """Near duplicates by MinHash with tensored banding, candidates verified on full sets.
 
-A document's set are its distinct 3-word shingles, as 64-bit hashes. Two collections of 12 small
+A document's set are its distinct word shingles, as 64-bit hashes. Two collections of 12 small
 hashes (three minima each) are computed; a table key joins one hash of the first collection with
 one of the second, so 24 small hashes, 72 minima, stand for 144 tables of six minima, which would
 take 864. Two documents meet in a table if they agree in both parts.
@@ -8,22 +8,25 @@ take 864. Two documents meet in a table if they agree in both parts.
 * Documents with equal sets are one vertex, named by its smallest id. So a group of copies of any
   size is one row for all that follows.
 * A small hash that only one vertex has is dropped before keys are combined, so keys are made
-  only for vertices that have company in both collections.
-* Within a key a vertex is compared with one centre, not with all others, and each pair is verified
-  on the full sets. Rounds with other centres follow, in which only vertices of different
-  components are compared, until a round adds no link. What then still shares a large key across
-  components is settled by an exact prefix join, so every pair that shares a key is decided.
+  only for vertices that have company in both collections. Keys are made once, and those of one vertex go.
+* Within a key a vertex is compared with a few centres, never with all others, and each pair is
+  verified on the full sets. Rounds with other centres follow over the keys that still hold several
+  components, in which only vertices of different components are compared, as long as a round halves
+  the vertices concerned. The vertices that still share a key across components are settled by
+  an exact prefix join, so every pair that shares a key is decided.
 * Components come from smallest labels passed along links, with labels followed to their labels.
 
-At the threshold of 0.85 a pair misses all tables with probability 3e-5.
+At a threshold of 0.85 a pair misses all tables with probability 3e-5, at 0.8 with 4e-4.
 
 Defined results: null and empty texts have an empty set and link with nothing; rows of one id are
-one document; rows without an id link with nothing and are kept; other columns are dropped; an
-empty table gives an empty one.
+one document; rows without an id link with nothing and are kept; a very long text has a large set and
+is worked on alone; pairs exactly at the threshold are links; ``classes`` drops other columns, ``keep`` keeps
+them; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,28 +34,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.sources.scratch import materialize
-
-from .common import long_array, lowered, mix, slices, utf8, word_hashes
+from .common import Scratch, long_array, lowered, mix, slices, utf8, word_hashes
 
 HASHES, ROWS, SIDES = 12, 3, 2
-#: Vertices of a key whose components are all compared in one round; a larger key takes rounds.
-FEW = 16
+#: Words of a shingle and similarity in percent, and centres of a key in a round.
+WORDS, PERCENT, CENTRES = 3, 85, 3
 #: Bytes of text whose work arrays a task holds at a time.
 SLICE = 1 << 21
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes, ascending within each text, and the text each belongs to."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of runs of ``words`` words, ascending within each text, and the text each belongs to. A text
+    of fewer words is one run."""
     h, doc = word_hashes(lowered(data), offsets)
+
+    def runs(at: np.ndarray, n: int, seed: int) -> np.ndarray:
+        out = np.full(len(at), np.uint64(seed))
+        for k in range(n - 1, -1, -1):
+            out = mix(h[at + k] + out, k + 1)
+        return out
+
     with np.errstate(over="ignore"):
-        three = np.flatnonzero(doc[2:] == doc[:-2]) if len(doc) > 2 else np.empty(0, np.int64)
-        sh = mix(h[three] + mix(h[three + 1] + mix(h[three + 2], 3), 2), 1)
+        whole = np.flatnonzero(doc[words - 1:] == doc[:len(doc) - words + 1]) if len(doc) >= words else np.empty(0, np.int64)
         n = np.bincount(doc, minlength=len(offsets) - 1)
         first = np.cumsum(n) - n
-        one, two = np.flatnonzero(n == 1), np.flatnonzero(n == 2)
-        short = [mix(h[first[one]], 4), mix(h[first[two]] + mix(h[first[two] + 1], 2), 5)]
-    sh, d = np.concatenate([sh, *short]), np.concatenate([doc[three], one, two])
+        short = [np.flatnonzero(n == k) for k in range(1, words)]
+        sh = np.concatenate([runs(whole, words, 0), *(runs(first[d], k + 1, k + 1) for k, d in enumerate(short))])
+    d = np.concatenate([doc[whole], *short])
     order = np.lexsort((sh, d))
     sh, d = sh[order], d[order]
     new = np.ones(len(sh), bool)
@@ -86,7 +94,7 @@ def _filled(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """(id, n_shingles, s1, s2, small): size and name of the set, and its small hashes."""
     kind = docs.schema[key].dataType.simpleString()
 
@@ -94,7 +102,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for a, b in slices(offsets, SLICE):
-                sh, d = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                sh, d = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], words)
                 n = np.bincount(d, minlength=b - a)
                 rows = np.flatnonzero(n)
                 starts = (np.cumsum(n) - n)[rows]
@@ -112,7 +120,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         run, f"id {kind}, n_shingles bigint, s1 bigint, s2 bigint, small array<bigint>")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(id, s1, set) of (id, text) rows."""
     kind = docs.schema["id"].dataType.simpleString()
 
@@ -120,7 +128,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for a, b in slices(offsets, SLICE):
-                sh, d = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                sh, d = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], words)
                 n = np.bincount(d, minlength=b - a)
                 rows = np.flatnonzero(n)
                 s1 = _sums(sh, (np.cumsum(n) - n)[rows])[0] if len(rows) else np.empty(0, np.uint64)
@@ -132,11 +140,12 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, s1 bigint, set array<bigint>")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, tables: Scratch | None = None, name: str = "labels") -> DataFrame:
     """(node, label) of linked nodes; the label is the smallest node that links reach."""
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").distinct(), "links")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("a"), F.min("b")).alias("label")), "labels")
+    tables = tables or Scratch(links.sparkSession)
+    both = tables.put(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").distinct(), "both-ways")
+    labels = tables.put(both.groupBy(F.col("a").alias("node")).agg(
+        F.least(F.min("a"), F.min("b")).alias("label")), name)
     while True:
         passed = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(
             F.col("a").alias("node")).agg(F.min("label").alias("near"))
@@ -144,12 +153,11 @@ def components(links: DataFrame) -> DataFrame:
                                                    F.least("label", "near").alias("label"))
         # a label is a node with a label of its own
         known = least.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        stepped = materialize(least.join(known, "label").select(
-            "node", F.least("label", "next").alias("label"), (F.least("label", "next") < F.col("old")).alias("moved")),
-            "labels")
-        moved = stepped.where("moved").limit(1).count()
+        stepped = tables.put(least.join(known, "label").select(
+            "node", F.least("label", "next").alias("label"), (F.least("label", "next") < F.col("old")).alias("moved")), name)
         labels = stepped.select("node", "label")
-        if not moved:
+        if not stepped.where("moved").limit(1).count():
+            tables.drop("both-ways")
             return labels
 
 
@@ -165,12 +173,12 @@ def _alike(n: str, m: str, percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, written to the scratch folder."""
+    """The pairs (a, b) whose full sets are similar enough."""
     sides = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
-    return materialize(sides.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum")).where(
-        100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b"), "new-links")
+    return sides.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum")).where(
+        100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b")
 
 
 def settled(vertices: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -179,7 +187,8 @@ def settled(vertices: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     A prefix join. Shingles have one order for all sets: those of a single component first, then
     the rarest. The first common shingle of such a pair is within the first 8 % of the shorter set
     and the first 15 % of the longer one (at 85 %), and so many shingles follow it in both. Those
-    of a single component take their places in the order and are not joined.
+    of a single component take their places in the order and are not joined. A frequent shingle is
+    joined within bands of set sizes: the sizes of a pair lie in one band or in two neighbouring ones.
     """
     each = vertices.join(sets.withColumnRenamed("id", "rep"), "rep").select("rep", "n", "comp", F.explode("set").alias("sh"))
     mixed = each.groupBy("sh").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
@@ -189,12 +198,16 @@ def settled(vertices: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ordered = each.join(mixed, "sh").groupBy("rep", "n", "comp").agg(
         F.sort_array(F.collect_list(F.struct("c", "sh"))).alias("shared"))  # at most the set itself
     own = F.col("n") - F.size("shared")
-    heads = materialize(ordered.withColumn("own", own).withColumn("least", shortest).select(
-        "rep", "n", "comp", "own", "least",
+    # sizes in one band differ by less than the similarity allows, so a pair's bands differ by one at most
+    band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
+    heads = ordered.withColumn("own", own).withColumn("least", shortest).select(
+        "rep", "n", "comp", "own", "least", band.alias("band"),
         F.posexplode(F.slice("shared", F.lit(1), F.greatest(longest - own, F.lit(0)).cast("int"))).alias("pos", "s")).select(
-            "rep", "n", "comp", "least", (F.col("own") + F.col("pos") + 1).alias("at"), F.col("s.sh").alias("sh")), "prefixes")
-    short = heads.where("at <= least").select("sh", *[F.col(c).alias(f"{c}1") for c in ("rep", "n", "comp", "at")])
-    pairs = short.join(heads.drop("least"), "sh").where(
+            "rep", "n", "comp", "least", "band", (F.col("own") + F.col("pos") + 1).alias("at"), F.col("s.sh").alias("sh"))
+    short = heads.where("at <= least").select("sh", "band", *[F.col(c).alias(f"{c}1") for c in ("rep", "n", "comp", "at")])
+    # the longer set of a pair is in the shorter one's band or the next
+    long_ = heads.drop("least").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    pairs = short.join(long_, ["sh", "band"]).where(
         (F.col("comp1") != F.col("comp")) & ((F.col("n1") < F.col("n")) | (F.col("n1") == F.col("n")) & (F.col("rep1") < F.col("rep")))
         & _alike("n1", "n", percent)
         & ((100 + percent) * (F.least(F.col("n1") - F.col("at1"), F.col("n") - F.col("at")) + 1)
@@ -202,17 +215,17 @@ def settled(vertices: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _verified(pairs.select(F.col("rep1").alias("a"), F.col("rep").alias("b")).distinct(), sets, percent)
 
 
-def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
+def links(docs: DataFrame, reps: DataFrame, percent: int, words: int = WORDS, tables: Scratch | None = None) -> DataFrame | None:
     """Verified (a, b) between vertices, enough of them to join all components; None if none.
 
     First each vertex is compared with one vertex only, the first in a random order among the
     centres of its keys: a group of near copies mostly agrees on it. Later rounds look at the keys
     that still hold more than one component, and only at those: once a key is of one
-    component it stays so. They compare every vertex with the centres of its keys that are of
-    another component; a key of up to ``FEW`` vertices is settled at once, all its vertices of
-    different components being compared. When the centres add no link, what is left of the larger
-    keys is settled by a prefix join of their vertices.
+    component it stays so. They compare every vertex with a few centres of its keys that are of
+    another component. When a round does not halve the vertices in such keys, a prefix join of these
+    vertices settles what is left.
     """
+    tables = tables or Scratch(docs.sparkSession)
     small = reps.select("rep", F.posexplode("small").alias("pos", "h"))
     shared = small.groupBy("pos", "h").agg(F.count("*").alias("c")).where("c > 1").drop("c")
     side = F.when(F.col("pos") < HASHES, F.col("h"))
@@ -221,71 +234,84 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
     met = small.join(shared, ["pos", "h"]).groupBy("rep").agg(
         F.collect_list(side).alias("left"), F.collect_list(other).alias("right")).where(
             (F.size("left") > 0) & (F.size("right") > 0))
-    members = materialize(met.join(reps.select("rep", "s1", F.col("n_shingles").alias("n")), "rep"), "members")
-    if not members.limit(1).count():
+    members = tables.put(met.join(reps.select("rep", "s1", F.col("n_shingles").alias("n")), "rep"), "members")
+    every = _keys(members)
+    centre = every.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("turn"), "rep", "n")).alias("c"),
+                                      F.count("*").alias("size")).where("size > 1").select("key", "c")
+    keys = tables.put(every.join(centre, "key").select(
+        "key", "rep", "n", F.col("c.rep").alias("c_rep"), F.col("c.n").alias("c_n")), "keys")
+    if not keys.limit(1).count():
         return None
-    texts = docs.join(members.select(F.col("rep").alias("id")), "id", "left_semi")
-    sets = materialize(full_sets(texts).join(
-        members.select(F.col("rep").alias("id"), "s1"), ["id", "s1"]).dropDuplicates(["id"]).select("id", "set"), "sets")
-    keys = _keys(members)
-    centre = keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("turn"), "rep", "n")).alias("c"),
-                                     F.count("*").alias("size")).where("size > 1").select("key", "c")
-    first = keys.join(centre, "key").where((F.col("rep") != F.col("c.rep")) & _alike("n", "c.n", percent)).groupBy(
-        F.col("rep").alias("a")).agg(F.min("c").alias("c")).select("a", F.col("c.rep").alias("b"))
-    found, turn = _verified(first, sets, percent), 0
+    # sets are made only for vertices that share a key
+    company = keys.select("rep").distinct().join(members.select("rep", "s1"), "rep").select(F.col("rep").alias("id"), "s1")
+    texts = docs.join(company.select("id"), "id", "left_semi")
+    sets = tables.put(full_sets(texts, words).join(company, ["id", "s1"]).dropDuplicates(["id"]).select("id", "set"), "sets")
+    tables.drop("members")
+    first = keys.where((F.col("rep") != F.col("c_rep")) & _alike("n", "c_n", percent)).groupBy(
+        F.col("rep").alias("a")).agg(F.min(F.struct(F.xxhash64("c_rep").alias("turn"), "c_rep")).alias("c")).select(
+            "a", F.col("c.c_rep").alias("b"))
+    found, turn, before = tables.put(_verified(first, sets, percent), "links-0"), 0, None
+    keys = keys.select("key", "rep", "n")
     while True:
-        comp, turn = components(found).withColumnRenamed("node", "rep"), turn + 1
+        turn += 1
+        comp = components(found, tables).withColumnRenamed("node", "rep")
         now = keys.join(comp, "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
-        centre = now.groupBy("key").agg(
-            F.min(F.struct(F.xxhash64(F.lit(turn), "rep").alias("turn"), "rep", "n", "comp")).alias("c"),
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where(
-                "lo <> hi").select("key", "c", "size")
-        mixed = materialize(now.join(centre, "key"), "mixed")
-        large, few = mixed.where(F.col("size") > FEW), mixed.where(F.col("size") <= FEW)
-        star = large.where((F.col("comp") != F.col("c.comp")) & _alike("n", "c.n", percent)).select(
-            F.col("rep").alias("a"), F.col("c.rep").alias("b"))
-        other = few.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp2"))
-        each = few.join(other, "key").where((F.col("comp") < F.col("comp2")) & _alike("n", "m", percent)).select(
-            F.col("rep").alias("a"), "b")
-        new = _verified(star.union(each).distinct(), sets, percent)
-        left = large.select("rep", "n", "comp").distinct()
-        if not left.limit(1).count():
+        centres = [F.min(F.struct(F.xxhash64(F.lit(turn * CENTRES + i), "rep").alias("turn"), "rep", "n", "comp")).alias(f"c{i}")
+                   for i in range(CENTRES)]
+        several = now.groupBy("key").agg(*centres, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
+            "lo <> hi").select("key", F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)])).alias("centres"))
+        mixed = tables.put(now.join(several, "key"), "keys")
+        left = mixed.select("rep", "n", "comp").distinct()
+        count = left.count()
+        if not count:
+            tables.drop("keys")
+            tables.drop("sets")
+            return found
+        if before is not None and 2 * count > before:
+            new = tables.put(settled(left, sets, percent), f"links-{turn}")
+            tables.drop("keys")
+            tables.drop("sets")
             return found.union(new)
-        if not new.limit(1).count():
-            return found.union(settled(left, sets, percent))
-        found, keys = found.union(new), large.select("rep", "n", "key")
+        pairs = mixed.select("rep", "n", "comp", F.explode("centres").alias("c")).where(
+            (F.col("comp") != F.col("c.comp")) & _alike("n", "c.n", percent)).select(
+                F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
+        found = found.union(tables.put(_verified(pairs, sets, percent), f"links-{turn}"))
+        keys, before = mixed.select("key", "rep", "n"), count
 
 
-def classes(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
+def classes(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """The digest of the contract: key, n_shingles, component_id, kept."""
+    tables = Scratch(docs.sparkSession)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    sig = materialize(signatures(rows, "id", "text"), "signatures")
+    sig = tables.put(signatures(rows, "id", "text", words), "signatures")
     named = sig.where("id IS NOT NULL AND n_shingles > 0")
-    reps = materialize(named.groupBy("s1", "s2", "n_shingles").agg(
+    reps = tables.put(named.groupBy("s1", "s2", "n_shingles").agg(
         F.min(F.struct("id", "small")).alias("m")).select(
             "s1", "s2", "n_shingles", F.col("m.id").alias("rep"), F.col("m.small").alias("small")), "vertices")
+    sig = tables.put(sig.drop("small"), "signatures")
+    named = sig.where("id IS NOT NULL AND n_shingles > 0")
     # rows of one id are one document: they share a vertex through their id
     many = named.join(reps.drop("small"), ["s1", "s2", "n_shingles"]).select(
         F.col("id").alias("a"), F.col("rep").alias("b"))
-    found = links(rows, reps, percent)
-    twice = materialize(many.distinct().groupBy("a").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where(
+    found = links(rows, reps, percent, words, tables)
+    twice = tables.put(many.distinct().groupBy("a").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where(
         "lo <> hi").select(F.col("lo").alias("a"), F.col("hi").alias("b")), "shared-ids")
     if twice.limit(1).count():
         found = twice if found is None else found.union(twice)
     thin = reps.drop("small")
     if found is not None:
-        thin = thin.join(components(found).withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        thin = thin.join(components(found, tables).withColumnRenamed("node", "rep"), "rep", "left").withColumn(
             "rep", F.coalesce("label", "rep")).drop("label")
-    joined = sig.select("id", "n_shingles", "s1", "s2").join(thin, ["s1", "s2", "n_shingles"], "left")
+    joined = sig.join(thin, ["s1", "s2", "n_shingles"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("rep", "id")).otherwise(F.col("id"))
     own = F.when(F.col("id").isNotNull(), own)
     return joined.select(F.col("id").alias(key), "n_shingles", own.alias("component_id"),
                          F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
 
 
-def keep(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """One document of each group, with the columns it came with."""
-    gone = classes(docs, percent, key, text).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
+    gone = classes(docs, percent, key, text, words).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
     return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
 
 

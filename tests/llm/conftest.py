@@ -6,7 +6,9 @@ from pyspark.sql import types as T
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                      T.StructField("n_chars", T.LongType())])
-CLASHES = ["score", "id", "key", "h", "row", "m", "failed", "_gone", "_bad_id", "margin", "block", "text_", "shard"]
+CLASHES = ["score", "id", "key", "h", "row", "m", "failed", "_gone", "_bad_id", "margin", "block", "text_", "shard",
+           "words", "places", "hits", "rep", "comp", "set", "small", "page", "run", "file", "train", "host", "zones", "streams",
+           "start", "length", "ids", "offset", "a", "b", "pair", "times", "pos", "runs", "best", "collapsed", "groups"]
 
 
 def write_tables(spark, path, docs, pages=(), items=(), labels=(), clash=True):

@@ -5,6 +5,7 @@ import hashlib
 import math
 import os
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -372,20 +373,100 @@ def test_runs_are_counted_over_the_whole_host(spark):
     assert got == dict(enumerate(own)) | {9001: same, 9002: same}
 
 
-def test_repeated_runs_against_plain_search():
+def test_many_small_pages_in_a_share(spark):
+    """More pages than different words, and many equal ones: page ends are no words."""
+    for texts in ([f"w{i % 3}" for i in range(31)], ["same short page"] * 500, ["x"] * 40):
+        rows = [(i, "http://h.example/", f"<p>{t}</p>") for i, t in enumerate(texts)]
+        got = html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+        assert {r.page_id: r.text for r in got} == dict(enumerate(texts))
+
+
+def test_suffix_array_and_common_prefixes():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 2, 50, 200):
+        tokens = np.concatenate([rng.integers(0, 3, n), np.full(20, 1)])
+        order, ranks = html.suffix_array(tokens)
+        suffixes = [tokens[i:].tolist() for i in range(len(tokens))]
+        assert order.tolist() == sorted(range(len(tokens)), key=lambda i: suffixes[i])
+        got = html.common_prefixes(order, ranks).tolist()
+        assert got == [0] + [next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+                             for a, b in zip((suffixes[i] for i in order), (suffixes[i] for i in order[1:]))]
+
+
+def test_extract_against_plain_search(spark, monkeypatch):
+    """Whole extraction of pages without articles against counting all runs of each host by dictionaries."""
+    monkeypatch.setattr(html, "SHARE", 200)
     rng = np.random.default_rng(6)
-    pages = [rng.integers(0, 90, 60).tolist() for _ in range(6)]
-    pages[1][5:25], pages[4][30:45], pages[2][40:47] = pages[0][20:40], pages[0][22:37], pages[3][:7]
-    tokens, page = [], []
-    for i, p in enumerate(pages):
-        tokens += [*p, -1 - i]
-        page += [i] * (len(p) + 1)
+    passages = [[f"p{k}w{i}" for i in range(int(rng.integers(6, 20)))] for k in range(12)]
+    rows, parsed = [], []
+    for i in range(120):
+        host = f"host{int(rng.integers(0, 4))}.example"
+        parts = [passages[int(k)] if rng.random() < 0.5 else [f"u{i}x{j}y{k}" for j in range(int(rng.integers(3, 15)))]
+                 for k in rng.integers(0, 12, 4)]
+        nav = rng.random() < 0.7
+        article = i % 7 == 0
+        page = "".join(f"<p>{' '.join(p)}</p>" for p in parts)
+        page = (f"<nav>{' '.join(passages[0])}</nav>" if nav else "") + (f"<article>{page}</article><p>after it</p>" if article else page)
+        rows.append((i, f"http://{host}/{i}", page))
+        parsed.append((host, html.blocks(page)))
+    rows += [(1000 + i, *rows[i][1:]) for i in range(5)]  # copies do not count as other pages
     where = defaultdict(set)
-    for i in range(len(tokens) - 7):
-        where[tuple(tokens[i:i + 8])].add(page[i])
-    want = np.zeros(len(tokens), bool)
-    for i in range(len(tokens) - 7):
-        if len(where[tuple(tokens[i:i + 8])]) > 1:
-            want[i:i + 8] = True
-    got = html.covered(np.array(tokens), np.array(page))
-    assert want.any() and (got == want).all()
+    for host, some in parsed:
+        for stream in html.streams(some):
+            for k in range(len(stream) - 7):
+                where[host, tuple(stream[k:k + 8])].add(html.page_hash(some))
+    want = {}
+    for (i, _, _), (host, some) in zip(rows, parsed):
+        if any(z == "main" for _, z in some):
+            want[i] = " ".join(t for t, z in some if z == "main")
+            continue
+        tokens = [(w, z) for t, z in some for w in t.split(" ")]
+        again = [False] * len(tokens)
+        for k in range(len(tokens) - 7):
+            if len(where[host, tuple(w for w, _ in tokens[k:k + 8])]) > 1:
+                again[k:k + 8] = [True] * 8
+        want[i] = " ".join(w for (w, z), c in zip(tokens, again) if z == "open" and not c)
+    want |= {1000 + i: want[i] for i in range(5)}
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert got == want and sum(want[i] != " ".join(t for t, z in parsed[i][1] if z == "open") for i in range(120)) > 30
+    # the long substrings of each host, and on how many pages they stand
+    long_ = html.repeats(pages).collect()
+    assert long_ and all(r.n_tokens >= 8 and r.n_pages >= 1 for r in long_)
+    assert {" ".join(passages[0])} & {r.text for r in long_} or len(passages[0]) < 8
+
+
+def test_deep_nesting_is_linear():
+    deep = "<div><span>" * 20_000 + "x" + "</span></div>" * 20_000 + "</i>" * 20_000
+    start = time.perf_counter()
+    assert html.blocks(deep) == [("x", "open")] and time.perf_counter() - start < 5
+
+
+def test_near_duplicates_of_five_words(spark):
+    """The pipeline's width and threshold against all pairs."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for family in range(12):
+        base = [f"f{family}w{k}" for k in rng.integers(0, 300, 150)]
+        for i in range(8):
+            w = list(base)
+            for k in rng.integers(0, 150, int(rng.integers(0, 7))):
+                w[k] = f"e{family}x{i}x{k}"
+            rows.append(doc(family * 10 + i, " ".join(w)))
+    rows += [doc(900, "a b c d"), doc(901, "A b  c d"), doc(902, "a b c"), doc(903, "")]
+    sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in ((r[0], spaced(lower(r[1]))) for r in rows)}
+    parent = {i: i for i in sets}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: r for r in neardup.classes(df, percent=80, words=5).collect()}
+    assert {i: (len(sets[i]), find(i)) for i in sets} == {i: (r.n_shingles, r.component_id) for i, r in got.items()}
