@@ -22,9 +22,9 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
+    """One document of each group of near copies (five-word shingles, 80 % alike), the one with the smallest id."""
     ship(spark)
-    return neardup.keep(docs)
+    return neardup.keep(docs, percent=80, words=5)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
