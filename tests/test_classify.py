@@ -121,3 +121,47 @@ def test_task_words(spark):
 def test_keywords_are_matched_in_the_whole_text(spark):
     df = spark.createDataFrame([(1, "x" * 300_000 + "热失控")], "case_id int, text string")
     assert classify.match_keywords(df).select(F.first("failure_type")).first()[0] == "thermal_runaway"
+
+
+def test_registry_flags_and_weak_verdicts(spark):
+    """A flag counts different metrics; signals of no family make a case weak, not inferred."""
+    from cellwatch.operators import signals
+    from cellwatch.sources.registry import registry_df
+
+    long = spark.createDataFrame([
+        ("one", "volt_diff", 120.0), ("two", "volt_diff", 120.0), ("two", "temp_diff", 16.0),
+        ("none", "volt_diff", 1.0), ("rest", "volt_drop_rate", 1.0), ("rest", "outlier_rate", 0.7), ("rest", "volt_diff", 1.0)],
+        "case_id string, metric string, value double")
+    hits = signals.eval_registry(long, registry_df(spark), ["case_id"])
+    got = {(r.case_id, r.failure_type, r.signal): r.value for r in hits.collect()}
+    assert got[("two", "realtime_hazard", "multi_signal")] == 2.0 and ("one", "realtime_hazard", "multi_signal") not in got
+    assert got[("rest", "station_self_discharge", "outlier_rate_gt")] == 0.7
+    assert got[("rest", "realtime_hazard", "multi_signal")] == 2.0
+    cases = long.select("case_id").distinct()
+    rows = signals.several_signals(hits, ["case_id"])
+    verdicts = {r.case_id: (r.verdict, r.signals, r.families) for r in signals.arbitrate(cases, rows, ["case_id"]).collect()}
+    assert verdicts == {"one": ("none", None, None), "none": ("none", None, None),
+                        "two": ("weak", ["multi_signal"], None), "rest": ("weak", ["multi_signal"], None)}
+    strong = rows.unionByName(spark.createDataFrame([("two", "sig_heat", "thermal_runaway", 1)], rows.schema))
+    assert {r.case_id: r.verdict for r in signals.arbitrate(cases, strong, ["case_id"]).collect()}["two"] == "inferred"
+
+
+def test_corrections_as_of(spark):
+    from datetime import datetime
+
+    log = spark.createDataFrame([
+        (1, "vdiff_stat", datetime(2024, 1, 1)), (1, "vdiff_math", datetime(2024, 1, 5)),
+        (2, "vdiff_stat", datetime(2024, 1, 1)), (2, None, datetime(2024, 1, 2)),
+        (3, "tempdiff_stat", datetime(2024, 1, 3)), (3, "tempdiff_expert", datetime(2024, 1, 3))],
+        "case_id long, corrected_type string, corrected_at timestamp")
+
+    def held(as_of):
+        return {r.case_id: r.corrected_type for r in classify.latest_corrections(log, as_of).collect()}
+
+    assert held(None) == {1: "vdiff_math", 3: "tempdiff_stat"}
+    assert held(datetime(2024, 1, 1)) == {1: "vdiff_stat", 2: "vdiff_stat"}
+    cases = spark.createDataFrame([(1, "a", "b", "c"), (2, None, "b", "c"), (4, None, None, None)],
+                                  "case_id long, declared_type string, confirmed_type string, inferred_type string")
+    settled = classify.resolve_type(cases.join(classify.latest_corrections(log), "case_id", "left"))
+    assert {r.case_id: (r.failure_type, r.origin) for r in settled.collect()} == {
+        1: ("vdiff_math", "corrected"), 2: ("b", "confirmed"), 4: (None, "unknown")}

@@ -121,3 +121,21 @@ def test_registry_is_whole():
     assert len(types) == 25 and sum(len(t.keywords) for t in types) == 95
     assert sum(len(t.signals) for t in types) == 14 and sum(bool(t.signals) for t in types) == 9
     assert all(t.skill and t.design_doc for t in types) and [t.failure_type for t in types if t.model_path] == ["thermal_runaway"]
+
+
+def test_rank_shift_follows_time_with_text_ids(spark):
+    """Charges are neighbours by time: ids sort otherwise or are no numbers at all."""
+    from cellwatch.operators.alarms import spread
+
+    rows, at = [], 0
+    for process, lowest in (("P-10", 0), ("P-9", 5), ("x", 5)):
+        for _ in range(3):
+            cells = [3.60 + 0.001 * i for i in range(10)]
+            cells[0], cells[lowest] = cells[lowest], cells[0]
+            rows.append({**minute(at, event_type="charging", process_id=process, frame_no=at), "cell_v": cells, "battery_type": "T0"})
+            at += 1
+    ready = features.prepare(normalize_ids(frames(spark, rows)), numbered=True, collapse=False)
+    static = spark.createDataFrame([("T0", 70.0)], "battery_type string, battery_energy double")
+    got = spread.rank_shift(ready, static).collect()
+    pairs = {(r.prev_process_id, r.process_id): r.shift for r in got if r.position == 1}
+    assert pairs == {("P-10", "P-9"): 5.0, ("P-9", "x"): 0.0}
