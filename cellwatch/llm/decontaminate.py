@@ -1,32 +1,38 @@
 """Benchmark decontamination by winnowing.
 
-Every run of 7 words is hashed, and of every 7 runs in a row the least hash is the fingerprint:
-two texts that share 13 words in a row share a fingerprint there, always. The fingerprints of
-the benchmark become a bit set; a document's fingerprints are looked up in it inside its row,
-and only windows whose fingerprint is found leave the row. Those are joined with the
-benchmark's windows word by word, so a hash or bit that agrees by chance adds nothing. The
-matched windows are then extended to intervals of words, whose union is hit.
+Every run of 7 words is hashed, and of every 7 runs in a row the least hash, with its place, is a
+fingerprint: two texts that share 13 words in a row share one there, always, at the same distance from the span's
+start. Equal fingerprints of neighbouring windows are one. The fingerprints of the benchmark are a table
+(hash, item, place) and a bit set; a document's windows are looked up in the bit set inside their row, and only
+fingerprints whose bit is set leave it. They are joined with the table by hash. A match says that a document and an
+item may agree along a diagonal, and there it is extended: word by word over the item's whole length, which gives
+all common spans of 13 words or more and drops what only a hash had in common. The union of
+the spans is hit.
 
 Items of fewer than 13 words are one window each; a document's places for them are those whose
-first word opens such an item. The side of the benchmark is broadcast only after its windows
-have been counted and lie under ``BROADCAST_WINDOWS``; beyond it both sides are shuffled.
+first word opens such an item, joined by the window's words. No side is broadcast by hint: Spark broadcasts the
+benchmark while it measures it small, and splits skewed joins beyond that.
 
-Defined results: null and empty texts have no words and no hits; items without words never
-occur; repeated rows repeat; other columns are dropped; empty tables give zeros or no rows.
+Defined results: null and empty texts have no words and no hits, a null id is a row like others; items without words
+never occur; items of equal words occur together; repeated rows repeat; a very long text is one row; ``report``
+drops other columns, ``clean`` keeps them; empty tables give zeros or no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellwatch.sources.scratch import materialize
+
 from .common import lower_ascii
 from .quality import let
 
 WINDOW, GRAM = 13, 7
-BROADCAST_WINDOWS = 200_000
-#: Bits per fingerprint of the benchmark, and how many words of 64 bits the set has at most;
-#: a fuller set lets more windows through to the exact join and changes no result.
+#: Bits per fingerprint of the benchmark, and how many words of 64 bits the set has at most, which
+#: bounds what every task carries; a fuller set lets more fingerprints through to the join and changes no result.
 BITS_EACH, MOST_LONGS = 256, 1 << 16
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 DROP_SHARE = 20
@@ -36,12 +42,29 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(text.cast("string"), F.lit(""))), NOT_WORD), "")
 
 
-def minima(words: Column) -> Column:
-    """The fingerprint of each window of 13 words, by its start."""
-    grams = let(words, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (GRAM - 1)),
-                                             lambda i: F.xxhash64(F.slice(w, i, GRAM))))
-    return let(grams, lambda g: F.transform(F.sequence(F.lit(1), F.size(g) - (WINDOW - GRAM)),
-                                            lambda i: F.array_min(F.slice(g, i, WINDOW - GRAM + 1))))
+def grams(words: Column) -> Column:
+    """The hash of each run of 7 words, by its start: words are hashed once, runs from the words' hashes."""
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(
+        F.sequence(F.lit(1), F.size(h) - (GRAM - 1)), lambda i: F.xxhash64(F.slice(h, i, GRAM))))
+
+
+def fingerprints(words: Column, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """(h, at) of all windows of at least 13 words, each fingerprint once: the least hash of a window's runs and the first
+    place (from 1) it has there. ``wanted`` keeps hashes before places are looked for."""
+
+    def least(g: Column, i: Column) -> Column:
+        return F.array_min(F.slice(g, i, WINDOW - GRAM + 1))
+
+    def found(g: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(g) - (WINDOW - GRAM))
+        some = F.transform(starts, lambda i: F.struct(i.alias("i"), least(g, i).alias("h")))
+        if wanted is not None:
+            some = F.filter(some, lambda x: wanted(x["h"]))
+        return F.array_distinct(F.transform(some, lambda x: F.struct(
+            x["h"].alias("h"), (x["i"] - 1 + F.array_position(F.slice(g, x["i"], WINDOW - GRAM + 1), x["h"])).cast("int").alias("at"))))
+
+    none = F.array().cast("array<struct<h:bigint,at:int>>")
+    return F.when(F.size(words) >= WINDOW, let(grams(words), found)).otherwise(none)
 
 
 class Bits:
@@ -70,45 +93,58 @@ class Bits:
 
 
 class Benchmark:
-    """Windows of the items: their words, their length in words, and the items that hold them."""
+    """The items by their words: fingerprints of the long ones, the short ones as windows, who holds each."""
 
     def __init__(self, items: DataFrame, key: str = "item_id", text: str = "text"):
-        split = items.select(F.col(key).cast("string").alias("item"), words_of(F.col(text)).alias("w")).where(
-            F.size("w") > 0)
-        n = F.size("w")
-        starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.array(F.lit(1)))
-        self.windows = split.select("item", "w", F.explode(starts).alias("s")).select(
-            "item", F.least(F.size("w"), F.lit(WINDOW)).alias("n"),
-            F.array_join(F.slice("w", F.col("s"), WINDOW), " ").alias("gram")).groupBy("gram", "n").agg(
-                F.array_sort(F.collect_set("item")).alias("items"))
-        long_ = split.where(n >= WINDOW).select(F.explode(minima(F.col("w"))).alias("h")).distinct()
-        short = split.where(n < WINDOW).select(F.size("w").alias("n"), F.xxhash64(F.get("w", 0)).alias("h"))
-        self.bits = Bits(long_)
-        self.lengths = sorted(r[0] for r in short.select("n").distinct().collect())
-        self.openers = Bits(short.select("h").distinct()) if self.lengths else None
-        self.small = self.windows.count() <= BROADCAST_WINDOWS
-
-    def candidates(self, words: Column) -> Column:
-        """(start, length) of the windows of a row that the benchmark may have."""
-        return let(words, self._candidates)
-
-    def _candidates(self, words: Column) -> Column:
-        none = F.array().cast("array<struct<s:int,n:int>>")
-        long_ = none if self.bits.empty else F.when(F.size(words) >= WINDOW, let(
-            minima(words), lambda m: F.when(
-                F.exists(F.array_distinct(m), self.bits.has), F.filter(
-                    F.transform(m, lambda h, i: F.when(self.bits.has(h), F.struct(
-                        (i + 1).cast("int").alias("s"), F.lit(WINDOW).alias("n")))), lambda x: x.isNotNull()))
-            .otherwise(none))).otherwise(none)
+        split = items.select(F.col(key).cast("string").alias("item"), words_of(F.col(text)).alias("iw")).where(
+            F.size("iw") > 0)
+        #: Items of equal words are one text, known by its hash and compared by its words.
+        self.texts = split.groupBy("iw").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumn(
+            "text_id", F.xxhash64(F.array_join("iw", " ")))
+        long_ = self.texts.where(F.size("iw") >= WINDOW)
+        self.prints = long_.select("text_id", F.inline(fingerprints(F.col("iw"))).alias("h", "q"))
+        self.windows = self.texts.where(F.size("iw") < WINDOW).select(
+            F.size("iw").alias("n"), F.array_join("iw", " ").alias("gram"), "items", F.xxhash64(F.get("iw", 0)).alias("h"))
+        self.bits = Bits(self.prints.select("h").distinct())
+        self.lengths = sorted(r[0] for r in self.windows.select("n").distinct().collect())  # fewer than 13
+        self.openers = Bits(self.windows.select("h").distinct()) if self.lengths else None
+
+    def long_places(self, words: Column) -> Column:
+        """(h, at) of a row's fingerprints that the benchmark may have."""
+        none = F.array().cast("array<struct<h:bigint,at:int>>")
+        return none if self.bits.empty else fingerprints(words, self.bits.has)
+
+    def short_places(self, words: Column) -> Column:
+        """(start, length) of a row's windows that may be a short item."""
         if not self.lengths:
-            return long_
+            return F.array().cast("array<struct<s:int,n:int>>")
         lengths = F.array(*[F.lit(n) for n in self.lengths])
-        short = F.flatten(F.transform(F.filter(
+        return F.flatten(F.transform(F.filter(
             F.transform(words, lambda w, i: F.when(self.openers.has(F.xxhash64(w)), (i + 1).cast("int"))),
             lambda i: i.isNotNull()), lambda i: F.transform(
                 F.filter(lengths, lambda n: i + n - 1 <= F.size(words)),
                 lambda n: F.struct(i.alias("s"), n.alias("n")))))
-        return F.concat(long_, short)
+
+
+def spans(words: Column, item: Column, shift: Column) -> Column:
+    """(start, length) of the common spans of 13 words or more of a document and an item whose first word
+    lies ``shift`` words behind the document's first."""
+    lo = F.greatest(shift, F.lit(0))
+    n = F.least(F.size(words), F.size(item) + shift) - lo
+
+    def closed(acc: Column) -> Column:
+        return F.when(acc["n"] >= WINDOW, F.array_append(acc["out"], F.struct(
+            acc["s"].alias("s"), acc["n"].alias("n")))).otherwise(acc["out"])
+
+    def add(acc: Column, same: Column) -> Column:
+        return F.struct((acc["at"] + 1).alias("at"), F.when(same & (acc["n"] > 0), acc["s"]).otherwise(acc["at"]).alias("s"),
+                        F.when(same, acc["n"] + 1).otherwise(0).alias("n"),
+                        F.when(same, acc["out"]).otherwise(closed(acc)).alias("out"))
+
+    same = F.zip_with(F.slice(words, lo + 1, n), F.slice(item, lo - shift + 1, n), lambda a, b: a == b)
+    zero = F.struct((lo + 1).cast("int").alias("at"), F.lit(0).alias("s"), F.lit(0).alias("n"),
+                    F.array().cast("array<struct<s:int,n:int>>").alias("out"))
+    return F.aggregate(same, zero, add, closed)
 
 
 def hits(docs: DataFrame, benchmark: Benchmark, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -116,15 +152,29 @@ def hits(docs: DataFrame, benchmark: Benchmark, key: str = "doc_id", text: str =
     exact matches; null where it has none. ``h`` tells rows of one id with other texts apart."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     base = docs.select(F.col(key).alias("id"), F.xxhash64(t).alias("h"), words_of(t).alias("w"))
-    found = base.select("id", "h", "w", benchmark.candidates(F.col("w")).alias("c")).where(F.size("c") > 0)
-    grams = found.select("id", "h", F.explode(let(F.col("w"), lambda w: F.transform("c", lambda c: F.struct(
+    # one pass over the texts; words are kept only of rows the benchmark may occur in
+    open_ = (F.size("l") > 0) | (F.size("c") > 0)
+    rows = materialize(base.select("id", "h", "w", benchmark.long_places(F.col("w")).alias("l"),
+                                   benchmark.short_places(F.col("w")).alias("c")).select(
+        "id", "h", F.size("w").cast("long").alias("n_words"), F.when(open_, F.col("w")).alias("w"),
+        F.when(open_, F.col("l")).alias("l"), F.when(open_, F.col("c")).alias("c")), "places")
+    found = rows.where("w IS NOT NULL").dropDuplicates(["id", "h"])
+    # fingerprints meet by hash; a document and an item text are compared once on each diagonal
+    met = found.select("id", "h", F.explode("l").alias("p")).join(
+        benchmark.prints.select(F.col("h").alias("fp"), "text_id", "q"), F.col("p.h") == F.col("fp")).select(
+            F.col("id").alias("id1"), F.col("h").alias("h1"), "text_id", (F.col("p.at") - F.col("q")).alias("shift")).distinct()
+    extended = met.join(benchmark.texts.select("text_id", "iw", "items"), "text_id").join(
+        found.select("id", "h", "w"), F.col("id1").eqNullSafe(F.col("id")) & (F.col("h1") == F.col("h"))).select(
+            "id", "h", spans(F.col("w"), F.col("iw"), F.col("shift")).alias("spans"), "items").where(F.size("spans") > 0)
+    short = found.select("id", "h", F.explode(let(F.col("w"), lambda w: F.transform("c", lambda c: F.struct(
         c["s"].alias("s"), c["n"].alias("n"), F.array_join(F.slice(w, c["s"], c["n"]), " ").alias("gram")))))
         .alias("g")).select("id", "h", "g.*")
-    windows = F.broadcast(benchmark.windows) if benchmark.small else benchmark.windows
-    matched = grams.join(windows, ["gram", "n"]).groupBy(F.col("id").alias("id2"), F.col("h").alias("h2")).agg(
-        F.array_sort(F.collect_set(F.struct("s", "n"))).alias("places"),
+    whole = short.join(benchmark.windows.select("gram", "n", "items"), ["gram", "n"]).select(
+        "id", "h", F.array(F.struct("s", "n")).alias("spans"), "items")
+    matched = extended.unionByName(whole).groupBy(F.col("id").alias("id2"), F.col("h").alias("h2")).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("places"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    thin = base.select("id", "h", F.size("w").cast("long").alias("n_words"))
+    thin = rows.select("id", "h", "n_words")
     return thin.join(matched, thin["id"].eqNullSafe(matched["id2"]) & (thin["h"] == matched["h2"]), "left").drop(
         "id2", "h2")
 
