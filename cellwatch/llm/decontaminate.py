@@ -114,16 +114,16 @@ class Benchmark:
         none = F.array().cast("array<struct<h:bigint,at:int>>")
         return none if self.bits.empty else fingerprints(words, self.bits.has)
 
-    def short_places(self, words: Column) -> Column:
-        """(start, length) of a row's windows that may be a short item."""
+    def short_windows(self, words: Column) -> Column:
+        """(start, length, words) of a row's windows that may be a short item."""
         if not self.lengths:
-            return F.array().cast("array<struct<s:int,n:int>>")
+            return F.array().cast("array<struct<s:int,n:int,gram:string>>")
         lengths = F.array(*[F.lit(n) for n in self.lengths])
-        return F.flatten(F.transform(F.filter(
-            F.transform(words, lambda w, i: F.when(self.openers.has(F.xxhash64(w)), (i + 1).cast("int"))),
+        return let(words, lambda w: F.flatten(F.transform(F.filter(
+            F.transform(w, lambda x, i: F.when(self.openers.has(F.xxhash64(x)), (i + 1).cast("int"))),
             lambda i: i.isNotNull()), lambda i: F.transform(
-                F.filter(lengths, lambda n: i + n - 1 <= F.size(words)),
-                lambda n: F.struct(i.alias("s"), n.alias("n")))))
+                F.filter(lengths, lambda n: i + n - 1 <= F.size(w)),
+                lambda n: F.struct(i.alias("s"), n.alias("n"), F.array_join(F.slice(w, i, n), " ").alias("gram"))))))
 
 
 def spans(words: Column, item: Column, shift: Column) -> Column:
@@ -152,12 +152,10 @@ def hits(docs: DataFrame, benchmark: Benchmark, key: str = "doc_id", text: str =
     exact matches; null where it has none. ``h`` tells rows of one id with other texts apart."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     base = docs.select(F.col(key).alias("id"), F.xxhash64(t).alias("h"), words_of(t).alias("w"))
-    # one pass over the texts; words are kept only of rows the benchmark may occur in
-    open_ = (F.size("l") > 0) | (F.size("c") > 0)
+    # one pass over the texts; words are kept only of rows that hold a fingerprint the benchmark may have
     rows = materialize(base.select("id", "h", "w", benchmark.long_places(F.col("w")).alias("l"),
-                                   benchmark.short_places(F.col("w")).alias("c")).select(
-        "id", "h", F.size("w").cast("long").alias("n_words"), F.when(open_, F.col("w")).alias("w"),
-        F.when(open_, F.col("l")).alias("l"), F.when(open_, F.col("c")).alias("c")), "places")
+                                   benchmark.short_windows(F.col("w")).alias("c")).select(
+        "id", "h", F.size("w").cast("long").alias("n_words"), F.when(F.size("l") > 0, F.col("w")).alias("w"), "l", "c"), "places")
     found = rows.where("w IS NOT NULL").dropDuplicates(["id", "h"])
     # fingerprints meet by hash; a document and an item text are compared once on each diagonal
     met = found.select("id", "h", F.explode("l").alias("p")).join(
@@ -166,10 +164,7 @@ def hits(docs: DataFrame, benchmark: Benchmark, key: str = "doc_id", text: str =
     extended = met.join(benchmark.texts.select("text_id", "iw", "items"), "text_id").join(
         found.select("id", "h", "w"), F.col("id1").eqNullSafe(F.col("id")) & (F.col("h1") == F.col("h"))).select(
             "id", "h", spans(F.col("w"), F.col("iw"), F.col("shift")).alias("spans"), "items").where(F.size("spans") > 0)
-    short = found.select("id", "h", F.explode(let(F.col("w"), lambda w: F.transform("c", lambda c: F.struct(
-        c["s"].alias("s"), c["n"].alias("n"), F.array_join(F.slice(w, c["s"], c["n"]), " ").alias("gram")))))
-        .alias("g")).select("id", "h", "g.*")
-    whole = short.join(benchmark.windows.select("gram", "n", "items"), ["gram", "n"]).select(
+    whole = rows.select("id", "h", F.inline("c")).join(benchmark.windows.select("gram", "n", "items"), ["gram", "n"]).select(
         "id", "h", F.array(F.struct("s", "n")).alias("spans"), "items")
     matched = extended.unionByName(whole).groupBy(F.col("id").alias("id2"), F.col("h").alias("h2")).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("places"),
