@@ -12,7 +12,8 @@ dropped; an empty table gives an empty one.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix
+from .vocab import shared
 
 NONE = np.iinfo(np.int32).max
 #: Cells of a matrix at most; more rows take another matrix.
@@ -31,14 +33,39 @@ CELLS = 1 << 20
 LONG = 256
 #: Pieces a task remembers at most, then it starts afresh (a matter of memory, not of results).
 REMEMBER = 400_000
+#: Code points that the ``regex`` module's Unicode tables hold for letters and numbers and those of the
+#: compared library, which are older, do not. Neither space, letter nor number, they split as symbols.
+NEWER = """
+0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D
+107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1
+1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 16FF4-16FF6
+187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2
+1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF
+1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF
+2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+_NEWER = re.compile("[" + "".join("-".join(chr(int(c, 16)) for c in r.split("-")) for r in NEWER.split()) + "]")
+#: A symbol in both tables.
+SYMBOL = "\ue000"
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """Cuts a text into the pattern's matches, newer letters and numbers read as symbols."""
+    match = regex.compile(pattern)
+
+    def pieces(text: str) -> list[str]:
+        if text.isascii() or not _NEWER.search(text):
+            return match.findall(text)
+        return [text[m.start():m.end()] for m in match.finditer(_NEWER.sub(SYMBOL, text))]
+
+    return pieces
 
 
 class Ranks:
     """A vocabulary: bytes of each id, and the hashed table (left id, right id) -> joined id."""
 
-    def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
+    def __init__(self, file: bytes):
+        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in file.splitlines() if x.strip())}
         self.size = max(ranks.values()) + 1
         tokens = [b""] * self.size
         for token, rank in ranks.items():
@@ -175,16 +202,21 @@ class Ranks:
 
 
 @lru_cache(maxsize=2)
+def _opened(file: bytes) -> Ranks:
+    return Ranks(file)
+
+
 def ranks_of(path: str) -> Ranks:
-    return Ranks(path)
+    with open(path, "rb") as file:
+        return _opened(file.read())
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids array<int>) of each row; special tokens' names are ordinary text."""
-    kind = docs.schema[key].dataType.simpleString()
+    kind, file = docs.schema[key].dataType.simpleString(), shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, split, known = ranks_of(path), regex.compile(pattern).findall, {}
+        ranks, split, known = _opened(file.value), splitter(pattern), {}
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -205,10 +237,10 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, ids, decoded binary) of each row of ids."""
-    kind = encoded.schema[key].dataType.simpleString()
+    kind, file = encoded.schema[key].dataType.simpleString(), shared(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = ranks_of(path)
+        ranks = _opened(file.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

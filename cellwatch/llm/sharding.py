@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from cellwatch.sources.scratch import materialize
 
 FIRST_BITS, STEP_BITS = 12, 8
+LEAST_PARTS, RANGE_ROWS = 16, 1_000_000
 
 
 def _prefix(key: Column, bits: int, of: int) -> Column:
@@ -136,11 +137,12 @@ def range_of(bounds: list[tuple[int, int]]) -> Column:
                        lambda s: s["lo"])
 
 
-def shards(docs: DataFrame, n_shards: int = 8, parts: int = 16, tolerance: float = 0.01,
+def shards(docs: DataFrame, n_shards: int = 8, parts: int | None = None, tolerance: float = 0.01,
            key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, size, text_crc32, shard and slot (gapless from 0 in a shard) of every row.
 
-    ``parts`` ranges make up a shard; each is one task's share, so raise it with the input.
+    ``parts`` ranges make up a shard; each is one task's share. Unless given, they are as many as
+    keep a range at about ``RANGE_ROWS`` thin rows, and at least ``LEAST_PARTS``.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     whole = docs.schema[key].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
@@ -149,6 +151,8 @@ def shards(docs: DataFrame, n_shards: int = 8, parts: int = 16, tolerance: float
         F.col(key).alias("key"), (F.octet_length(t) + 1).cast("long").alias("size"),
         F.crc32(t.cast("binary")).alias("text_crc32"), F.xxhash64(t).alias("k1"),
         F.coalesce(k2, F.lit(-2**62).cast("long")).alias("k2")), "shards")
+    if parts is None:
+        parts = max(LEAST_PARTS, -(-thin.count() // (n_shards * RANGE_ROWS)))
     bounds = splitters(thin, n_shards * parts, tolerance)
     placed = thin.withColumn("range", range_of(bounds))
     counts = {r[0]: r[1] for r in placed.groupBy("range").count().collect()}

@@ -338,6 +338,33 @@ def test_bpe(odd, odd_docs):
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in odd["op9"]) == sorted(want)
 
 
+def test_every_character_splits_alike():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    table, pieces = bpe.ranks_of(path), bpe.splitter(public_tokenizers.PATTERN)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for form in ("{}", "a{}1{}", " {}"):
+        for at in range(0, len(every), 50_000):
+            text = "".join(form.replace("{}", c) for c in every[at:at + 50_000])
+            got = [i for ids in table.encode_pieces([p.encode() for p in pieces(text)]) for i in ids.tolist()]
+            assert got == own.encode_ordinary(text), (form, at)
+
+
+def test_more_rows_take_more_ranges(spark, monkeypatch):
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat('x', cast(id % 7 as int)) as text")
+    monkeypatch.setattr(sharding, "LEAST_PARTS", 1)
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 20)
+    rows = sharding.shards(docs, n_shards=4).collect()
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(rows) == 400 and sorted(slots) == [0, 1, 2, 3]
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    sizes = [sum(r["size"] for r in rows if r.shard == k) for k in range(4)]
+    assert max(sizes) - min(sizes) <= 0.1 * sum(sizes) / 4
+
+
 def test_long_pieces():
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     table = bpe.ranks_of(path)
