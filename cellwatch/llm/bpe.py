@@ -44,7 +44,10 @@ NEWER = """
 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF
 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
 """
-_NEWER = re.compile("[" + "".join("-".join(chr(int(c, 16)) for c in r.split("-")) for r in NEWER.split()) + "]")
+_RANGES = ["-".join(chr(int(c, 16)) for c in r.split("-")) for r in NEWER.split()]
+_NEWER = re.compile(f"[{''.join(_RANGES)}]")
+#: What may be newer: one look at a table for each character, where ``_NEWER`` tries range after range.
+_MAYBE = re.compile(f"[{''.join(r for r in _RANGES if r[0] <= chr(0xFFFF))}{chr(0x10000)}-{chr(0x10FFFF)}]")
 #: A symbol in both tables.
 SYMBOL = "\ue000"
 
@@ -54,7 +57,7 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     match = regex.compile(pattern)
 
     def pieces(text: str) -> list[str]:
-        if text.isascii() or not _NEWER.search(text):
+        if text.isascii() or not _MAYBE.search(text):
             return match.findall(text)
         return [text[m.start():m.end()] for m in match.finditer(_NEWER.sub(SYMBOL, text))]
 
