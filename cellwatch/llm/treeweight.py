@@ -12,8 +12,9 @@ passes on the mix of the shorter ones. A text is its lower-cased UTF-8 bytes and
    the longest context down to these three (at most 2**24 runs can share them); the last three
    levels are grouped sums over what is left.
 3. The mix is passed back up the same way, which gives each run's log probability.
-4. Blocks ask for the probabilities of their distinct runs by one join, and each block's texts
-   meet the answers in one group: at most ``BLOCK_BYTES`` of text, or a single longer text.
+4. Blocks ask for the probabilities of their distinct runs by one join. Sorted by block, answers
+   before texts, they pass a task as a stream: it holds the answers to ``BLOCK_BYTES`` of text, or
+   to a single longer text, and never a block's texts.
 
 The word counts of the base score travel by the same join, under the hash of the word. What is
 shuffled grows with the input: blocks, their distinct runs and words, and the texts once.
@@ -38,7 +39,7 @@ from .common import crc_rest, long_array, lowered, slices, utf8, word_hashes
 
 DEPTH, SPLIT = 5, 3
 FOLDS, HELD = 7, 2
-BLOCK_BYTES, SLICE, SHARE_RUNS = 64 << 20, 1 << 19, 300_000
+BLOCK_BYTES, SLICE, SHARE_RUNS, PACK = 64 << 20, 1 << 19, 300_000, 500_000
 END, BEFORE = 0xFF, 0xFE  # bytes that UTF-8 never has
 WORD_KEY = np.uint64(1 << 63)
 
@@ -252,35 +253,94 @@ def learn(counted: DataFrame) -> DataFrame:
     return _log_probabilities(dealt, mixes.withColumn("share", share(F.col("key"), 8 * SPLIT)))
 
 
+def found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of ``wanted`` among sorted ``keys``. Asked in order, which spares most of the cache misses."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted))
+    out[order] = values[np.searchsorted(keys, wanted[order])]
+    return out
+
+
+def packed(answers: DataFrame) -> DataFrame:
+    """(block, keys, values) of (block, key, value): about ``PACK`` answers of a task in a row per block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def done() -> pa.RecordBatch:
+            block, key, value = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(block, kind="stable")
+            block = block[order]
+            first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            ends = pa.array([*first, len(block)], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(block[first]), *(pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (key, value))],
+                ["block", "keys", "values"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(tuple(c.to_numpy() for c in batch.columns))
+                size += batch.num_rows
+            if size >= PACK:
+                yield done()
+                held, size = [], 0
+        if held:
+            yield done()
+
+    return answers.select("block", "key", "value").mapInArrow(run, "block bigint, keys array<bigint>, values array<double>")
+
+
 def _answered(texts: DataFrame, answers: DataFrame, totals: tuple[int, int, int], kind: str) -> DataFrame:
+    """Texts scored by the answers of their block. A block's answers come first, so a task holds those of one
+    block, 16 bytes each, and the rows of one Arrow batch."""
     n_train, n_words, n_texts = totals
     floor = float(np.log10(n_train + n_words + 1))
 
-    def run(table: pa.Table, known: pa.Table) -> pa.Table:
-        keys = known.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        keys, values = keys[order], known.column("value").to_numpy()[order]
-        del known, order
-        data, offsets = utf8(table.column("text"))
-        tokens, seen, base, score = (np.zeros(table.num_rows, t) for t in (np.int64, np.int64, float, float))
+    def scored(rows: pa.RecordBatch, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        data, offsets = utf8(rows.column("text"))
+        tokens, seen, base, score = (np.zeros(rows.num_rows, t) for t in (np.int64, np.int64, float, float))
         for a, b in slices(offsets, SLICE):
             part, at = lowered(data[offsets[a]:offsets[b]]), offsets[a:b + 1] - offsets[a]
             mine, first = runs(part, at)
-            score[a:b] = np.add.reduceat(values[np.searchsorted(keys, mine)], first) / np.log(10)
+            score[a:b] = np.add.reduceat(found(keys, values, mine), first) / np.log(10)
             words, d = word_keys(part, at)
-            count = values[np.searchsorted(keys, words)] if len(words) else np.empty(0)
+            count = found(keys, values, words)
             tokens[a:b] = np.bincount(d, minlength=b - a) + 1
             seen[a:b] = np.bincount(d, count > 0, b - a).astype(np.int64) + (n_texts > 0)
             base[a:b] = np.bincount(d, np.log10(count + 1), b - a) + np.log10(n_texts + 1) - tokens[a:b] * floor
-        return pa.table(
-            [table.column("doc_id"), table.column("train"), pa.array(tokens), pa.array(seen),
-             pa.array(np.full(table.num_rows, n_train)), pa.array(base), pa.array(score),
+        return pa.RecordBatch.from_arrays(
+            [rows.column("doc_id"), rows.column("train"), pa.array(tokens), pa.array(seen),
+             pa.array(np.full(rows.num_rows, n_train)), pa.array(base), pa.array(score),
              pa.array(-score * np.log2(10) / (np.diff(offsets) + 1))],
             ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, keys, values = None, [], None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            blocks = batch.column("block").to_numpy()
+            told = batch.column("text").is_null().to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | (told[1:] != told[:-1])) + 1
+            for a, b in zip([0, *edges], [*edges, len(blocks)]):
+                rows = batch.slice(a, b - a)
+                if blocks[a] != block:
+                    block, parts, keys, values = blocks[a], [], None, None
+                if told[a]:
+                    # copies: a view would keep the batch
+                    parts.append(tuple(rows.column(c).flatten().to_numpy().copy() for c in ("keys", "values")))
+                    continue
+                if keys is None:
+                    keys, values = (np.concatenate(x) for x in zip(*parts))
+                    parts, keys = [], keys.view(np.uint64)
+                    order = np.argsort(keys)
+                    keys, values = keys[order], values[order]
+                    del order
+                yield scored(rows, keys, values)
+
+    both = packed(answers).unionByName(texts.select("block", "doc_id", "train", "text"), allowMissingColumns=True)
     ddl = (f"doc_id {kind}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
            "score double, bits_per_byte double")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, ddl)
+    return both.repartition("block").sortWithinPartitions("block", F.col("text").isNotNull()).mapInArrow(run, ddl)
 
 
 def score(docs: DataFrame) -> DataFrame:

@@ -145,6 +145,25 @@ def test_probabilities_sum_to_one(spark, tmp_path):
     assert {r.key & 255 for r in sorted(rows, key=lambda r: -r.value)[:2]} == {97, 100}
 
 
+def test_texts_stream_past_their_answers(spark, monkeypatch):
+    """No group gathers a block's texts, and scores do not depend on how blocks and batches are cut."""
+    docs = spark.createDataFrame([(i, None if i % 9 == 0 else f"Text {i} of {i % 7} " + "many words " * (i % 30)) for i in range(200)],
+                                 "doc_id bigint, text string").repartition(3)
+    want = {tuple(r) for r in treeweight.score(docs).collect()}
+    monkeypatch.setattr(treeweight, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(treeweight, "PACK", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        scored = treeweight.score(docs)
+        got = {tuple(r) for r in scored.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 200 and {r[:5] for r in got} == {r[:5] for r in want}
+    assert [r[5:] for r in sorted(got)] == [pytest.approx(r[5:]) for r in sorted(want)]
+    # the one that is left has the shares of the trees
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("FlatMapCoGroupsInArrow") == 1
+
+
 def test_license_places(odd, odd_docs):
     want = []
     for i, t in odd_docs:
