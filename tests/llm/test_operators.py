@@ -408,6 +408,49 @@ def test_main_text():
     assert html.main_texts(["", "<", "a < b &lt; c", "<!-- x"]) == ["", "<", "a < b < c", ""]
 
 
+def test_cover_chooses_among_several_articles(spark, monkeypatch):
+    """A card of another article stands on several pages and goes; a page's own article stays whole, also as a copy."""
+    monkeypatch.setattr(html, "SHARE", 40)
+    def said(name, n):
+        return " ".join(f"{name}{k}" for k in range(n))
+    shared, once, long_ = said("card", 10), said("only", 10), said("copy", 40)
+    own = [said(f"own{i}x", 20) for i in range(4)]
+    rows = [f"<nav>menu</nav><article>{own[0]}</article><aside>x</aside><article><h2>{shared}</h2></article>",
+            f"<article>{shared}</article><p>outside</p><article>{own[1]}</article>",
+            f"<main><p>{own[2]} {said('copy', 8)}</p><article>{shared}<form>f</form></article><article>{once}</article></main>",
+            # a copy that is longer than what its page alone says
+            f"<main><h1>first title</h1><article>{long_}</article></main>",
+            f"<main><h1>second title</h1><article>{long_}</article></main>",
+            # one article, though it holds a card's text; an article inside an article is part of it
+            f"<article>{shared}</article>", f"<article>{own[3]}<article>{shared}</article></article>",
+            # all covered: none is the page's own, none goes
+            f"<article>{shared}</article><article>{long_}</article>"]
+    want = [own[0], own[1], f"{own[2]} {said('copy', 8)} {once}", f"first title {long_}", f"second title {long_}", shared,
+            f"{own[3]} {shared}", f"{shared} {long_}"]
+    assert html.main_texts(rows) == want
+    pages = spark.createDataFrame([(i, "http://h.example/%d" % i, r) for i, r in enumerate(rows)]
+                                  + [(99, "http://other.example/", rows[0])], "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert got == dict(enumerate(want)) | {99: f"{own[0]} {shared}"}  # the card stands on one page of that host
+
+
+def test_hosts_are_searched_where_pages_have_an_article(spark, monkeypatch):
+    """The check follows the search and does not replace it: a search that fails fails the extraction."""
+    def broken(share):
+        raise RuntimeError("searched")
+    pages = spark.createDataFrame([(i, "http://h.example/", f"<nav>{'a menu of words ' * 4}{i}</nav><article>text {i}</article>")
+                                   for i in range(3)], "page_id bigint, url string, html string")
+    assert {r.text for r in html.extract(pages).collect()} == {"text 0", "text 1", "text 2"}
+    monkeypatch.setattr(html, "share_runs", broken)
+    # without broadcasts, as for large tables, Spark leaves out a side that an empty one makes needless
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(Exception, match="searched"):
+            html.extract(pages).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_runs_are_counted_over_the_whole_host(spark):
     """Each passage stands on two of 2,400 pages of a host; copies of a page do not empty each other."""
     own = [f"alone on page{i}" for i in range(2400)]
