@@ -31,14 +31,23 @@ def _order() -> Column:
 
 def prepare(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False,
             collapse: bool = True, unique_numbers: bool | None = None,
-            carry: DataFrame | None = None) -> DataFrame:
+            carry: DataFrame | None = None, whole: bool = False) -> DataFrame:
     """Canonical frames to frames ready for blocks: derived signals, flags, process, tags.
 
     ``numbered``: the frames already carry process numbers. ``collapse``: repeats are still
     in; leave it off when the input holds one row per (battery, sample time). ``carry``: see
-    ``segment.number_processes``.
+    ``segment.number_processes``. ``whole``: all signals are wanted, so frames that are shuffled
+    travel without them; few signals are smaller than the vectors they come from.
     """
-    df = quality.with_quality(normalize.frame_derived(frames), p)
+    def signals(df):
+        return quality.with_quality(normalize.frame_derived(df), p)
+
+    unique = quality.has_unique_numbers(frames) if unique_numbers is None else unique_numbers
+    if collapse and unique and not numbered:
+        df = segment.with_tags(frames if whole else signals(frames), p)
+        df = segment.collapse_and_number(df, carry=carry)
+        return signals(df) if whole else df
+    df = signals(frames)
     df = (quality.collapse_repeats(df, unique_numbers) if collapse
           else df.withColumn("n_msgs", F.lit(1)))
     df = segment.with_tags(df, p)
@@ -90,8 +99,11 @@ def _quantile_map(value: Column, points: Sequence[float]) -> Column:
     return F.map_from_arrays(keys, F.percentile(value, keys))
 
 
-def aggregates(p: Params = DEFAULTS) -> list[Column]:
-    """Every grouped feature that needs no neighbouring frame, over frames of ``prepare``."""
+def aggregates(p: Params = DEFAULTS, packed: bool = False) -> list[Column]:
+    """Every grouped feature that needs no neighbouring frame, over frames of ``prepare``.
+
+    ``packed``: what is taken of the first frame comes as one struct, and so of the last; ``unpack`` opens them.
+    """
     c, ok = F.col, F.col("is_effective")
 
     def e(name):
@@ -103,16 +115,18 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
     discharge, charge = _if(amp > 0, amp), _if(amp < 0, -amp)
     order = F.when(ok, _order())
 
-    def first(v):
-        return F.min_by(v, order)
-
-    def last(v):
-        return F.max_by(v, order)
-
-    ends = []
-    for name, col in (("user_soc", "user_soc"), ("real_soc", "real_soc"), ("soh", "soh"),
-                      ("current", "current_a")):
-        ends += [first(c(col)).alias(f"start_{name}"), last(c(col)).alias(f"end_{name}")]
+    def taken(pick, out, cols):
+        if packed:
+            return [pick(F.struct(*[c(v).alias(n) for n, v in cols.items()]), order).alias(out)]
+        return [pick(c(v), order).alias(n) for n, v in cols.items()]
+
+    values = {"user_soc": "user_soc", "real_soc": "real_soc", "soh": "soh", "current": "current_a"}
+    vectors_ = {"pack_cell_voltage": "cell_v", "pack_probe_temp": "probe_temp_c"}
+    ends = [*taken(F.min_by, "_first", {f"start_{n}": v for n, v in values.items()}
+                   | {f"first_{n}": v for n, v in vectors_.items()}),
+            *taken(F.max_by, "_last", {n: n for n in ("device_name", "device_type", "source", "brand", "battery_type",
+                                                      "real_energy", "is_test", "bms_version", "device_version")}
+                   | {f"end_{n}": v for n, v in values.items()} | {f"last_{n}": v for n, v in vectors_.items()})]
     earliest = (-F.unix_micros("sample_ts"), -c("frame_no"))
     at_vd = F.max_by(
         F.struct(c("sample_ts").alias("time"), c("user_soc").alias("soc"),
@@ -120,8 +134,7 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
                  c("hi_sn").alias("max_cell_voltage_sn"),
                  (c("lo_mv") / 1e3).alias("min_cell_voltage"),
                  c("lo_sn").alias("min_cell_voltage_sn"), (c("mean_mv") / 1e3).alias("volt_mean"),
-                 c("cell_v").alias("cell_voltage"), c("cell_mv").alias("mv"),
-                 c("median_mv").alias("median_mv")),
+                 c("cell_v").alias("cell_voltage"), c("median_mv").alias("median_mv")),
         F.when(ok & vd.isNotNull(), F.struct(c("volt_diff_mv"), *earliest)))
     at_td = F.max_by(
         F.struct(c("sample_ts").alias("time"), c("user_soc").alias("soc"),
@@ -134,18 +147,11 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
     # Insulation 0 means "no reading" and is left to the rules; here it is a value.
     iso = e("iso_kohm")
     return [
-        *[last(c(n)).alias(n) for n in ("device_name", "device_type", "source", "brand",
-                                        "battery_type", "real_energy", "is_test",
-                                        "bms_version", "device_version")],
         *quality.count_columns(),
         _counts_by_value(c("max_cell_v"), p.init_cell_v).alias("cell_volt_init_count"),
         _counts_by_value(c("min_temp_c"), p.init_probe_c).alias("probe_temp_init_count"),
         F.map_from_arrays(F.array(F.lit(p.cold_init_c)), F.array(cold)).alias("bms_temp_init_count"),
         _counts_by_value(c("iso_kohm"), p.init_iso_kohm).alias("insu_resis_init_count"),
-        first(c("cell_v")).alias("first_pack_cell_voltage"),
-        first(c("probe_temp_c")).alias("first_pack_probe_temp"),
-        last(c("cell_v")).alias("last_pack_cell_voltage"),
-        last(c("probe_temp_c")).alias("last_pack_probe_temp"),
         F.min(e("sample_ts")).alias("start_time"), F.max(e("sample_ts")).alias("end_time"),
         *ends,
         *_spread(discharge, "discharge_current"), *_spread(charge, "charge_current"),
@@ -175,8 +181,10 @@ def aggregates(p: Params = DEFAULTS) -> list[Column]:
 def unpack(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Opens the frames picked by the aggregate into their feature columns."""
     c = F.col
-    mv = c("_at_vd.mv")
-    bins = F.transform(mv, lambda x: F.rint(x))
+    bins = F.transform(vectors.vector_mv(c("_at_vd.cell_voltage")), lambda x: F.rint(x))
+    for packed in ("_first", "_last"):
+        if packed in df.columns:
+            df = df.select("*", f"{packed}.*").drop(packed)
     df = df.withColumns({
         "_dev": vectors.deviations(c("_at_vd.cell_voltage"), c("_at_vd.median_mv") / 1e3),
         "_mu": c("_at_vd.volt_mean") - c("_at_vd.median_mv") / 1e3})
@@ -249,22 +257,52 @@ def rank_rows(prepared: DataFrame, keys: Sequence[str], vector: str) -> DataFram
     return _ranked(prepared, keys, {"v": vector}).drop("_of")
 
 
-def rank_features(prepared: DataFrame) -> DataFrame:
-    """``volt_rank_mean``, ``volt_rank_stddev``, ``temp_rank_mean`` per block.
+def _with_places(frames: DataFrame) -> DataFrame:
+    """Adds what ranks and number histograms need of an effective frame: small integers in ``_places``."""
+    ranks = [vectors.ranks(F.col(v), F.sort_array(v)).cast("array<smallint>").alias(n)
+             for n, v in (("volt", "cell_mv"), ("temp", "probe_temp_c"))]
+    numbers = [F.col(c).alias(h) for h, c in _EXTREMES.items()]
+    return frames.withColumn("_places", _if(F.col("is_effective"), F.struct(*ranks, *numbers)))
 
-    The exploded rows are aggregated per position before they are gathered, so a block
-    gathers no more than one row per cell and probe.
-    """
-    rows = _ranked(prepared, BLOCK_KEY, {"volt": "cell_mv", "temp": "probe_temp_c"})
 
-    def gathered(of, column):
-        picked = F.collect_list(F.when(F.col("_of") == of, F.struct("position", column)))
-        return F.sort_array(picked)[column]
+def _with_ranks(blocks: DataFrame) -> DataFrame:
+    """The rank features from ``_places``, the list of a block's frames; null where no frame has a rank."""
+    def moments(of):
+        lists = F.filter(F.col(f"_places.{of}"), lambda v: v.isNotNull())
+        zero = F.struct(*[F.lit(0.0).alias(n) for n in ("n", "sum", "mean", "m2")])
+
+        def add(acc, x):
+            n, step = acc["n"] + 1, x - acc["mean"]
+            return F.struct(n.alias("n"), (acc["sum"] + x).alias("sum"), (acc["mean"] + step / n).alias("mean"),
+                            (acc["m2"] + step * (step - step / n)).alias("m2"))
+
+        def at(k):
+            return F.aggregate(F.filter(F.transform(lists, lambda v: F.get(v, k).cast("double")), lambda x: x.isNotNull()),
+                               zero, add)
+
+        longest = F.coalesce(F.array_max(F.transform(lists, F.size)), F.lit(0))
+        return F.when(longest > 0, F.transform(F.sequence(F.lit(0), longest - 1), at)).otherwise(
+            F.array().cast("array<struct<n:double,sum:double,mean:double,m2:double>>"))
+
+    def mean(s):
+        return s["sum"] / F.nullif(s["n"], F.lit(0.0))
+
+    def deviation(s):
+        return F.sqrt(s["m2"] / F.nullif(s["n"], F.lit(0.0)))
+
+    some = (F.size("_volt") > 0) | (F.size("_temp") > 0)
+    return blocks.withColumns({"_volt": moments("volt"), "_temp": moments("temp")}).withColumns({
+        "volt_rank_mean": _if(some, F.transform("_volt", mean)), "volt_rank_stddev": _if(some, F.transform("_volt", deviation)),
+        "temp_rank_mean": _if(some, F.transform("_temp", mean))}).drop("_volt", "_temp")
 
-    return rows.groupBy(*BLOCK_KEY).agg(
-        gathered("volt", "rank_mean").alias("volt_rank_mean"),
-        gathered("volt", "rank_stddev").alias("volt_rank_stddev"),
-        gathered("temp", "rank_mean").alias("temp_rank_mean"))
+
+def rank_features(prepared: DataFrame) -> DataFrame:
+    """``volt_rank_mean``, ``volt_rank_stddev``, ``temp_rank_mean`` per block that has a rank.
+
+    A block gathers the ranks of its frames, two bytes a cell and probe; the clock bounds the frames.
+    """
+    rows = _with_places(prepared).groupBy(*BLOCK_KEY).agg(F.collect_list("_places").alias("_places"))
+    return _with_ranks(rows).drop("_places").filter("volt_rank_mean is not null")
 
 
 _EXTREMES = {"max_volt_sn_count": "max_cell_sn", "min_volt_sn_count": "min_cell_sn",
@@ -280,13 +318,23 @@ def sn_histogram_rows(prepared: DataFrame, keys: Sequence[str] = BLOCK_KEY) -> D
             .agg(F.count("*").cast("int").alias("frames")))
 
 
+def _with_histograms(blocks: DataFrame) -> DataFrame:
+    """The number histograms from ``_places``, the list of a block's frames; null where no frame has a number."""
+    held = {f"_{h}": F.sort_array(F.filter(F.col(f"_places.{h}"), lambda n: n.isNotNull())) for h in _EXTREMES}
+    some = F.greatest(*[F.size(h) for h in held]) > 0
+
+    def counted(numbers):
+        keys = F.array_distinct(numbers)
+        counts = F.transform(keys, lambda k: F.size(F.filter(numbers, lambda n: n == k)))
+        return F.map_from_arrays(keys, counts)
+
+    return blocks.withColumns(held).withColumns({h: _if(some, counted(F.col(f"_{h}"))) for h in _EXTREMES}).drop(*held)
+
+
 def sn_histograms(prepared: DataFrame) -> DataFrame:
-    """The four number histograms as map columns, one row per block."""
-    rows = sn_histogram_rows(prepared)
-    return rows.groupBy(*BLOCK_KEY).agg(*[
-        F.map_from_entries(F.sort_array(F.collect_list(
-            F.when(F.col("histogram") == h, F.struct("sn", "frames"))))).alias(h)
-        for h in _EXTREMES])
+    """The four number histograms as map columns, one row per block that has a number."""
+    rows = _with_places(prepared).groupBy(*BLOCK_KEY).agg(F.collect_list("_places").alias("_places"))
+    return _with_histograms(rows).drop("_places").filter(F.col(next(iter(_EXTREMES))).isNotNull())
 
 
 def low_outlier(mv: Column) -> Column:
@@ -341,3 +389,19 @@ def rest_features(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
            for k in BLOCK_KEY]
     return pairs.select(*key, "sp_after_chg_volt_diff0", "sp_after_chg_volt_diff1",
                         "spafchg_volt_drop_rate", "spafchg_outlier_rate")
+
+
+def table_features(prepared: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Every feature of every block, those of the functions above, in one aggregate.
+
+    Gaps and rests, which look at other frames, join it as thin rows of their block, so wide rows of
+    blocks are never joined and only partial aggregates are shuffled.
+    """
+    rows, added = _with_places(prepared), []
+    for part in (gap_features(prepared), rest_features(prepared, p)):
+        added += [n for n in part.columns if n not in BLOCK_KEY]
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    grouped = rows.groupBy(*BLOCK_KEY).agg(*aggregates(p, packed=True), F.collect_list("_places").alias("_places"),
+                                           *[F.max(n).alias(n) for n in added])
+    blocks = _with_histograms(_with_ranks(unpack(grouped, p))).drop("_places")
+    return segment.with_event_id(blocks)

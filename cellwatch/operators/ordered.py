@@ -120,30 +120,40 @@ def number_long_runs(df: DataFrame, keys: Sequence[str], kind: str, slice_by: Sl
     ``carry`` is one earlier row per key: its slice, order columns, kind and number, ``run``.
     """
     df, cut, extra = _sliced(df, slice_by)
+    starts = run_starts(df, keys, kind, cut, order, carry)
+    return place_in_runs(df.join(starts, [*keys, *cut], "left"), order, out).drop(*extra)
+
+
+def run_starts(df: DataFrame, keys: Sequence[str], kind: str, cut: Sequence[str], order: Sequence[str] = TIME_ORDER,
+               carry: DataFrame | None = None, more: Sequence[Column] = ()) -> DataFrame:
+    """One row per slice: ``_base`` and ``_cuts`` of ``number_long_runs``, and ``more`` aggregates of the slice's rows."""
     group, at = [*keys, *cut], F.struct(*order)
     local = Window.partitionBy(*group).orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(*cut)
     changed = (F.row_number().over(local) > 1) & ~F.lag(kind).over(local).eqNullSafe(F.col(kind))
-    thin = df.select(*group, *order, kind, F.lit(0).cast("long").alias("_add"))
+    thin = (df if more else df.select(*group, *order, kind)).withColumn("_add", F.lit(0).cast("long"))
     if carry is not None:
-        thin = thin.union(carry.select(*group, *order, kind, F.col("run") - 1))
+        thin = thin.unionByName(carry.select(*group, *order, kind, (F.col("run") - 1).alias("_add")), allowMissingColumns=True)
     edges = (thin.withColumn("_change", changed).groupBy(*group)
              .agg(F.max("_add").alias("_add"), F.collect_list(F.when(F.col("_change"), at)).alias("_cuts"),
                   F.min_by(F.struct(kind), at).alias("_first"),
-                  F.max_by(F.struct(kind), at).alias("_last")))
+                  F.max_by(F.struct(kind), at).alias("_last"), *more))
     last = F.lag("_last").over(across)
     border = F.when(last.isNull() | last.eqNullSafe(F.col("_first")), 0).otherwise(1)
-    starts = (edges.withColumn("_border", border)
-              .withColumn("_base", F.sum("_border").over(
-                  across.rowsBetween(Window.unboundedPreceding, 0))
-                  + F.coalesce(F.sum(F.size("_cuts")).over(
-                      across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-                  + F.max("_add").over(Window.partitionBy(*keys)))
-              .select(*group, "_base", "_cuts"))
+    return (edges.withColumn("_border", border)
+            .withColumn("_base", F.sum("_border").over(
+                across.rowsBetween(Window.unboundedPreceding, 0))
+                + F.coalesce(F.sum(F.size("_cuts")).over(
+                    across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                + F.max("_add").over(Window.partitionBy(*keys)))
+            .drop("_border", "_add", "_first", "_last"))
+
+
+def place_in_runs(df: DataFrame, order: Sequence[str] = TIME_ORDER, out: str = "run") -> DataFrame:
+    """The numbers of rows that have met the ``run_starts`` of their slice."""
+    at = F.struct(*order)
     passed = F.when(F.size("_cuts") > 0, F.size(F.filter("_cuts", lambda c: c <= at))).otherwise(0)
-    return (df.join(starts, group, "left")
-            .withColumn(out, (F.lit(1) + F.col("_base") + passed).cast("long"))
-            .drop("_base", "_cuts", *extra))
+    return df.withColumn(out, (F.lit(1) + F.col("_base") + passed).cast("long")).drop("_base", "_cuts")
 
 
 def condition_runs(df: DataFrame, keys: Sequence[str], condition: Column, slice_by: SliceBy,

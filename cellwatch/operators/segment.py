@@ -48,6 +48,35 @@ def number_processes(df: DataFrame, out: str = "process_id", carry: DataFrame |
                                     carry=None if carry is None else carry.withColumnRenamed("process_id", "run"))
 
 
+def collapse_and_number(df: DataFrame, out: str = "process_id", carry: DataFrame | None = None) -> DataFrame:
+    """``quality.collapse_repeats`` and ``number_processes`` of tagged frames with unique numbers, in one.
+
+    Either would shuffle the wide frames. Here thin rows, one per sample however many copies it has,
+    give the run starts and the repeated samples of each (battery, date, slot), and the wide
+    frames meet both in a single join. The list of a slot never exceeds its samples. Frames without a
+    number are no copies of each other.
+    """
+    df = df.drop(out) if out in df.columns else df
+    # a frame without a time is no copy of another
+    apart = F.when(F.col("sample_ts").isNull(), F.col("frame_no")).alias("_apart")
+    first = F.min(F.struct(F.col("frame_no").isNull().alias("unknown"), "frame_no", "event_type"))
+    samples = (df.groupBy("battery_id", *SLOT, "sample_ts", apart)
+               .agg(F.count("*").alias("_copies"), first.alias("_first"))
+               .select("battery_id", *SLOT, "sample_ts", "_copies", "_first.frame_no", "_first.event_type")
+               .filter("_copies = 1 or frame_no is not null or sample_ts is null"))
+    repeated = F.when((F.col("_copies") > 1) & F.col("sample_ts").isNotNull(), F.struct("sample_ts", "frame_no", "_copies"))
+    starts = ordered.run_starts(
+        samples, ["battery_id"], "event_type", SLOT, more=[F.collect_list(repeated).alias("_r")],
+        carry=None if carry is None else carry.withColumnRenamed("process_id", "run"))
+    starts = starts.select("*", F.col("_r.sample_ts").alias("_times"), F.col("_r.frame_no").alias("_kept"),
+                           F.col("_r._copies").alias("_counts")).drop("_r")
+    at = F.nullif(F.array_position("_times", F.col("sample_ts")).cast("int"), F.lit(0))
+    met = df.join(starts, ["battery_id", *SLOT], "left").withColumn("_at", at)
+    met = met.filter(F.col("_at").isNull() | (F.col("frame_no") == F.get("_kept", F.col("_at") - 1)))
+    met = met.withColumn("n_msgs", F.coalesce(F.get("_counts", F.col("_at") - 1), F.lit(1)))
+    return ordered.place_in_runs(met, out=out).drop("_at", "_times", "_kept", "_counts")
+
+
 def with_event_id(df: DataFrame) -> DataFrame:
     return df.withColumn("event_id", tags.event_id(
         F.col("process_id"), F.col("device_name"), F.col("battery_id"), F.col("event_type")))

@@ -38,20 +38,17 @@ def prepare_day(frames: DataFrame, p: Params = DEFAULTS, numbered: bool = False,
 
     ``carry`` is ``segment.last_processes`` of the day before: the same event has one id on both.
 
-    Five aggregates read them (features, gaps, ranks, histograms, rests); writing costs less
-    than shuffling and deriving five times, and a lost executor costs a re-read, not a recomputation.
+    Three aggregates read them (features, gaps, rests); writing costs less than shuffling
+    and deriving three times, and a lost executor costs a re-read, not a recomputation.
     """
-    ready = features.prepare(frames, p, numbered, True, unique_numbers, carry).select(*_NEEDED)
+    ready = features.prepare(frames, p, numbered, True, unique_numbers, carry, whole=True).select(*_NEEDED)
     return materialize(ready, "prepared", ("date_tag",))
 
 
 def block_table(prepared: DataFrame, static: DataFrame, as_of: datetime, etl_at: datetime,
                 p: Params = DEFAULTS) -> DataFrame:
     """All columns of the block table, in its order and types."""
-    blocks = features.block_features(prepared, p)
-    for part in (features.gap_features(prepared), features.rank_features(prepared),
-                 features.sn_histograms(prepared), features.rest_features(prepared, p)):
-        blocks = segment.join_blocks(blocks, part)
+    blocks = features.table_features(prepared, p)
     blocks = blocks.withColumn("block_duration", F.coalesce("block_duration", F.lit(0)))
     blocks = normalize.enrich_static(blocks, static)
     blocks = segment.with_bookkeeping(blocks, as_of, etl_at)

@@ -1,12 +1,13 @@
 """A hand-made block, invariants on random frames, plans and the daily table."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from cellwatch.operators import features
+from cellwatch.operators import features, quality, segment
 from cellwatch.operators.segment import BLOCK_KEY, join_blocks
 from cellwatch.plans import daily
 from cellwatch.schemas import BLOCK_FEATURES_DDL
@@ -90,6 +91,77 @@ def test_numbered_frames_need_one_exchange_of_aggregates_only(spark):
     assert head.count("Exchange") == 1 and "Window" not in head and "partial_" in head
 
 
+def odd_frames(spark):
+    """Frames of two batteries with copies, unknown keys and readings, and events that change often."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(240):
+        kind = rng.choice(["driving", "parking", "charging"])
+        given = {"battery_id": rng.choice(["B", "C"]), "event_type": kind, "user_soc": rng.choice([None, 40.0, 41.0, 77.0]),
+                 "current_a": rng.uniform(-50, 50), "is_balancing": rng.random() < 0.3, "device_type": "swap_station",
+                 "cell_v": rng.choice([None, [], [3.5, None, 3.7], [3.5 + rng.randrange(9) / 100 for _ in range(10)]]),
+                 "probe_temp_c": rng.choice([None, [float(rng.randrange(20, 30)) for _ in range(2)]]),
+                 "n_cells": None, "n_probes": None, "iso_kohm": rng.choice([5000.0, 2000.0, 1900.0])}
+        rows.append(minute(3 * i, **given))
+        if i % 5 == 0:  # a copy, later in number
+            rows.append({**rows[-1], "frame_no": 1000 + i, "event_type": "parking"})
+    rows += [minute(900, battery_id=None, frame_no=2000 + i) for i in range(2)]
+    rows += [{**minute(0, frame_no=n, event_type=e), "sample_ts": None} for n, e in ((3001, "driving"), (3002, "parking"))]
+    rows += [minute(901, frame_no=None, event_type="parking"), minute(903, frame_no=None),
+             minute(903, frame_no=4000, event_type="charging")]
+    return frames(spark, rows)
+
+
+def test_collapsed_and_numbered_in_one_join_as_in_two(spark):
+    tagged = segment.with_tags(quality.with_quality(features.normalize.frame_derived(odd_frames(spark))))
+    cols = ["battery_id", "sample_ts", "frame_no", "event_type", "n_msgs", "process_id"]
+    carry = segment.last_processes(segment.number_processes(quality.collapse_repeats(segment.with_tags(
+        frames(spark, [{"sample_ts": T0 - timedelta(hours=9), "event_type": "parking"}])), True)))
+    for before in (None, carry):
+        want = segment.number_processes(quality.collapse_repeats(tagged, True), carry=before).select(cols).collect()
+        got = segment.collapse_and_number(tagged, carry=before).select(cols).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) > 240
+    # wide frames meet repeats and numbers in a single join
+    text = plan(features.prepare(odd_frames(spark), unique_numbers=True))
+    assert len(re.findall("(SortMerge|BroadcastHash|ShuffledHash)Join", text)) == 1
+
+
+def test_table_features_in_one_aggregate_are_those_of_the_parts(spark):
+    ready = daily.prepare_day(odd_frames(spark), unique_numbers=True)
+    want = features.block_features(ready)
+    for part in (features.gap_features(ready), features.rank_features(ready), features.sn_histograms(ready),
+                 features.rest_features(ready)):
+        want = segment.join_blocks(want, part)
+    got = features.table_features(ready)
+    assert set(got.columns) == set(want.columns)
+
+    def rows(df):
+        maps = [f.name for f in df.schema if f.dataType.typeName() in ("map", "struct")]
+        return sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r])
+                      for r in df.withColumns({m: F.to_json(m) for m in maps}).select(sorted(df.columns)).collect())
+
+    assert rows(got) == rows(want)
+    # ranks and histograms by hand
+    effective = ready.filter("is_effective").collect()
+    for r in got.filter("effect_msg_count > 0").collect():
+        inside = [f for f in effective if all(f[k] == r[k] for k in BLOCK_KEY)]
+        assert len(inside) == r.effect_msg_count
+        vectors = [f.cell_mv for f in inside if f.cell_mv]
+        numbers = [f.max_cell_sn for f in inside if f.max_cell_sn is not None]
+        if vectors:
+            for k in range(max(map(len, vectors))):
+                ranks = [1 + sum(x is not None and x < v[k] or x is None for x in v) for v in vectors
+                         if len(v) > k and v[k] is not None]
+                assert r.volt_rank_mean[k] == (pytest.approx(sum(ranks) / len(ranks)) if ranks else None)
+        if numbers:
+            assert r.max_volt_sn_count == {n: numbers.count(n) for n in numbers}
+    # no row is exploded, and no wide row of a block is joined with another
+    text = plan(daily.block_table(ready, spark.createDataFrame([], "battery_type string, cell_type string, "
+                                                               "battery_capacity double, battery_energy double"),
+                                  datetime(2024, 1, 2), datetime(2024, 1, 2)))
+    assert "Generate" not in text and len(re.findall("Join .*LeftOuter", text.split("Union")[0])) == 1
+
+
 def test_daily_table_has_every_column_and_replaces_only_its_partitions(spark, tmp_path):
     static = spark.createDataFrame([("T0", "NCM", 200.0, 70.0)],
                                    "battery_type string, cell_type string, battery_capacity double, battery_energy double")
