@@ -451,6 +451,32 @@ def test_hosts_are_searched_where_pages_have_an_article(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_articles_are_searched_and_the_bit_set_changes_nothing(spark, monkeypatch):
+    """The tokens of a page's only article are searched, and cover decides about them; a fuller bit set lets more through."""
+    def said(name, n):
+        return " ".join(f"{name}{k}" for k in range(n))
+    quoted, menu = said("quoted", 12), said("menu", 9)
+    rows = [(i, "http://h.example/", f"<nav>{menu} {i}</nav><article>{said(f'own{i}x', 30)} {quoted} {i}</article>") for i in range(40)]
+    rows += [(100 + i, "http://h.example/", f"<p>{quoted}</p><p>alone{i} here</p>") for i in range(2)]
+    rows += [(200, "http://h.example/", rows[0][2]), (201, "http://other.example/", f"<p>{quoted} {menu}</p>"), (202, None, None)]
+    want = {i: f"{said(f'own{i}x', 30)} {quoted} {i}" for i in range(40)} | {100: "alone0 here", 101: "alone1 here", 201: f"{quoted} {menu}", 202: ""}
+    want[200] = want[0]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    for limits in ({}, {"ANCHORS": 50, "BITS": 8, "SHARE": 60}):
+        for name, value in limits.items():
+            monkeypatch.setattr(html, name, value)
+        assert {r.page_id: r.text for r in html.extract(pages).collect()} == want
+        assert {(r.text, r.n_pages) for r in html.repeats(pages).collect()} == {(quoted, 42), (menu, 40)}
+
+    def broken(share):
+        raise RuntimeError("searched")
+    monkeypatch.setattr(html, "share_runs", broken)
+    only = spark.createDataFrame([(i, "http://h.example/", f"<article>{quoted} {i}</article>") for i in range(2)],
+                                 "page_id bigint, url string, html string")
+    with pytest.raises(Exception, match="searched"):
+        html.extract(only).collect()
+
+
 def test_runs_are_counted_over_the_whole_host(spark):
     """Each passage stands on two of 2,400 pages of a host; copies of a page do not empty each other."""
     own = [f"alone on page{i}" for i in range(2400)]
